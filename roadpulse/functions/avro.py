@@ -1,0 +1,106 @@
+"""Avro binary of one event, without header bytes.
+
+Spark's own functions are used where the Avro package is on the class path. Without it
+an Arrow-batched codec for this one fixed record takes over.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.avro.functions import from_avro, to_avro
+
+from roadpulse.functions.text import print_event_time
+from roadpulse.schema import EVENT_AVRO, EVENT_COLUMNS
+
+MESSAGE_FIELDS = (
+    "device_id int, timestamp string, lon double, lat double, altitude double, "
+    "speed double, orientation double, transfer int"
+)
+
+
+def package_present(spark: SparkSession) -> bool:
+    try:
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroUtils")
+    except Exception:
+        return False
+    return True
+
+
+def encode_event() -> Column:
+    """The event columns of a row as one binary value; the time travels as text."""
+    fields = {name: F.col(name) for name in EVENT_COLUMNS}
+    fields["timestamp"] = print_event_time(F.col("timestamp"))
+    record = F.struct(*(value.alias(name) for name, value in fields.items()))
+    if package_present(SparkSession.active()):
+        return to_avro(record, EVENT_AVRO)
+    return _encode(record)
+
+
+def decode_event(value: Column) -> Column:
+    """Struct of the event fields; the time is text."""
+    if package_present(SparkSession.active()):
+        return from_avro(value, EVENT_AVRO)
+    return _decode(value)
+
+
+def _varint(number: int) -> bytes:
+    number = (number << 1) ^ (number >> 63)
+    out = bytearray()
+    while number > 0x7F:
+        out.append(number & 0x7F | 0x80)
+        number >>= 7
+    out.append(number)
+    return bytes(out)
+
+
+def _read_varint(data: bytes, at: int) -> tuple[int, int]:
+    number = shift = 0
+    while True:
+        byte = data[at]
+        at += 1
+        number |= (byte & 0x7F) << shift
+        if byte < 0x80:
+            return (number >> 1) ^ -(number & 1), at
+        shift += 7
+
+
+@F.pandas_udf("binary")
+def _encode(record: pd.DataFrame) -> pd.Series:
+    measures = ["lon", "lat", "altitude", "speed", "orientation"]
+    doubles = record[measures].to_numpy("<f8")
+    packed = (
+        _varint(int(device)) + _varint(len(text)) + text + row.tobytes() + _varint(int(transfer))
+        for device, text, row, transfer in zip(
+            record["device_id"],
+            (t.encode() for t in record["timestamp"]),
+            doubles,
+            record["transfer"],
+        )
+    )
+    return pd.Series(list(packed), dtype="object")
+
+
+@F.pandas_udf(MESSAGE_FIELDS)
+def _decode(value: pd.Series) -> pd.DataFrame:
+    heads, doubles, tails = [], [], []
+    for data in value:
+        device, at = _read_varint(data, 0)
+        size, at = _read_varint(data, at)
+        heads.append((device, data[at : at + size].decode()))
+        doubles.append(data[at + size : at + size + 40])
+        tails.append(_read_varint(data, at + size + 40)[0])
+    measures = np.frombuffer(b"".join(doubles), "<f8").reshape(-1, 5)
+    return pd.DataFrame(
+        {
+            "device_id": np.array([h[0] for h in heads], "int32"),
+            "timestamp": [h[1] for h in heads],
+            **{
+                name: measures[:, i]
+                for i, name in enumerate(("lon", "lat", "altitude", "speed", "orientation"))
+            },
+            "transfer": np.array(tails, "int32"),
+        }
+    )
