@@ -10,20 +10,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.avro.functions import from_avro, to_avro
 
 from roadpulse.functions.text import print_event_time
-from roadpulse.schema import EVENT_AVRO, EVENT_COLUMNS
-
-MESSAGE_FIELDS = (
-    "device_id int, timestamp string, lon double, lat double, altitude double, "
-    "speed double, orientation double, transfer int"
+from roadpulse.schema import EVENT_AVRO, EVENT_COLUMNS, EVENT_SCHEMA
+
+MEASURES = ["lon", "lat", "altitude", "speed", "orientation"]
+MESSAGE = T.StructType(
+    [
+        T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType)
+        for f in EVENT_SCHEMA
+    ]
 )
 
 
 def package_present(spark: SparkSession) -> bool:
+    """Whether Spark's Avro package is on the class path of the session."""
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroUtils")
+        loader = spark._jvm.Thread.currentThread().getContextClassLoader()
+        loader.loadClass("org.apache.spark.sql.avro.CatalystDataToAvro")
     except Exception:
         return False
     return True
@@ -67,10 +73,9 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
         shift += 7
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _encode(record: pd.DataFrame) -> pd.Series:
-    measures = ["lon", "lat", "altitude", "speed", "orientation"]
-    doubles = record[measures].to_numpy("<f8")
+    doubles = record[MEASURES].to_numpy("<f8")
     packed = (
         _varint(int(device)) + _varint(len(text)) + text + row.tobytes() + _varint(int(transfer))
         for device, text, row, transfer in zip(
@@ -83,7 +88,7 @@ def _encode(record: pd.DataFrame) -> pd.Series:
     return pd.Series(list(packed), dtype="object")
 
 
-@F.pandas_udf(MESSAGE_FIELDS)
+@F.pandas_udf(MESSAGE)
 def _decode(value: pd.Series) -> pd.DataFrame:
     heads, doubles, tails = [], [], []
     for data in value:
@@ -97,10 +102,7 @@ def _decode(value: pd.Series) -> pd.DataFrame:
         {
             "device_id": np.array([h[0] for h in heads], "int32"),
             "timestamp": [h[1] for h in heads],
-            **{
-                name: measures[:, i]
-                for i, name in enumerate(("lon", "lat", "altitude", "speed", "orientation"))
-            },
+            **{name: measures[:, i] for i, name in enumerate(MEASURES)},
             "transfer": np.array(tails, "int32"),
         }
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from roadpulse.functions import grid as grid_fn
+from roadpulse.functions.rows import keep_if
 from roadpulse.functions.text import print_event_time
 from roadpulse.schema import BOX, DEFAULTS, EVENT_COLUMNS, Box
 
@@ -15,13 +16,14 @@ ARCHIVE_ZONE = 20
 
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good events, and rejected lines with the reason, from a parsed source.
+    """Good records, and rejected lines with the reason, from a parsed source.
 
-    Both are plain filters on the lazy input; nothing is cached. To store both in one
-    pass, write ``parsed`` partitioned by ``reject IS NULL`` instead.
+    Both are lazy and nothing is cached. To store both in one pass, write ``parsed``
+    partitioned by ``reject IS NULL`` instead.
     """
-    good = parsed.where(F.col("reject").isNull()).drop("line", "reject")
-    bad = parsed.where(F.col("reject").isNotNull()).select("line", "reject")
+    fields = [name for name in parsed.columns if name not in ("line", "reject")]
+    good = keep_if(parsed, F.col("reject").isNull(), fields)
+    bad = keep_if(parsed, F.col("reject").isNotNull(), ["line", "reject"])
     return good, bad
 
 
@@ -48,7 +50,8 @@ def fill_defaults(events: DataFrame) -> DataFrame:
 
 def drop_unidentified(records: DataFrame, id_column: str = "device_random_id") -> DataFrame:
     """Records of vehicles that sent an empty (or no) id are dropped."""
-    return records.where(F.length(F.trim(F.col(id_column).cast("string"))) > 0)
+    identified = F.length(F.trim(F.col(id_column).cast("string"))) > 0
+    return keep_if(records, identified, records.columns)
 
 
 def in_bbox(events: DataFrame, box: Box = BOX) -> DataFrame:

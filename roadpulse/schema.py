@@ -31,17 +31,21 @@ DEFAULTS = {
     "transfer": 0,
 }
 
-# JSON records; the id is a string because an unidentified vehicle sends "".
+# JSON records, all as text: an unidentified vehicle sends the id "", and a value that
+# is no number has to be seen to be rejected.
 JSON_SCHEMA = T.StructType(
     [
-        T.StructField("device_random_id", T.StringType()),
-        T.StructField("recorded_timestamp", T.StringType()),
-        T.StructField("lon", T.DoubleType()),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("altitude", T.DoubleType()),
-        T.StructField("speed", T.DoubleType()),
-        T.StructField("orientation", T.DoubleType()),
-        T.StructField("transfer", T.IntegerType()),
+        T.StructField(name, T.StringType())
+        for name in (
+            "device_random_id",
+            "recorded_timestamp",
+            "lon",
+            "lat",
+            "altitude",
+            "speed",
+            "orientation",
+            "transfer",
+        )
     ]
 )
 

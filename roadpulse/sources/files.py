@@ -36,12 +36,12 @@ def read_gps_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """(archive records, rejected lines) of comma-separated text.
 
-    The header is the first line of a file. As a split does not know its file's first
-    line, it is recognised by its text.
+    A split of a file does not know which line is the first one, so the header is
+    recognised as a line in which no field starts as a number does.
     """
     lines = spark.read.text(path)
     if header:
-        lines = lines.where(~F.lower("value").startswith("device_id,"))
+        lines = lines.where(F.col("value").rlike(r"(^|,)\s*[-+.]?[0-9]"))
     return split_valid(parse_gps_csv(lines))
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.text import parse_event_time, parse_whole
-from roadpulse.operators.clean import drop_unidentified, fill_defaults
-from roadpulse.schema import EVENT_COLUMNS, GPS_SCHEMA, JSON_SCHEMA
+from roadpulse.operators.clean import drop_unidentified
+from roadpulse.schema import DEFAULTS, EVENT_COLUMNS, GPS_SCHEMA, JSON_SCHEMA
 
 
 def parse_tsv(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -20,12 +20,10 @@ def parse_tsv(lines: DataFrame, column: str = "value") -> DataFrame:
     have to be there."""
     fields = F.split(F.col(column), "\t", -1)
     token = {name: F.get(fields, F.lit(i)) for i, name in enumerate(EVENT_COLUMNS)}
-    measures = ("lon", "lat", "altitude", "speed", "orientation")
     parsed = {
         "device_id": parse_whole(token["device_id"]),
         "timestamp": parse_event_time(token["timestamp"]),
-        **{name: _or_zero(token[name], token[name].try_cast("double")) for name in measures},
-        "transfer": _or_zero(token["transfer"], parse_whole(token["transfer"])),
+        **{name: _default_if_empty(name, token[name]) for name in DEFAULTS},
     }
     records = lines.select(
         *(value.alias(name) for name, value in parsed.items()),
@@ -38,37 +36,31 @@ def parse_tsv(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def parse_json(lines: DataFrame, column: str = "value") -> DataFrame:
     """One JSON object per row."""
-    record = F.from_json(F.col(column), JSON_SCHEMA, {"mode": "PERMISSIVE"})
-    return json_events(lines.select(record.alias("_r"), F.col(column).alias("line")).select("_r.*", "line"))
+    record = F.from_json(F.col(column), JSON_SCHEMA)
+    rows = lines.select(record.alias("_record"), F.col(column).alias("line"))
+    return json_events(rows.select("_record.*", "line"))
 
 
 def json_events(records: DataFrame) -> DataFrame:
     """Events of JSON records that were read with ``JSON_SCHEMA``.
 
-    Records without a vehicle id are dropped, the speed is a whole number, and missing
-    measures become 0.
+    Records with an empty vehicle id are dropped; the speed is cut to a whole number;
+    absent measures become 0.
     """
     if "line" not in records.columns:
         records = records.withColumn("line", F.to_json(F.struct(*records.columns)))
-    unreadable = F.col("device_random_id").isNull() & F.col("recorded_timestamp").isNull()
-    kept = drop_unidentified(
-        records.withColumn(
-            "device_random_id",
-            F.when(unreadable, F.lit("?")).otherwise(F.col("device_random_id")),
-        )
-    )
+    # A record without the id field is broken, not unidentified: it is kept to be rejected.
+    known = records.withColumn("device_random_id", F.coalesce("device_random_id", F.lit("?")))
+    kept = drop_unidentified(known)
+    measures = {name: _default_if_empty(name, F.coalesce(name, F.lit(""))) for name in DEFAULTS}
+    speed = measures["speed"]
+    measures["speed"] = F.when(speed < 0, F.ceil(speed)).otherwise(F.floor(speed)).cast("double")
     events = kept.select(
         parse_whole(F.col("device_random_id")).alias("device_id"),
         parse_event_time(F.col("recorded_timestamp")).alias("timestamp"),
-        "lon",
-        "lat",
-        "altitude",
-        F.when(F.col("speed") >= 0, F.floor("speed")).otherwise(F.ceil("speed")).cast("double").alias("speed"),
-        "orientation",
-        "transfer",
+        *(value.alias(name) for name, value in measures.items()),
         "line",
     )
-    events = fill_defaults(events)
     return events.select(*EVENT_COLUMNS, "line", _first_missing().alias("reject"))
 
 
@@ -81,9 +73,7 @@ def parse_gps_csv(lines: DataFrame, column: str = "value") -> DataFrame:
         kind = field.dataType.simpleString()
         parse = {"int": parse_whole, "double": lambda t: t.try_cast("double")}
         values.append(parse.get(kind, lambda t: t)(token).alias(field.name))
-    records = lines.select(
-        *values, F.col(column).alias("line"), F.size(fields).alias("_fields")
-    )
+    records = lines.select(*values, F.col(column).alias("line"), F.size(fields).alias("_fields"))
     reject = F.when(F.col("_fields") != len(GPS_SCHEMA), "field count")
     for field in GPS_SCHEMA:
         reject = reject.when(F.col(field.name).isNull(), field.name)
@@ -104,8 +94,11 @@ def gps_events(records: DataFrame) -> DataFrame:
     )
 
 
-def _or_zero(token: Column, value: Column) -> Column:
-    return F.when(token == "", F.lit(0).cast("double")).otherwise(value)
+def _default_if_empty(name: str, token: Column) -> Column:
+    """Number of an optional field: its default for an empty text, NULL for a bad one."""
+    default = DEFAULTS[name]
+    number = parse_whole(token) if isinstance(default, int) else token.try_cast("double")
+    return F.when(token == "", F.lit(default)).otherwise(number)
 
 
 def _first_missing(reject: Column | None = None) -> Column:
