@@ -5,7 +5,7 @@ one cell and the match is a plain equi-join without state: one row in, at most o
 out, in batch and in streams. The side that grows with traffic (events) is never
 exploded, grouped or sorted.
 
-Crowded cells are split in four, again and again, and on the way a segment is dropped
+Crowded cells are divided, again and again, and on the way a segment is dropped
 from a cell where another one is nearer to every point of it. That is exact: no number
 of candidates is cut off. Cells that stay crowded at the last level are packed in
 several chunks, and an event looks at all of them.
@@ -28,12 +28,14 @@ from roadpulse.functions.geometry import (
     squared_distance,
 )
 from roadpulse.functions.grid import inside
+from roadpulse.functions.rows import keep_if
 from roadpulse.schema import BOX, Box
-from roadpulse.session import checkpoint_root
+from roadpulse.session import materialize
 
 SLOTS = 8  # candidates compared in generated code; a cell with more is split
 CHUNK_SEGMENTS = 4096  # candidates in one packed row
-DEEPEST = 8  # levels of splitting
+SPLIT = 4  # a crowded cell becomes SPLIT x SPLIT cells; a power of 2
+DEEPEST = 4  # levels of splitting
 BROADCAST_BYTES = 128 << 20
 STREAM_SALTS = 32
 SLACK = 1e-6  # in cells; far above the rounding of the cell arithmetic
@@ -43,6 +45,7 @@ CANDIDATE_BYTES = 96
 
 WORLD = Box(west=-360.0, east=360.0, south=-90.0, north=90.0)
 CELL = ["level", "ix", "iy"]
+CELL_ENTRY = ["ix", "iy", "segment_id"]
 
 
 @dataclass(frozen=True)
@@ -81,56 +84,50 @@ def build_road_index(
     box = box or WORLD
     size = cell_size or 2.0 * max_dist
     # Cell numbers stay 32-bit integers at every level.
-    deepest = max(0, min(deepest, int(math.log2((1 << 31) * size / 720.0))))
+    deepest = max(0, min(deepest, int(math.log((1 << 31) * size / 720.0, SPLIT))))
 
-    entries = _spread(_distinct_shapes(_near_box(segments, box, max_dist)), size, max_dist, box)
-    held = entries.groupBy("ix", "iy").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("segment_id")).alias("id_chars")
-    )
-    crowd, rows, id_chars = held.agg(F.max("n"), F.sum("n"), F.sum("id_chars")).first()
-    if (crowd or 0) <= slots:
-        return RoadIndex(
-            cells=_pack(entries.withColumns({"level": F.lit(0), "chunk": F.lit(0)})),
-            splits=[],
-            cell_size=size,
-            max_dist=max_dist,
-            box=box,
-            slots=slots,
-            widest=crowd or 0,
-            chunks=1,
-            size_bytes=_packed_bytes(rows, id_chars),
-            split_cells=0,
-        )
-
-    checkpoint_root(segments.sparkSession)
-    leaves, splits, widest, chunks, split_cells = [], [], slots, 1, 0
-    level = entries.checkpoint()
+    level = _spread(_distinct_shapes(_near_box(segments, box, max_dist)), size, max_dist, box)
+    leaves, splits, split_cells = [], [], 0
+    size_bytes, widest, chunks = 0, 0, 1
     for depth in range(deepest + 1):
-        crowded = (
-            level.groupBy("ix", "iy")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("ceiling").alias("best"))
-            .where(F.col("n") > slots)
+        held = level.groupBy("ix", "iy").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("ceiling").alias("best"),
+            F.sum(F.length("segment_id")).alias("id_chars"),
         )
-        count, most = crowded.agg(F.count(F.lit(1)), F.max("n")).first()
-        cold = level.join(crowded, ["ix", "iy"], "left_anti").withColumn("chunk", F.lit(0))
-        leaves.append(cold.withColumn("level", F.lit(depth)))
-        if count == 0:
-            break
-        hot = level.join(crowded, ["ix", "iy"]).where(F.col("floor") <= F.col("best"))
-        if depth == deepest:
-            widest, chunks = most, math.ceil(most / chunk_segments)
-            parts = F.ceil(F.col("n") / chunk_segments)
-            hot = hot.withColumn("chunk", F.pmod(F.xxhash64("segment_id"), parts).cast("int"))
-            leaves.append(hot.drop("n", "best").withColumn("level", F.lit(depth)))
+        # At the last level cells stay as they are.
+        fits = F.lit(True) if depth == deepest else F.col("n") <= slots
+        packed = F.col("n") * CANDIDATE_BYTES + F.col("id_chars") * 4
+        leaf_bytes, leaf_widest, crowded_cells = held.agg(
+            F.sum(F.when(fits, packed)), F.max(F.when(fits, F.col("n"))), F.count_if(~fits)
+        ).first()
+        size_bytes += leaf_bytes or 0
+        widest = max(widest, leaf_widest or 0)
+        if crowded_cells == 0:
+            chunks = math.ceil(widest / chunk_segments) or 1
+            last = level
+            if chunks > 1:
+                parts = F.ceil(F.col("n") / chunk_segments)
+                last = last.join(held.select("ix", "iy", "n"), ["ix", "iy"])
+                last = last.withColumn("chunk", F.pmod(F.xxhash64("segment_id"), parts))
+            leaves.append(_leaf(last, depth))
             break
+        if depth == 0:
+            level = materialize(level, "road-cells", *CELL_ENTRY)
+            held = level.groupBy("ix", "iy").agg(
+                F.count(F.lit(1)).alias("n"), F.min("ceiling").alias("best")
+            )
+        crowded = held.where(F.col("n") > slots).select("ix", "iy", "best")
+        leaves.append(_leaf(level.join(crowded, ["ix", "iy"], "left_anti"), depth))
         splits.append(crowded.select("ix", "iy"))
-        split_cells += count
-        level = _quarter(hot, size / (1 << (depth + 1)), max_dist).checkpoint()
+        split_cells += crowded_cells
+        # Only what can be nearest somewhere in its cell goes down.
+        hot = level.join(crowded, ["ix", "iy"]).where(F.col("floor") <= F.col("best"))
+        parts = _divide(hot, size / SPLIT ** (depth + 1), max_dist)
+        level = materialize(parts, "road-cells", *CELL_ENTRY)
 
-    packed = reduce(DataFrame.unionByName, leaves).checkpoint()
-    rows, id_chars = packed.agg(F.count(F.lit(1)), F.sum(F.length("segment_id"))).first()
     return RoadIndex(
-        cells=_pack(packed),
+        cells=_pack(reduce(DataFrame.unionByName, leaves)),
         splits=splits,
         cell_size=size,
         max_dist=max_dist,
@@ -138,7 +135,7 @@ def build_road_index(
         slots=slots,
         widest=widest,
         chunks=chunks,
-        size_bytes=_packed_bytes(rows, id_chars),
+        size_bytes=size_bytes,
         split_cells=split_cells,
     )
 
@@ -253,7 +250,7 @@ def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFr
 
     def number(steps: Column, depth: int) -> Column:
         # A factor of a power of two is exact: cells of all levels nest.
-        return F.when(ok, F.floor(steps * float(1 << depth))).cast("int")
+        return F.when(ok, F.floor(steps * float(SPLIT**depth))).cast("int")
 
     if not index.splits:
         return events.withColumns({"ix": number(u, 0), "iy": number(v, 0)})
@@ -268,7 +265,7 @@ def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFr
         events = events.withColumns({ix: number(u, depth), iy: number(v, depth)})
         events = events.join(F.broadcast(split) if small else split, [ix, iy], "left")
         level = level + F.coalesce(F.col(mark), F.lit(0))
-    scale = F.pow(F.lit(2.0), level)
+    scale = F.pow(F.lit(float(SPLIT)), level)
     return events.withColumns(
         {
             "level": level,
@@ -349,7 +346,9 @@ def _unit(value: Column) -> Column:
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
 
 
-def _in_reach(cells: DataFrame, size: float, max_dist: float) -> DataFrame:
+def _in_reach(
+    cells: DataFrame, size: float, max_dist: float, limit: Column | None = None
+) -> DataFrame:
     """Bounds of the distance between a segment and the points of its cell.
 
     ``floor`` is a lower bound and ``ceiling`` an upper one: the distance of the cell's
@@ -358,33 +357,38 @@ def _in_reach(cells: DataFrame, size: float, max_dist: float) -> DataFrame:
     lon = (F.col("ix") + 0.5) * (size / LON_SCALE)
     lat = (F.col("iy") + 0.5) * size
     half = size * (math.sqrt(0.5) + SLACK)
+    limit = F.lit(True) if limit is None else limit
     bounded = cells.withColumn("_mid", F.sqrt(squared_distance(lon, lat, F.col("shape"))))
-    return (
-        bounded.withColumns({"floor": F.col("_mid") - half, "ceiling": F.col("_mid") + half})
-        .drop("_mid")
-        .where(F.col("floor") <= max_dist)
-    )
+    bounded = bounded.withColumns({"floor": F.col("_mid") - half, "ceiling": F.col("_mid") + half})
+    kept = [name for name in bounded.columns if name != "_mid"]
+    return keep_if(bounded, (F.col("floor") <= max_dist) & limit, kept)
 
 
-def _quarter(crowded: DataFrame, size: float, max_dist: float) -> DataFrame:
-    """The four quarters of each crowded cell, each with the segments that can be nearest."""
-    quarters = F.array(
+def _divide(crowded: DataFrame, size: float, max_dist: float) -> DataFrame:
+    """The parts of each crowded cell, each with the segments that can be nearest there."""
+    steps = range(SPLIT)
+    parts = F.array(
         *(
-            F.struct((F.col("ix") * 2 + dx).alias("qx"), (F.col("iy") * 2 + dy).alias("qy"))
-            for dx in (0, 1)
-            for dy in (0, 1)
+            F.struct(
+                (F.col("ix") * SPLIT + dx).alias("_ix"), (F.col("iy") * SPLIT + dy).alias("_iy")
+            )
+            for dx in steps
+            for dy in steps
         )
     )
-    cells = crowded.select("segment_id", "shape", "best", F.inline(quarters))
-    cells = cells.withColumnsRenamed({"qx": "ix", "qy": "iy"})
-    return _in_reach(cells, size, max_dist).where(F.col("floor") <= F.col("best")).drop("best")
+    cells = crowded.select("segment_id", "shape", "best", F.inline(parts))
+    cells = cells.withColumnsRenamed({"_ix": "ix", "_iy": "iy"})
+    return _in_reach(cells, size, max_dist, F.col("floor") <= F.col("best")).drop("best")
+
+
+def _leaf(entries: DataFrame, depth: int) -> DataFrame:
+    chunk = F.col("chunk").cast("int") if "chunk" in entries.columns else F.lit(0)
+    return entries.select(
+        F.lit(depth).alias("level"), "ix", "iy", chunk.alias("chunk"), "segment_id", "shape"
+    )
 
 
 def _pack(leaves: DataFrame) -> DataFrame:
     candidate = F.struct("segment_id", "shape.*")
     packed = F.sort_array(F.collect_list(candidate))
     return leaves.groupBy(*CELL, "chunk").agg(packed.alias("candidates"))
-
-
-def _packed_bytes(rows: int | None, id_chars: int | None) -> int:
-    return (rows or 0) * CANDIDATE_BYTES + 4 * (id_chars or 0)

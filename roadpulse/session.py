@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Timestamps are parsed and printed in UTC, whatever the machine's zone is.
 SETTINGS = {
@@ -44,3 +44,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared one."""
     return f"{checkpoint_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(rows: DataFrame, purpose: str, *spread_by: str) -> DataFrame:
+    """Cut the lineage: write a table in the shared folder and read it back.
+
+    Unlike a checkpoint of the plan this computes the rows once. ``spread_by`` divides
+    the table evenly whatever the division of ``rows`` is.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, purpose)
+    if spread_by:
+        rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *spread_by)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
