@@ -32,7 +32,7 @@ from roadpulse.functions.rows import keep_if
 from roadpulse.schema import BOX, Box
 from roadpulse.session import materialize
 
-SLOTS = 8  # candidates compared in generated code; a cell with more is split
+SLOTS = 16  # candidates compared in generated code; a cell with more is split
 CHUNK_SEGMENTS = 4096  # candidates in one packed row
 SPLIT = 4  # a crowded cell becomes SPLIT x SPLIT cells; a power of 2
 DEEPEST = 4  # levels of splitting
@@ -63,9 +63,6 @@ class RoadIndex:
     size_bytes: int
     split_cells: int
 
-    def fits_broadcast(self, limit: int) -> bool:
-        return self.size_bytes <= limit
-
 
 def build_road_index(
     segments: DataFrame,
@@ -82,7 +79,7 @@ def build_road_index(
     per level of splitting where the network is crowded.
     """
     box = box or WORLD
-    size = cell_size or 2.0 * max_dist
+    size = cell_size or max_dist
     # Cell numbers stay 32-bit integers at every level.
     deepest = max(0, min(deepest, int(math.log((1 << 31) * size / 720.0, SPLIT))))
 
@@ -172,11 +169,9 @@ def match_roads(
 
     keys = CELL if index.splits else ["ix", "iy"]
     cells = index.cells if index.splits else index.cells.drop("level")
-    if index.fits_broadcast(broadcast_bytes):
-        prepare = F.broadcast
-    else:
+    small = index.size_bytes <= broadcast_bytes
+    if not small:
         salts = salts or (STREAM_SALTS if events.isStreaming else 1)
-        prepare = None
         if salts > 1:
             # Any division of the events will do, as every copy holds the whole index.
             located = located.withColumn("_salt", F.spark_partition_id() % salts)
@@ -189,7 +184,7 @@ def match_roads(
         part = cells.where(F.col("chunk") == chunk) if index.chunks > 1 else cells
         packs.append(f"_candidates{chunk}")
         part = part.select(*keys, F.col("candidates").alias(packs[-1]))
-        located = located.join(prepare(part) if prepare else part, keys, join)
+        located = located.join(_build_side(part, small), keys, join)
     located = located.select(*names, *packs)
 
     if index.chunks == 1:
@@ -243,6 +238,14 @@ def _nearest_of_all(pack: str | Column) -> Column:
     )
 
 
+def _build_side(part: DataFrame, small: bool) -> DataFrame:
+    """How the index is joined is decided by its measured size, not by an estimate.
+
+    The shuffled form hashes the index: events are divided by cell but not sorted.
+    """
+    return F.broadcast(part) if small else part.hint("shuffle_hash")
+
+
 def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFrame:
     """Add the cell an event has to look in: the deepest one on the way down."""
     u, v = _cell_units(F.col("lon"), F.col("lat"), index.cell_size)
@@ -263,7 +266,7 @@ def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFr
             F.col("ix").alias(ix), F.col("iy").alias(iy), F.lit(1).alias(mark)
         )
         events = events.withColumns({ix: number(u, depth), iy: number(v, depth)})
-        events = events.join(F.broadcast(split) if small else split, [ix, iy], "left")
+        events = events.join(_build_side(split, small), [ix, iy], "left")
         level = level + F.coalesce(F.col(mark), F.lit(0))
     scale = F.pow(F.lit(float(SPLIT)), level)
     return events.withColumns(

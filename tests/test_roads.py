@@ -179,6 +179,4 @@ def test_events_are_not_shuffled_beside_a_small_index(spark):
     stream_side = plan[: plan.index("BroadcastExchange")]
     assert "Exchange hashpartitioning" not in stream_side
     large = match_roads(events, index, broadcast_bytes=0)
-    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString() or (
-        "ShuffledHashJoin" in large._jdf.queryExecution().executedPlan().toString()
-    )
+    assert "ShuffledHashJoin" in large._jdf.queryExecution().executedPlan().toString()
