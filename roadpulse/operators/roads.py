@@ -37,6 +37,7 @@ CHUNK_SEGMENTS = 4096  # candidates in one packed row
 SPLIT = 4  # a crowded cell becomes SPLIT x SPLIT cells; a power of 2
 DEEPEST = 4  # levels of splitting
 BROADCAST_BYTES = 128 << 20
+BATCH_SALTS = 8
 STREAM_SALTS = 32
 SLACK = 1e-6  # in cells; far above the rounding of the cell arithmetic
 
@@ -171,7 +172,7 @@ def match_roads(
     cells = index.cells if index.splits else index.cells.drop("level")
     small = index.size_bytes <= broadcast_bytes
     if not small:
-        salts = salts or (STREAM_SALTS if events.isStreaming else 1)
+        salts = salts or (STREAM_SALTS if events.isStreaming else BATCH_SALTS)
         if salts > 1:
             # Any division of the events will do, as every copy holds the whole index.
             located = located.withColumn("_salt", F.spark_partition_id() % salts)
