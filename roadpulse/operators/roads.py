@@ -43,6 +43,7 @@ SLACK = 1e-6  # in cells; far above the rounding of the cell arithmetic
 
 # Size of a packed candidate next to its id: five doubles and the row's own overhead.
 CANDIDATE_BYTES = 96
+SPLIT_BYTES = 64
 
 WORLD = Box(west=-360.0, east=360.0, south=-90.0, north=90.0)
 CELL = ["level", "ix", "iy"]
@@ -154,9 +155,9 @@ def match_roads(
     to use one index in several jobs.
 
     An index whose measured size is within ``broadcast_bytes`` is broadcast and events
-    are not shuffled. A larger one is joined by shuffle on the cell: there a crowded
-    cell of *events* is divided by adaptive skew handling in a batch, and by ``salts``
-    copies of the index in a stream.
+    are not shuffled. A larger one is joined by shuffle on the cell: there a cell with a
+    large part of all events is divided over ``salts`` copies of the index, and in a batch
+    by adaptive skew handling as well.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, got {how!r}")
@@ -168,8 +169,8 @@ def match_roads(
         events = events.where(inside(lon, lat, index.box))
     located = _locate(events, index, broadcast_bytes)
 
-    keys = CELL if index.splits else ["ix", "iy"]
-    cells = index.cells if index.splits else index.cells.drop("level")
+    keys = ["_level", "_ix", "_iy"] if index.splits else ["_ix", "_iy"]
+    cells = index.cells.withColumnsRenamed({name: f"_{name}" for name in CELL})
     small = index.size_bytes <= broadcast_bytes
     if not small:
         salts = salts or (STREAM_SALTS if events.isStreaming else BATCH_SALTS)
@@ -189,18 +190,19 @@ def match_roads(
     located = located.select(*names, *packs)
 
     if index.chunks == 1:
-        located, best = _nearest_of_slots(located, names, packs[0], index)
+        located, found = _nearest_of_slots(located, names, packs[0], index)
     else:
         best = F.array_min(F.array(*(_nearest_of_all(pack) for pack in packs)))
+        found = _in_reach_of(index, best)
     # The result leaves through a generator: a filter on it would be pushed below the
     # search and run the search twice.
-    found = F.when(best["_d2"] <= _reach_squared(index), F.array(best))
     matched = located.select(*names, F.inline(found) if how == "inner" else F.inline_outer(found))
     return matched.select(*names, "segment_id", F.sqrt("_d2").alias("distance"))
 
 
-def _reach_squared(index: RoadIndex) -> float:
-    return index.max_dist * index.max_dist
+def _in_reach_of(index: RoadIndex, best: Column) -> Column:
+    """Array of the nearest candidate, or of nothing when it is too far; one evaluation."""
+    return F.filter(F.array(best), lambda b: b["_d2"] <= index.max_dist * index.max_dist)
 
 
 def _nearest_of_slots(
@@ -224,8 +226,9 @@ def _nearest_of_slots(
     if index.widest > index.slots:
         others = F.slice(pack, index.slots + 1, index.widest)
         more = F.when(F.size(pack) > index.slots, _nearest_of_all(others))
-        best = F.array_min(F.array(best, more))
-    return located, best
+        return located, _in_reach_of(index, F.array_min(F.array(best, more)))
+    near = F.col("_d2") <= index.max_dist * index.max_dist
+    return located, F.when(near, F.array(best))
 
 
 def _nearest_of_all(pack: str | Column) -> Column:
@@ -257,24 +260,22 @@ def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFr
         return F.when(ok, F.floor(steps * float(SPLIT**depth))).cast("int")
 
     if not index.splits:
-        return events.withColumns({"ix": number(u, 0), "iy": number(v, 0)})
+        return events.withColumns({"_ix": number(u, 0), "_iy": number(v, 0)})
 
-    small = index.split_cells * 16 <= broadcast_bytes
+    small = index.split_cells * SPLIT_BYTES <= broadcast_bytes
     level = F.lit(0)
     for depth, split in enumerate(index.splits):
         ix, iy, mark = f"_ix{depth}", f"_iy{depth}", f"_split{depth}"
-        split = split.select(
-            F.col("ix").alias(ix), F.col("iy").alias(iy), F.lit(1).alias(mark)
-        )
+        split = split.select(F.col("ix").alias(ix), F.col("iy").alias(iy), F.lit(1).alias(mark))
         events = events.withColumns({ix: number(u, depth), iy: number(v, depth)})
         events = events.join(_build_side(split, small), [ix, iy], "left")
         level = level + F.coalesce(F.col(mark), F.lit(0))
     scale = F.pow(F.lit(float(SPLIT)), level)
     return events.withColumns(
         {
-            "level": level,
-            "ix": F.when(ok, F.floor(u * scale)).cast("int"),
-            "iy": F.when(ok, F.floor(v * scale)).cast("int"),
+            "_level": level,
+            "_ix": F.when(ok, F.floor(u * scale)).cast("int"),
+            "_iy": F.when(ok, F.floor(v * scale)).cast("int"),
         }
     )
 

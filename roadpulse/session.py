@@ -35,13 +35,19 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="roadpulse-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return named or current
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without one gets a temporary folder; on a cluster that would not be
+    seen by all executors, so there it is an error.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="roadpulse-"))
+        root = context.getCheckpointDir()
+    return root
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
