@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Where the documents are looked for.
-INDEX = "thessaloniki"
-DOCUMENT_TYPE = "floating-cars"
+RESOURCE = "thessaloniki/floating-cars"  # fixed value: index and document type
 
 
 def to_documents(results: DataFrame) -> DataFrame:
@@ -43,7 +41,7 @@ def write_documents(
 def write_search_index(
     results: DataFrame,
     nodes: str,
-    index: str = INDEX,
+    resource: str = RESOURCE,
     checkpoint: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery | None:
@@ -51,7 +49,7 @@ def write_search_index(
     documents = with_document_id(to_documents(results))
     options = {
         "es.nodes": nodes,
-        "es.resource": index,
+        "es.resource": resource,
         "es.mapping.id": "doc_id",
         "es.mapping.exclude": "doc_id",
         "es.write.operation": "index",
