@@ -20,6 +20,8 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.driver.memory": "4g",
         },
     )
