@@ -4,7 +4,7 @@ A geohash of ``bits`` bits is a pair of integers: ``x`` (longitude, one bit more
 ``bits`` is odd) and ``y`` (latitude). Grouping, shifting and decoding use the pair;
 the interleaved number and its text are made only where they are shown. The binary
 digits of a number, read as base-4 digits, are that number with a zero bit before every
-bit; a table of that for every byte spreads a coordinate in a few array lookups.
+bit; a table of that for every four bits spreads a coordinate in a few array lookups.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ SCALE_BITS = 31
 MAX_BITS = 61
 TAGGED = 1 << 62
 
-SPREAD_BYTES = ", ".join(f"{int(format(byte, 'b'), 4)}L" for byte in range(256))
+SPREAD_FOURS = ", ".join(f"{int(format(four, 'b'), 4)}L" for four in range(16))
 LETTERS = ", ".join(f"'{letter}'" for letter in ALPHABET)
 
 
@@ -64,11 +64,11 @@ def interleave(x: Column, y: Column, bits: int) -> Column:
 
 
 def _spread(value: Column, keep: int) -> Column:
-    table = F.expr(f"array({SPREAD_BYTES})")
+    table = F.expr(f"array({SPREAD_FOURS})")
     spread = F.lit(0).cast("bigint")
-    for at in range(0, keep, 8):
-        byte = F.shiftright(value, at).bitwiseAND(F.lit(255)).cast("int")
-        spread = spread.bitwiseOR(F.shiftleft(F.get(table, byte), 2 * at))
+    for at in range(0, keep, 4):
+        four = F.shiftright(value, at).bitwiseAND(F.lit(15)).cast("int")
+        spread = spread.bitwiseOR(F.shiftleft(F.get(table, four), 2 * at))
     return spread
 
 
