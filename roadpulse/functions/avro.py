@@ -6,8 +6,11 @@ an Arrow-batched codec for this one fixed record takes over.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,9 @@ from pyspark.sql.avro.functions import from_avro, to_avro
 from roadpulse.functions.text import print_event_time
 from roadpulse.schema import EVENT_AVRO, EVENT_COLUMNS, EVENT_SCHEMA
 
+# The codec travels with the task: workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEASURES = ["lon", "lat", "altitude", "speed", "orientation"]
 MESSAGE = T.StructType(
     [
