@@ -27,6 +27,12 @@ from roadpulse.sources import records
 from roadpulse.sources.kafka import from_messages
 from roadpulse.streaming.event_time import with_fcd_watermark
 
+# The subpackage for language-model data may be absent; nothing else needs it.
+try:
+    from roadpulse.llm import registry as llm
+except ImportError:
+    llm = None
+
 MAX_DIST = 0.001
 DAY = 24 * 60
 
@@ -482,6 +488,14 @@ GPS = f"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return road_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return road_sql() | (llm.oracle_sql() if llm else {})
+
+
+def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "grid_traffic_2min": grid_2min,
         "grid_traffic_1day": grid_1day,
@@ -525,7 +539,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def road_sql() -> dict[str, str]:
     tab = "chr(9)"
     fields = ["device_id", EVENT_TIME, "lon", "lat", "altitude", "speed", "orientation", "transfer"]
     tsv = f" || {tab} || ".join(f"CAST({field} AS VARCHAR)" for field in fields)

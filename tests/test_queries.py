@@ -25,7 +25,7 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.road_queries()) == set(driver.road_sql())
 
 
 def test_entry(spark):
@@ -34,10 +34,10 @@ def test_entry(spark):
     assert result.count() == 998
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.road_queries())
 def test_query(spark, tables, name):
-    result = driver.queries()[name](spark, SF_DIR)
-    cursor = tables.execute(driver.oracle_sql()[name])
+    result = driver.road_queries()[name](spark, SF_DIR)
+    cursor = tables.execute(driver.road_sql()[name])
     columns = [column[0] for column in cursor.description]
     assert sorted(result.columns) == sorted(columns)
     assert ordered(map(tuple, result.select(*columns).collect())) == ordered(cursor.fetchall())
