@@ -103,24 +103,37 @@ def patterns(total: int, most: int) -> list[tuple[int, ...]]:
     return found
 
 
-def nonnegative_fit(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Active-set non-negative least squares."""
-    count = matrix.shape[1]
-    fitted, active = np.zeros(count), np.zeros(count, bool)
+def nonnegative_fit(ways: list[tuple[int, ...]], target: np.ndarray) -> np.ndarray:
+    """Repeat counts of patterns (tuples of places in ``target``) by active-set
+    non-negative least squares."""
+    most = max(map(len, ways))
+    blank = len(target)
+    places = np.array([way + (blank,) * (most - len(way)) for way in ways])
+    fitted, active = np.zeros(len(ways)), np.zeros(len(ways), bool)
     tolerance = 1e-9 * max(1.0, float(np.abs(target).max(initial=0.0)))
-    for _ in range(6 * matrix.shape[0]):
-        gradient = matrix.T @ (target - matrix @ fitted)
+
+    def columns(chosen: np.ndarray) -> np.ndarray:
+        matrix = np.zeros((blank + 1, len(chosen)))
+        for place in places[chosen].T:
+            matrix[place, np.arange(len(chosen))] += 1
+        return matrix[:blank]
+
+    left = np.append(target, 0.0)
+    for _ in range(6 * blank):
+        gradient = left[places].sum(axis=1)
         gradient[active] = -np.inf
         best = int(np.argmax(gradient))
         if gradient[best] <= tolerance:
             break
         active[best] = True
-        while True:
+        while active.any():
             chosen = np.flatnonzero(active)
-            values = np.linalg.lstsq(matrix[:, chosen], target, rcond=None)[0]
+            matrix = columns(chosen)
+            values = np.linalg.lstsq(matrix, target, rcond=None)[0]
             if values.min() > tolerance:
                 fitted[:] = 0
                 fitted[chosen] = values
+                left[:blank] = target - matrix @ values
                 break
             now = fitted[chosen]
             falling = values <= tolerance
@@ -131,8 +144,6 @@ def nonnegative_fit(matrix: np.ndarray, target: np.ndarray) -> np.ndarray:
                 gone = chosen[[int(np.argmin(values))]]
             fitted[gone] = 0
             active[gone] = False
-            if not active.any():
-                break
     return fitted
 
 
@@ -157,11 +168,8 @@ def plan_packing(
         way for way in patterns(steps, PATTERN_DOCS) if all(of_class[part - 1] for part in way)
     ]
     if ways:
-        matrix = np.zeros((steps, len(ways)))
-        for column, way in enumerate(ways):
-            for part in way:
-                matrix[part - 1, column] += 1
-        repeats = np.floor(nonnegative_fit(matrix, of_class) + 1e-6).astype(np.int64)
+        fitted = nonnegative_fit([tuple(part - 1 for part in way) for way in ways], of_class)
+        repeats = np.floor(fitted + 1e-6).astype(np.int64)
         for column in np.argsort(-repeats, kind="stable"):
             if repeats[column] == 0:
                 break

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import language_id, packing, sharding, token_counts, token_files, topk, url_filter
+from roadpulse.llm import (
+    decontaminate,
+    language_id,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+    topk,
+    url_filter,
+)
 from roadpulse.session import scratch_path
 
 
@@ -16,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -33,6 +49,13 @@ def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_rare_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents and what was found in each."""
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     file = public_tokenizers.path("word_bpe_49k.json")
@@ -50,6 +73,10 @@ def op6_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op7_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), file)
@@ -66,13 +93,17 @@ def op10_heap_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_co_training": op1_co_training,
         "op2_url_vocabulary": op2_url_vocabulary,
         "op3_sampled_splitters": op3_sampled_splitters,
+        "op4_rare_seeds": op4_rare_seeds,
         "op5_token_files": op5_token_files,
         "op6_max_score": op6_max_score,
+        "op7_simhash_blocks": op7_simhash_blocks,
         "op8_pattern_packing": op8_pattern_packing,
         "op9_partial_matching": op9_partial_matching,
         "op10_heap_merges": op10_heap_merges,
+        "pipeline": corpus_pipeline.run,
     }
 
 
