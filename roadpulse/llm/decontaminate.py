@@ -6,10 +6,10 @@ vocabulary; all other words of a document are one unknown word.
 1. Passages: where a document has an n-gram of ``SEED_WORDS`` words that some test item
    has, the words around it (as far as the longest item reaches) are cut out; overlapping
    cuts are one passage. This is one pass over the texts; nothing else of them moves on.
-2. Rare seeds: passages with each n-gram are counted over the whole corpus, and of every
-   ``SEED_WINDOW`` neighbouring n-grams of an item the one in the fewest passages is a
-   seed. So each stretch of ``SEED_WORDS + SEED_WINDOW - 1`` intact words holds a seed,
-   however often it was copied, and no seed is dropped for being frequent.
+2. Rare seeds: passages with each n-gram are counted over the whole corpus. An n-gram in
+   at most ``RARE`` passages is a seed, and so is, of every ``SEED_WINDOW`` neighbouring
+   n-grams of an item, the one in the fewest passages. So each stretch of ``SEED_WORDS +
+   SEED_WINDOW - 1`` intact words holds a seed, however often it was copied.
 3. Seeds join passages to items, and Smith-Waterman alignment (match 2, other word or gap
    -1) scores each pair. An item of L words is found if its score is that of
    ``needed_words(L)`` matches: 0.4 of the item, at least 7 words and at most 30.
@@ -38,6 +38,7 @@ from roadpulse.session import materialize
 
 SEED_WORDS = 4
 SEED_WINDOW = 2
+RARE = 1000
 SLICE_WORDS = 4_000_000
 MATCH, OTHER = 2, -1
 WORD = re.compile(r"[^\W_]+")
@@ -231,10 +232,10 @@ def _leaks_of_slice(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _rare(grams: list[int], frequency: dict[int, int]) -> set[int]:
-    """The n-gram in the fewest passages of every few neighbours; the first of equals."""
+    """Rare n-grams, and the one in the fewest passages of every few neighbours."""
     window = min(SEED_WINDOW, len(grams))
     met = [frequency.get(gram, 0) for gram in grams]
-    found = set()
+    found = {gram for gram, count in zip(grams, met) if 0 < count <= RARE}
     for start in range(len(grams) - window + 1) if grams else ():
         # One that no passage has cannot join, so the rarest of the others is taken.
         there = [at for at in range(start, start + window) if met[at]]
