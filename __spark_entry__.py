@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from datetime import timedelta
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -20,9 +21,11 @@ from roadpulse.functions.geohash import ALPHABET
 from roadpulse.functions.text import print_event_time
 from roadpulse.operators import clean, geohash, grid, roads, traffic
 from roadpulse.plans import jobs, views
-from roadpulse.plans.views import COPIES_SQL, EVENTS_SQL, RAW_SQL, ROADS_SQL
+from roadpulse.plans.views import COPIES_SQL, EVENTS_SQL, EXTREMES_SQL, RAW_SQL, ROADS_SQL
+from roadpulse.schema import EVENT_COLUMNS
 from roadpulse.session import scratch_path
 from roadpulse.sinks import documents, files, kafka
+from roadpulse.sources import files as sources
 from roadpulse.sources import records
 from roadpulse.sources.kafka import from_messages
 from roadpulse.streaming.event_time import with_fcd_watermark
@@ -82,12 +85,86 @@ def grid_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 
 def grid_folders_written(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "grid-folders")
-    files.write_bucketed(grid_1day(spark, sf), path, file_format="parquet")
+    for _ in range(2):
+        files.write_bucketed(grid_1day(spark, sf), path, file_format="parquet")
     return spark.read.parquet(path).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("cells"), F.sum("vehicles").alias("vehicles")
     )
 
 
+def documents_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Written twice and read again."""
+    path = scratch_path(spark, "documents")
+    for _ in range(2):
+        documents.write_documents(grid_1day(spark, sf), path)
+    schema = "cellid int, location string, vehicles bigint, timestamp string, doc_id string"
+    return spark.read.schema(schema).json(path).drop("bucket")
+
+
+def files_grid_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as text files that overlap in time, through the program for files."""
+    source, sink = scratch_path(spark, "fcd-text"), scratch_path(spark, "grid-text")
+    lines = clean.to_tsv_line(views.fcd_events(spark, sf).repartition(12, "event_id"))
+    files.write_tsv(lines, source)
+    jobs.grid_from_files(spark, source, 2, sink)
+    return spark.read.text(sink).select(F.col("value").alias("line"))
+
+
+def tsv_split_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and rejected records stored in one pass."""
+    good, bad = clean.store_split(_tsv_records(spark, sf), scratch_path(spark, "split"))
+    good = good.select(F.lit(None).cast("string").alias("reject"))
+    return clean.reject_counts(good.union(bad.select("reject")))
+
+
+def json_array_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays of records in files, one of them cut short in its last record."""
+    events = views.fcd_raw(spark, sf)
+    record = F.struct("event_id", *_json_fields())
+    arrays = events.groupBy((F.col("event_id") % 8).alias("part")).agg(
+        F.to_json(F.transform(F.sort_array(F.collect_list(record)), lambda r: r)).alias("value")
+    )
+    cut = F.substring("value", F.lit(1), F.length("value") - 10)
+    arrays = arrays.withColumn("value", F.when(F.col("part") == 0, cut).otherwise(F.col("value")))
+    path = scratch_path(spark, "arrays")
+    arrays.select("value").write.text(path)
+    good, bad = sources.read_fcd_json(spark, path)
+    return _printed(good).select("*", F.lit(None).cast("string").alias("reject")).unionByName(
+        bad.select("reject"), allowMissingColumns=True
+    )
+
+
+def archive_header_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Archive files with a header and a line that is no record in each."""
+    archive = clean.to_gps_columns(views.fcd_events(spark, sf))
+    lines = archive.select(F.concat_ws(",", *archive.columns).alias("value"))
+    other = spark.createDataFrame([(",".join(archive.columns),), ("no,record",)], "value string")
+    path = scratch_path(spark, "archive")
+    for part in (0, 1):
+        rows = lines.where(F.crc32("value") % 2 == part)
+        other.union(rows).write.mode("append").text(path)
+    good, bad = sources.read_gps_csv(spark, path, header=True)
+    good = good.select(F.lit(None).cast("string").alias("reject"))
+    return clean.reject_counts(good.union(bad.select("reject")))
+
+
+def gps_events(spark: SparkSession, sf: str) -> DataFrame:
+    return _printed(records.gps_events(parse_gps_csv(spark, sf)))
+
+
+def covering_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of mixed precision, decoded by their tags."""
+    cells = geohash.covering_geohash(views.fcd_events(spark, sf))
+    return geohash.with_geohash_bounds(cells.select("device_id", "geohash_long"))
+
+
+def covering_shifted(spark: SparkSession, sf: str) -> DataFrame:
+    cells = geohash.covering_geohash(views.fcd_events(spark, sf)).select("device_id", "geohash_long")
+    moved = geohash.shift_geohash(cells, -2, 3)
+    plain = geohash.untag_geohash(moved.withColumn("plain", F.col("geohash_long")), "plain")
+    return plain.select("device_id", "geohash_long", "plain", "precision")
+
+
 def bbox_flag(spark: SparkSession, sf: str) -> DataFrame:
     return clean.in_bbox(views.fcd_events(spark, sf)).select("event_id", "in_bbox")
 
@@ -101,7 +178,7 @@ def fill_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gps_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.to_gps_columns(views.fcd_events(spark, sf))
+    return clean.to_gps_columns(views.fcd_extremes(spark, sf))
 
 
 def tsv_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,17 +285,7 @@ def tsv_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def parse_json(spark: SparkSession, sf: str) -> DataFrame:
     events = views.fcd_raw(spark, sf)
-    lines = events.select(
-        F.to_json(
-            F.struct(
-                F.when(F.col("event_id") % 19 == 0, "")
-                .otherwise(F.col("device_id").cast("string"))
-                .alias("device_random_id"),
-                print_event_time(F.col("timestamp")).alias("recorded_timestamp"),
-                *clean.DEFAULTS,
-            )
-        ).alias("value")
-    )
+    lines = events.select(F.to_json(F.struct(*_json_fields())).alias("value"))
     return _printed(clean.split_valid(records.parse_json(lines))[0])
 
 
@@ -228,13 +295,21 @@ def parse_gps_csv(spark: SparkSession, sf: str) -> DataFrame:
     return clean.split_valid(records.parse_gps_csv(lines))[0]
 
 
+def _json_fields() -> list:
+    """Fields of a JSON record; every 19th vehicle does not identify itself."""
+    name = F.when(F.col("event_id") % 19 == 0, "").otherwise(F.col("device_id").cast("string"))
+    time = print_event_time(F.col("timestamp")).alias("recorded_timestamp")
+    return [name.alias("device_random_id"), time, *clean.DEFAULTS]
+
+
 def message_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages in the JSON layout; the Avro layout needs a package."""
     events = views.fcd_events(spark, sf)
-    return _printed(from_messages(kafka.to_messages(events)))
+    return _printed(from_messages(kafka.to_messages(events, "json"), "json"))
 
 
 def stream_grid_traffic(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a file stream; all windows the watermark has closed."""
+    """The events table as a file stream in several batches; all windows."""
     report = jobs.grid_report(_event_stream(spark, sf), 2)
     path = scratch_path(spark, "stream-grid")
     _drain(spark, report, path)
@@ -253,18 +328,28 @@ def stream_road_traffic(spark: SparkSession, sf: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     events = _event_stream(spark, sf)
     copies = events.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), (F.col("event_id") % 7 == 0).cast("int")))
+        "_copy", F.explode(F.sequence(F.lit(0), (F.col("device_id") % 7 == 0).cast("int")))
     ).drop("_copy")
     path = scratch_path(spark, "stream-dedup")
     _drain(spark, clean.dedup_events(with_fcd_watermark(copies)), path)
-    return _printed(spark.read.parquet(path))
+    last = views.fcd_events(spark, sf).agg(F.max("timestamp")).first()[0]
+    return _printed(spark.read.parquet(path).where(F.col("timestamp") <= F.lit(last)))
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = views.table(spark, sf, "events").schema
-    source = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/events.parquet*")
-    events = spark.sql(EVENTS_SQL.replace("FROM events", "FROM {source}"), source=source)
-    return events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    """The events as files that arrive in the order of time, a batch each, and a tick that
+    closes the last windows. The tick's own window stays open."""
+    events = views.fcd_events(spark, sf).select(*EVENT_COLUMNS)
+    path = scratch_path(spark, "fcd-stream")
+    first, last = events.agg(F.min("timestamp"), F.max("timestamp")).first()
+    step = (last - first) / 3 + timedelta(microseconds=1)
+    for part in range(3):
+        begin = first + part * step
+        inside = (F.col("timestamp") >= begin) & (F.col("timestamp") < begin + step)
+        events.where(inside).coalesce(1).write.mode("append").parquet(path)
+    tick = events.limit(1).withColumn("timestamp", F.lit(last + timedelta(days=3)))
+    tick.write.mode("append").parquet(path)
+    return sources.stream_fcd(spark, path, files_per_trigger=1, file_format="parquet")
 
 
 def _drain(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -460,12 +545,25 @@ def _road_sql(minutes: int, where: str = "TRUE") -> str:
     """
 
 
-# A window has closed when the latest event is 60 s past its end.
-def _closed(minutes: int) -> str:
-    latest = "(SELECT max(ts) FROM events)"
-    return f"{_window_end(minutes)} <= {latest} - INTERVAL 60 SECONDS"
-
-
+# Covering cells with their coordinates.
+COVERED = f"""
+    points AS (SELECT device_id, {_z_sql(60)} AS z FROM ({_xy_sql(60)})),
+    prefixes AS (
+        SELECT device_id, 60 - cut AS p, min(z >> cut) AS z
+        FROM points CROSS JOIN range(61) AS r(cut)
+        GROUP BY device_id, cut HAVING count(DISTINCT z >> cut) = 1
+    ),
+    finest AS (SELECT device_id, max(p) AS p FROM prefixes GROUP BY 1),
+    placed AS (
+        SELECT device_id, p,
+               z | CAST({1 << 62} AS BIGINT) | (CAST(1 AS BIGINT) << p) AS geohash_long,
+               CAST(list_sum([((z >> (2 * i + 1 - p % 2)) & 1) << i FOR i IN range(31)]) AS BIGINT)
+                   AS x,
+               CAST(list_sum([((z >> (2 * i + p % 2)) & 1) << i FOR i IN range(31)]) AS BIGINT)
+                   AS y
+        FROM finest JOIN prefixes USING (device_id, p)
+    )
+"""
 FILLED = f"""
     SELECT event_id, device_id, timestamp, coalesce(lon, 0e0) AS lon, coalesce(lat, 0e0) AS lat,
            coalesce(altitude, 0e0) AS altitude, coalesce(speed, 0e0) AS speed,
@@ -480,10 +578,10 @@ TSV_REJECT = """
 """
 GPS = f"""
     SELECT device_id, {EVENT_TIME} AS inserted_timestamp, lon AS longitude, lat AS latitude,
-           altitude, CAST(trunc(speed) AS INT) AS speed, orientation,
+           altitude, TRY_CAST(trunc(speed) AS INT) AS speed, orientation,
            {EVENT_TIME} AS recorded_timestamp, 1 AS valid, 20 AS zoneid, transfer,
            {EVENT_TIME} AS unix_timestamp
-    FROM ({EVENTS_SQL})
+    FROM ({{}})
 """
 
 
@@ -505,6 +603,8 @@ def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grid_folders": grid_folders,
         "grid_overwrite": grid_overwrite,
         "grid_folders_written": grid_folders_written,
+        "documents_written": documents_written,
+        "files_grid_traffic": files_grid_traffic,
         "bbox_flag": bbox_flag,
         "bbox_filter": bbox_filter,
         "fill_defaults": fill_defaults,
@@ -520,6 +620,8 @@ def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "geohash_neighbours": geohash_neighbours,
         "covering_geohash": covering_geohash,
         "geohash_rollup": geohash_rollup,
+        "covering_bounds": covering_bounds,
+        "covering_shifted": covering_shifted,
         "geohash_traffic": geohash_traffic,
         "geohash_traffic_1day": geohash_traffic_1day,
         "match_roads": match_roads,
@@ -532,6 +634,10 @@ def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tsv_rejects": tsv_rejects,
         "parse_json": parse_json,
         "parse_gps_csv": parse_gps_csv,
+        "gps_events": gps_events,
+        "tsv_split_written": tsv_split_written,
+        "json_array_file": json_array_file,
+        "archive_header_file": archive_header_file,
         "message_round_trip": message_round_trip,
         "stream_grid_traffic": stream_grid_traffic,
         "stream_road_traffic": stream_road_traffic,
@@ -549,7 +655,14 @@ def road_sql() -> dict[str, str]:
         for n in (0, 4, 5, 6)
     )
     bbox = f"SELECT {COLUMNS} FROM ({EVENTS_SQL}) WHERE {INSIDE}"
-    distinct = f"SELECT DISTINCT {COLUMNS} FROM ({COPIES_SQL})"
+    distinct = f"""
+        SELECT {COLUMNS} FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY device_id, epoch_ms(timestamp)
+                ORDER BY event_id, timestamp, lon, lat, altitude, speed, orientation, transfer
+            ) AS copy
+            FROM ({COPIES_SQL})
+        ) WHERE copy = 1"""
     matches = f"WITH {MATCHED} SELECT event_id, segment_id"
     return {
         "grid_traffic_2min": _grid_sql(2),
@@ -576,7 +689,7 @@ def road_sql() -> dict[str, str]:
         "bbox_flag": f"SELECT event_id, {INSIDE} AS in_bbox FROM ({EVENTS_SQL})",
         "bbox_filter": bbox,
         "fill_defaults": f"SELECT {COLUMNS} FROM ({FILLED})",
-        "gps_columns": GPS,
+        "gps_columns": GPS.format(EXTREMES_SQL),
         "tsv_lines": f"SELECT {tsv} AS value FROM ({EVENTS_SQL})",
         "dedup_events": distinct,
         "geohash_points": f"""
@@ -638,12 +751,58 @@ def road_sql() -> dict[str, str]:
         "parse_json": f"""
             SELECT {PARSED.replace("speed", "trunc(speed) AS speed")}
             FROM ({FILLED}) WHERE event_id % 19 <> 0""",
-        "parse_gps_csv": GPS,
+        "parse_gps_csv": GPS.format(EVENTS_SQL),
+        "gps_events": f"SELECT {PARSED.replace('speed', 'trunc(speed) AS speed')} FROM ({EVENTS_SQL})",
+        "archive_header_file": """
+            SELECT NULL AS reject, count(*) AS records FROM events
+            UNION ALL SELECT 'field count', 2""",
+        "tsv_split_written": f"""
+            SELECT {TSV_REJECT} AS reject, count(*) AS records FROM ({FILLED}) GROUP BY 1""",
+        "json_array_file": f"""
+            SELECT {PARSED.replace("speed", "trunc(speed) AS speed")}, NULL AS reject
+            FROM ({FILLED}) WHERE event_id % 19 <> 0 AND event_id <>
+                (SELECT max(event_id) FROM events WHERE event_id % 8 = 0)
+            UNION ALL SELECT {", ".join(["NULL"] * 8)}, 'array'""",
+        "files_grid_traffic": f"""
+            SELECT '(' || concat_ws(',', cellid, lat, lon, vehicles, timestamp) || ')' AS line
+            FROM ({_grid_sql(2)})""",
+        "documents_written": f"""
+            SELECT cellid, CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) AS location,
+                   vehicles, timestamp, CAST(cellid AS VARCHAR) || '|' || timestamp AS doc_id
+            FROM ({_grid_sql(DAY)})""",
+        "covering_bounds": f"""
+            WITH {COVERED}, errors AS (
+                SELECT *, 90e0 / CAST(CAST(1 AS BIGINT) << (p // 2) AS DOUBLE) AS lat_err,
+                       180e0 / CAST(CAST(1 AS BIGINT) << ((p + 1) // 2) AS DOUBLE) AS lon_err
+                FROM placed
+            ), centred AS (
+                SELECT device_id, geohash_long, lat_err, lon_err,
+                       y / CAST(CAST(1 AS BIGINT) << (p // 2) AS DOUBLE) * 180e0 - 90e0 + lat_err
+                           AS lat,
+                       x / CAST(CAST(1 AS BIGINT) << ((p + 1) // 2) AS DOUBLE) * 360e0 - 180e0
+                           + lon_err AS lon
+                FROM errors
+            )
+            SELECT *, lat - lat_err AS min_lat, lat + lat_err AS max_lat,
+                   lon - lon_err AS min_lon, lon + lon_err AS max_lon
+            FROM centred""",
+        "covering_shifted": f"""
+            WITH {COVERED}, moved AS (
+                SELECT device_id, p,
+                       (x + (CAST(1 AS BIGINT) << ((p + 1) // 2)) - 2)
+                           % (CAST(1 AS BIGINT) << ((p + 1) // 2)) AS x,
+                       (y + 3) % (CAST(1 AS BIGINT) << (p // 2)) AS y
+                FROM placed
+            ), numbered AS (
+                SELECT device_id, p, CASE WHEN p % 2 = 0 THEN {_z_sql(60)}
+                       ELSE {_z_sql(61)} END AS plain
+                FROM moved
+            )
+            SELECT device_id, plain, CAST(p AS INT) AS precision,
+                   plain | CAST({1 << 62} AS BIGINT) | (CAST(1 AS BIGINT) << p) AS geohash_long
+            FROM numbered""",
         "message_round_trip": f"SELECT {PARSED} FROM ({EVENTS_SQL})",
-        "stream_grid_traffic": f"""
-            SELECT * FROM ({_grid_sql(2)})
-            WHERE CAST(timestamp AS TIMESTAMP)
-                <= (SELECT max(ts) FROM events) - INTERVAL 60 SECONDS""",
-        "stream_road_traffic": _road_sql(DAY, _closed(DAY)),
-        "stream_dedup": f"SELECT {COLUMNS} FROM ({EVENTS_SQL})",
+        "stream_grid_traffic": _grid_sql(2),
+        "stream_road_traffic": _road_sql(DAY),
+        "stream_dedup": f"SELECT {PARSED} FROM ({EVENTS_SQL})",
     }

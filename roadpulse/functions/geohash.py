@@ -74,12 +74,49 @@ def _spread(value: Column, keep: int) -> Column:
 
 def deinterleave(number: Column, bits: int) -> tuple[Column, Column]:
     """(x, y) of an interleaved number."""
-    pairs = F.conv(number.cast("string"), 10, 4)
-    high = F.conv(F.translate(pairs, "0123", "0011"), 2, 10).cast("bigint")
-    low = F.conv(F.translate(pairs, "0123", "0101"), 2, 10).cast("bigint")
+    high, low = _gather(F.shiftright(number, 1)), _gather(number)
     return (low, high) if bits % 2 else (high, low)
 
 
+def deinterleave_tagged(tagged: Column) -> tuple[Column, Column, Column]:
+    """(x, y, precision) of a tagged number; NULL without a tag."""
+    precision = tagged_precision(tagged)
+    number = tagged.bitwiseAND(ones(precision))
+    high, low = _gather(F.shiftright(number, 1)), _gather(number)
+    odd = precision % 2 == 1
+    x = F.when(odd, low).otherwise(high)
+    y = F.when(odd, high).otherwise(low)
+    return x, y, precision
+
+
+def interleave_tagged(x: Column, y: Column, precision: Column) -> Column:
+    """Tagged number of a cell of ``precision`` bits."""
+    odd = precision % 2 == 1
+    low, high = F.when(odd, x).otherwise(y), F.when(odd, y).otherwise(x)
+    number = F.shiftleft(_spread(high, 31), 1).bitwiseOR(_spread(low, 31))
+    return number.bitwiseOR(ones(precision) + 1).bitwiseOR(F.lit(TAGGED).cast("bigint"))
+
+
+def ones(count: Column) -> Column:
+    """A number of ``count`` one bits."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), count.cast("int")) - 1
+
+
+def _gather(number: Column) -> Column:
+    """Every second bit, the lowest first, put together: pairs, fours and so on move up to
+    each other."""
+    kept = number.bitwiseAND(F.lit(_every_second(1)).cast("bigint"))
+    for width in (1, 2, 4, 8, 16):
+        moved = kept.bitwiseOR(F.shiftright(kept, width))
+        kept = moved.bitwiseAND(F.lit(_every_second(2 * width)).cast("bigint"))
+    return kept
+
+
+def _every_second(width: int) -> int:
+    """Groups of ``width`` one bits with as many zero bits between them, in 62 bits."""
+    return sum(((1 << width) - 1) << at for at in range(0, 62, 2 * width)) & ((1 << 62) - 1)
+
+
 def text(number: Column, bits: int) -> Column:
     """Base-32 text of an interleaved number."""
     letters = F.expr(f"array({LETTERS})")
@@ -134,6 +171,14 @@ def lat_centre(y: Column, bits: int) -> Column:
     return y / float(1 << y_bits(bits)) * 180.0 - 90.0 + lat_error(bits)
 
 
+def tagged_centre(place: Column, keep: Column, turn: float) -> tuple[Column, Column]:
+    """(centre, error) of a cell coordinate of ``keep`` bits; ``turn``: 360 for longitudes,
+    180 for latitudes."""
+    cells = (ones(keep) + 1).cast("double")
+    error = F.lit(turn / 2) / cells
+    return place / cells * turn - turn / 2 + error, error
+
+
 def bit_length(value: Column) -> Column:
     """Number of bits up to the highest set one; 0 for 0."""
     return F.when(value == 0, F.lit(0)).otherwise(F.length(F.bin(value)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.functions import grid as grid_fn
 from roadpulse.functions.rows import keep_if
@@ -14,12 +15,14 @@ from roadpulse.schema import BOX, DEFAULTS, EVENT_COLUMNS, Box
 ARCHIVE_VALID = 1
 ARCHIVE_ZONE = 20
 
+GOOD, REJECTED = "good", "rejected"
+
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good records, and rejected lines with the reason, from a parsed source.
 
-    Both are lazy and nothing is cached. To store both in one pass, write ``parsed``
-    partitioned by ``reject IS NULL`` instead.
+    Both are lazy and nothing is cached, so using both reads and parses the source twice;
+    ``store_split`` does it in one pass.
     """
     fields = [name for name in parsed.columns if name not in ("line", "reject")]
     good = keep_if(parsed, F.col("reject").isNull(), fields)
@@ -27,6 +30,36 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def store_split(
+    parsed: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None
+) -> tuple[DataFrame, DataFrame] | StreamingQuery:
+    """Read and parse once; store good and rejected records in folders of ``path``.
+
+    A batch gives (good records, rejected lines with the reason) from what was stored, and
+    a repeated run replaces it. A stream gives the running query; its good records are a
+    Parquet source for ``stored_good``.
+    """
+    outcome = F.when(F.col("reject").isNull(), GOOD).otherwise(REJECTED)
+    rows = parsed.withColumn("outcome", outcome)
+    if parsed.isStreaming:
+        if checkpoint is None:
+            raise ValueError("a stream needs a checkpoint folder")
+        writer = rows.writeStream.format("parquet").partitionBy("outcome").outputMode("append")
+        writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+        return (writer.trigger(**trigger) if trigger else writer).start()
+    rows.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    stored = parsed.sparkSession.read.schema(rows.schema).parquet(path)
+    fields = [name for name in parsed.columns if name not in ("line", "reject")]
+    good = stored.where(F.col("outcome") == GOOD).select(*fields)
+    bad = stored.where(F.col("outcome") == REJECTED).select("line", "reject")
+    return good, bad
+
+
+def stored_good(path: str) -> str:
+    """The folder of the good records that ``store_split`` has put under ``path``."""
+    return f"{path.rstrip('/')}/outcome={GOOD}"
+
+
 def observe_quality(parsed: DataFrame, observation: Observation | str) -> DataFrame:
     """Count good and rejected records as a side effect of the pass that reads them."""
     return parsed.observe(
@@ -67,18 +100,22 @@ def filter_bbox(events: DataFrame, box: Box = BOX) -> DataFrame:
 def dedup_events(events: DataFrame) -> DataFrame:
     """One event per device and millisecond.
 
-    Batch: copies are merged before the shuffle, so a heavily repeated event costs one
-    row per input split. Stream: a key is forgotten once the watermark has passed it.
+    Batch: the smallest copy stays, by its other columns in their order. Copies are merged
+    before the shuffle, so a heavily repeated event costs one row per input split. Stream:
+    the first copy stays; a key is forgotten once the watermark has passed it.
     """
     keyed = events.withColumn("_millis", F.unix_millis("timestamp"))
     keys = ["device_id", "_millis"]
     if events.isStreaming:
         return keyed.dropDuplicatesWithinWatermark(keys).drop("_millis")
-    return keyed.dropDuplicates(keys).drop("_millis")
+    others = F.struct(*(F.col(name) for name in events.columns if name != "device_id"))
+    smallest = keyed.groupBy(*keys).agg(F.min(others).alias("_smallest"))
+    return smallest.select("device_id", "_smallest.*").select(*events.columns)
 
 
 def to_gps_columns(events: DataFrame) -> DataFrame:
-    """Live events in the 12-column archive layout; speed loses its fraction."""
+    """Live events in the 12-column archive layout; speed loses its fraction, and is NULL
+    where it is no number or no whole number of that layout's range."""
     recorded = print_event_time(F.col("timestamp"))
     return events.select(
         "device_id",
@@ -86,7 +123,7 @@ def to_gps_columns(events: DataFrame) -> DataFrame:
         F.col("lon").alias("longitude"),
         F.col("lat").alias("latitude"),
         "altitude",
-        F.col("speed").cast("int").alias("speed"),
+        F.col("speed").try_cast("int").alias("speed"),
         "orientation",
         recorded.alias("recorded_timestamp"),
         F.lit(ARCHIVE_VALID).alias("valid"),

@@ -38,11 +38,23 @@ def geohash_long_density(events: DataFrame, bits: int) -> DataFrame:
     return _cells(events, bits).select(_tagged(bits).alias("geohash_long"), "records")
 
 
-def with_geohash_bounds(cells: DataFrame, bits: int, column: str = "geohash_long") -> DataFrame:
+def with_geohash_bounds(
+    cells: DataFrame, bits: int | None = None, column: str = "geohash_long"
+) -> DataFrame:
     """Add centre, error and bounds (minimum inside, maximum outside) of each cell.
 
-    ``column`` holds tagged numbers or base-32 text, all of ``bits`` bits.
+    ``column`` holds base-32 text or tagged numbers, all of ``bits`` bits. Without ``bits``
+    it holds tagged numbers, each with the precision of its tag; NULL without a tag.
     """
+    if bits is None:
+        x, y, precision = gh.deinterleave_tagged(F.col(column))
+        cut = cells.withColumns({X: x, Y: y, "_precision": precision})
+        x_bits = F.shiftright(F.col("_precision") + 1, 1)
+        y_bits = F.shiftright(F.col("_precision"), 1)
+        lon, lon_err = gh.tagged_centre(F.col(X), x_bits, 360.0)
+        lat, lat_err = gh.tagged_centre(F.col(Y), y_bits, 180.0)
+        placed = cut.withColumns({"lat": lat, "lon": lon, "lat_err": lat_err, "lon_err": lon_err})
+        return placed.drop(X, Y, "_precision").withColumns(_edges())
     gh.check_bits(bits)
     if dict(cells.dtypes)[column] == "string":
         number = gh.from_text(F.col(column))
@@ -51,41 +63,59 @@ def with_geohash_bounds(cells: DataFrame, bits: int, column: str = "geohash_long
     x, y = gh.deinterleave(number, bits)
     placed = cells.withColumns({"lat": gh.lat_centre(y, bits), "lon": gh.lon_centre(x, bits)})
     lat_err, lon_err = F.lit(gh.lat_error(bits)), F.lit(gh.lon_error(bits))
-    return placed.withColumns(
-        {
-            "lat_err": lat_err,
-            "lon_err": lon_err,
-            "min_lat": F.col("lat") - lat_err,
-            "max_lat": F.col("lat") + lat_err,
-            "min_lon": F.col("lon") - lon_err,
-            "max_lon": F.col("lon") + lon_err,
-        }
-    )
+    return placed.withColumns({"lat_err": lat_err, "lon_err": lon_err}).withColumns(_edges())
+
+
+def _edges() -> dict:
+    return {
+        "min_lat": F.col("lat") - F.col("lat_err"),
+        "max_lat": F.col("lat") + F.col("lat_err"),
+        "min_lon": F.col("lon") - F.col("lon_err"),
+        "max_lon": F.col("lon") + F.col("lon_err"),
+    }
+
+
+def untag_geohash(cells: DataFrame, column: str = "geohash_long") -> DataFrame:
+    """Replace each tagged number by the plain one and add its ``precision``."""
+    precision = gh.tagged_precision(F.col(column))
+    plain = F.col(column).bitwiseAND(gh.ones(precision))
+    return cells.withColumns({column: plain, "precision": precision})
 
 
 def shift_geohash(
-    cells: DataFrame, dx: int, dy: int, bits: int, column: str = "geohash_long"
+    cells: DataFrame, dx: int, dy: int, bits: int | None = None, column: str = "geohash_long"
 ) -> DataFrame:
-    """Replace each tagged cell by the one ``dx`` cells east and ``dy`` cells north."""
+    """Replace each tagged cell by the one ``dx`` cells east and ``dy`` cells north, of
+    ``bits`` bits or, without ``bits``, of the precision of its tag."""
+    if bits is None:
+        x, y, precision = gh.deinterleave_tagged(F.col(column))
+        cut = cells.withColumns({X: x, Y: y, "_precision": precision})
+        wide = gh.ones(F.shiftright(F.col("_precision") + 1, 1))
+        high = gh.ones(F.shiftright(F.col("_precision"), 1))
+        # Borders wrap; a negative step is its complement, so masks make it fit.
+        x = (F.col(X) + F.lit(dx).cast("bigint")).bitwiseAND(wide)
+        y = (F.col(Y) + F.lit(dy).cast("bigint")).bitwiseAND(high)
+        moved = gh.interleave_tagged(x, y, F.col("_precision"))
+        return cut.withColumn(column, moved).drop(X, Y, "_precision")
     gh.check_bits(bits)
     x, y = gh.deinterleave(gh.untag(F.col(column), bits), bits)
     x, y = gh.shift(x, y, dx, dy, bits)
     return cells.withColumn(column, gh.tag(gh.interleave(x, y, bits), bits))
 
 
-def north(cells: DataFrame, bits: int, column: str = "geohash_long") -> DataFrame:
+def north(cells: DataFrame, bits: int | None = None, column: str = "geohash_long") -> DataFrame:
     return shift_geohash(cells, 0, 1, bits, column)
 
 
-def east(cells: DataFrame, bits: int, column: str = "geohash_long") -> DataFrame:
+def east(cells: DataFrame, bits: int | None = None, column: str = "geohash_long") -> DataFrame:
     return shift_geohash(cells, 1, 0, bits, column)
 
 
-def south(cells: DataFrame, bits: int, column: str = "geohash_long") -> DataFrame:
+def south(cells: DataFrame, bits: int | None = None, column: str = "geohash_long") -> DataFrame:
     return shift_geohash(cells, 0, -1, bits, column)
 
 
-def west(cells: DataFrame, bits: int, column: str = "geohash_long") -> DataFrame:
+def west(cells: DataFrame, bits: int | None = None, column: str = "geohash_long") -> DataFrame:
     return shift_geohash(cells, -1, 0, bits, column)
 
 

@@ -32,10 +32,22 @@ RAW_SQL = "SELECT event_id, device_id, timestamp, {} FROM ({})".format(
     EVENTS_SQL,
 )
 
-# Exact copies of every seventh event.
+# Copies of every seventh event, every other one with another speed.
 COPIES_SQL = f"""
     SELECT * FROM ({EVENTS_SQL}) UNION ALL
-    SELECT * FROM ({EVENTS_SQL}) WHERE event_id % 7 = 0
+    SELECT event_id, device_id, timestamp, lon, lat, altitude,
+           speed + CAST(event_id % 2 AS DOUBLE) AS speed, orientation, transfer
+    FROM ({EVENTS_SQL}) WHERE event_id % 7 = 0
+"""
+
+# Speeds that the archive layout cannot hold, and negative ones.
+EXTREMES_SQL = f"""
+    SELECT event_id, device_id, timestamp, lon, lat, altitude,
+           CASE WHEN event_id % 41 = 0 THEN 1e10 WHEN event_id % 43 = 0
+                THEN CAST('NaN' AS DOUBLE) WHEN event_id % 5 = 0 THEN -speed ELSE speed END
+               AS speed,
+           orientation, transfer
+    FROM ({EVENTS_SQL})
 """
 
 # One straight road piece per customer, up to 400 m long; every fifth lies on the same place.
@@ -79,6 +91,10 @@ def fcd_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, COPIES_SQL)
 
 
+def fcd_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, EXTREMES_SQL)
+
+
 def fcd_roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         ROADS_SQL.replace("FROM customer", "FROM {source}"),

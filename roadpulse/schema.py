@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# Fixed values up to EVENT_AVRO: layouts of stored data and messages.
+
 # One GPS record of one vehicle. Column order is also the order of the text format.
 EVENT_SCHEMA = T.StructType(
     [

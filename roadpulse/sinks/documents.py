@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.sinks.files import minute_bucket
+
 RESOURCE = "thessaloniki/floating-cars"  # fixed value: index and document type
 
 
@@ -26,14 +28,19 @@ def write_documents(
     checkpoint: str | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery | None:
-    """Documents as JSON files."""
-    documents = to_documents(results)
+    """Documents with their ids as JSON files, in one folder per window end. A batch
+    replaces the folders it writes, so a repeated run leaves the same documents."""
+    documents = with_document_id(to_documents(results))
+    documents = documents.withColumn("bucket", minute_bucket(F.col("timestamp")))
     if not results.isStreaming:
-        documents.write.mode("append").json(path)
+        writer = documents.hint("rebalance", "bucket").write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
+        writer.json(path)
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
-    writer = documents.writeStream.format("json").outputMode("append")
+    writer = documents.repartition(F.col("bucket")).writeStream.format("json")
+    writer = writer.partitionBy("bucket").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 

@@ -38,8 +38,9 @@ def write_bucketed(
 ) -> StreamingQuery | None:
     """Results in one folder per window end.
 
-    The folder comes from the data, so a repeated run writes the same ones. A batch is
-    rebalanced by folder first: small folders get one file, large ones are divided.
+    The folder comes from the data. A batch replaces the folders it writes, so a repeated
+    run leaves the same; a stream adds to them. Rows are dealt out by folder first: small
+    folders get one file, and a batch divides large ones.
     """
     rows = results.withColumn("bucket", minute_bucket(F.col("timestamp")))
     if file_format == "text":
@@ -59,7 +60,7 @@ def write_by_segment(
     file_format: str = "parquet",
     trigger: dict | None = None,
 ) -> StreamingQuery | None:
-    """Results in one folder per road segment."""
+    """Results in one folder per road segment; a batch replaces the folders it writes."""
     return _write(results, path, "segment_id", checkpoint, file_format, trigger)
 
 
@@ -72,9 +73,9 @@ def write_console(results: DataFrame, trigger: dict | None = None) -> StreamingQ
     return _started(writer.outputMode("append"), trigger)
 
 
-def write_tsv(events_as_lines: DataFrame, path: str) -> None:
+def write_tsv(events_as_lines: DataFrame, path: str, mode: str = "error") -> None:
     """Text export of ``clean.to_tsv_line`` (batch), gzip-compressed."""
-    events_as_lines.write.mode("append").option("compression", "gzip").text(path)
+    events_as_lines.write.mode(mode).option("compression", "gzip").text(path)
 
 
 def _write(
@@ -87,10 +88,12 @@ def _write(
 ) -> StreamingQuery | None:
     if not rows.isStreaming:
         rows = rows.hint("rebalance", folder)
-        _capped(rows.write.mode("append").partitionBy(folder).format(file_format)).save(path)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        _capped(writer.partitionBy(folder).format(file_format)).save(path)
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
+    rows = rows.repartition(F.col(folder))
     writer = _capped(rows.writeStream.format(file_format).partitionBy(folder))
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return _started(writer.outputMode("append"), trigger)

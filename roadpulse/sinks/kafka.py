@@ -6,18 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roadpulse.functions.avro import encode_event
+from roadpulse.functions.messages import encode_event
 
 TOPIC_PREFIX = "road-"
 
 
-def to_messages(events: DataFrame) -> DataFrame:
-    """Events as messages: Avro binary in ``value``."""
-    return events.select(encode_event().alias("value"))
+def to_messages(events: DataFrame, layout: str = "avro") -> DataFrame:
+    """Events as messages: Avro binary or JSON text in ``value``."""
+    return events.select(encode_event(layout).alias("value"))
+
+
+def key_by_segment(results: DataFrame) -> DataFrame:
+    """Road results as messages for one topic; a segment's results stay in order, as its id
+    is the key. This scales with any number of segments."""
+    return results.select(
+        F.col("segment_id").alias("key"), F.to_json(F.struct(*results.columns)).alias("value")
+    )
 
 
 def route_by_segment(results: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
-    """Road results as messages with one topic per road segment.
+    """Road results as messages with one topic per road segment. For many segments use
+    ``key_by_segment``.
 
     Characters a topic name cannot have become ``_``.
     """
@@ -35,9 +44,10 @@ def write_fcd_kafka(
     topic: str,
     checkpoint: str | None = None,
     trigger: dict | None = None,
+    layout: str = "avro",
 ) -> StreamingQuery | None:
     """Events to one topic."""
-    return write_messages(to_messages(events), brokers, topic, checkpoint, trigger)
+    return write_messages(to_messages(events, layout), brokers, topic, checkpoint, trigger)
 
 
 def write_messages(

@@ -7,13 +7,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.operators.clean import split_valid
-from roadpulse.schema import EVENT_SCHEMA, JSON_SCHEMA
-from roadpulse.sources.records import gps_events, json_events, parse_gps_csv, parse_json, parse_tsv
+from roadpulse.schema import EVENT_SCHEMA, GPS_SCHEMA
+from roadpulse.sources.records import (
+    gps_events,
+    parse_gps_csv,
+    parse_json,
+    parse_json_array,
+    parse_tsv,
+)
 
 
-def read_fcd_tsv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def parsed_fcd_tsv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Parsed records with ``reject`` of tab-separated text.
+
+    ``partitions`` deals the lines out anew before they are parsed: for a few large gz
+    files, each of which is read by one task.
+    """
+    lines = spark.read.text(path)
+    return parse_tsv(lines if partitions is None else lines.repartition(partitions))
+
+
+def read_fcd_tsv(
+    spark: SparkSession, path: str, partitions: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(events, rejected lines) of tab-separated text."""
-    return split_valid(parse_tsv(spark.read.text(path)))
+    return split_valid(parsed_fcd_tsv(spark, path, partitions))
 
 
 def read_fcd_json(
@@ -21,42 +39,52 @@ def read_fcd_json(
 ) -> tuple[DataFrame, DataFrame]:
     """(events, rejected records) of JSON files.
 
-    ``layout="array"``: one array of objects per file, which makes a file one task.
+    ``layout="array"``: one array of objects per file, which makes a file one task. The
+    whole objects of a damaged array are read, the rest is rejected.
     ``layout="lines"``: one object per line; files are split, so use it for large ones.
     """
     if layout == "lines":
         return split_valid(parse_json(spark.read.text(path)))
     if layout != "array":
         raise ValueError(f"layout must be array or lines, got {layout!r}")
-    return split_valid(json_events(spark.read.json(path, schema=JSON_SCHEMA, multiLine=True)))
+    return split_valid(parse_json_array(spark.read.text(path, wholetext=True)))
 
 
 def read_gps_csv(
-    spark: SparkSession, path: str, header: bool = False
+    spark: SparkSession, path: str, header: bool | str = False
 ) -> tuple[DataFrame, DataFrame]:
     """(archive records, rejected lines) of comma-separated text.
 
-    A split of a file does not know which line is the first one, so the header is
-    recognised as a line in which no field starts as a number does.
+    ``header``: lines of exactly this text are left out; True stands for the names of the
+    archive columns. Any other line that is no record is rejected.
     """
     lines = spark.read.text(path)
     if header:
-        lines = lines.where(F.col("value").rlike(r"(^|,)\s*[-+.]?[0-9]"))
+        text = ",".join(GPS_SCHEMA.fieldNames()) if header is True else header
+        lines = lines.where(F.rtrim("value") != text)
     return split_valid(parse_gps_csv(lines))
 
 
-def read_gps_events(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
+def read_gps_events(spark: SparkSession, path: str, header: bool | str = False) -> DataFrame:
     return gps_events(read_gps_csv(spark, path, header)[0])
 
 
 def stream_fcd(
-    spark: SparkSession, path: str, files_per_trigger: int = 100, file_format: str = "text"
+    spark: SparkSession,
+    path: str,
+    files_per_trigger: int | None = None,
+    file_format: str = "text",
 ) -> DataFrame:
     """Stream of the files that appear in a folder, oldest first.
 
-    ``text``: parsed records with ``reject``; ``parquet``: events.
+    ``text``: parsed records with ``reject``; ``parquet``: events. A cap on the files of a
+    batch bounds its size, but windows are closed between batches: rows that come more than
+    the allowed delay after a row of an earlier batch are late. Without a cap the files that
+    are there are one batch. For a finite folder use the batch readers.
     """
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    reader = spark.readStream
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if file_format == "text":
         return parse_tsv(reader.text(path))
     if file_format == "parquet":

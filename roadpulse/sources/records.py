@@ -14,6 +14,10 @@ from roadpulse.functions.text import parse_event_time, parse_whole
 from roadpulse.operators.clean import drop_unidentified
 from roadpulse.schema import DEFAULTS, EVENT_COLUMNS, GPS_SCHEMA, JSON_SCHEMA
 
+# Beyond it the archive layout cannot hold a value, and NaN and infinities are no values.
+LARGEST_MEASURE = 2.0**31
+OBJECT = r"\{[^{}]*\}"
+
 
 def parse_tsv(lines: DataFrame, column: str = "value") -> DataFrame:
     """Tab-separated records of 8 fields. Empty measures become 0; the id and the time
@@ -41,6 +45,22 @@ def parse_json(lines: DataFrame, column: str = "value") -> DataFrame:
     return json_events(rows.select("_record.*", "line"))
 
 
+def parse_json_array(files: DataFrame, column: str = "value") -> DataFrame:
+    """One text per row that holds an array of flat objects, or several arrays.
+
+    Each whole object is a record with its own text as ``line``, also in a damaged array;
+    what is left over apart from the array's punctuation is rejected.
+    """
+    whole = F.regexp_extract_all(F.col(column), F.lit(OBJECT), F.lit(0))
+    left = F.regexp_replace(F.col(column), OBJECT, "")
+    left = F.when(~left.rlike(r"\A\s*(\[[\s,]*\]\s*)*\z"), left)
+    records = files.select(F.explode(F.array_append(whole, left)).alias("line"))
+    records = records.where(F.col("line").isNotNull())
+    parsed = parse_json(records, "line")
+    broken = ~F.col("line").rlike(r"\A\{")
+    return parsed.withColumn("reject", F.when(broken, "array").otherwise(F.col("reject")))
+
+
 def json_events(records: DataFrame) -> DataFrame:
     """Events of JSON records that were read with ``JSON_SCHEMA``.
 
@@ -71,7 +91,7 @@ def parse_gps_csv(lines: DataFrame, column: str = "value") -> DataFrame:
     for i, field in enumerate(GPS_SCHEMA):
         token = F.get(fields, F.lit(i))
         kind = field.dataType.simpleString()
-        parse = {"int": parse_whole, "double": lambda t: t.try_cast("double")}
+        parse = {"int": parse_whole, "double": _measure}
         values.append(parse.get(kind, lambda t: t)(token).alias(field.name))
     records = lines.select(*values, F.col(column).alias("line"), F.size(fields).alias("_fields"))
     reject = F.when(F.col("_fields") != len(GPS_SCHEMA), "field count")
@@ -97,10 +117,16 @@ def gps_events(records: DataFrame) -> DataFrame:
 def _default_if_empty(name: str, token: Column) -> Column:
     """Number of an optional field: its default for an empty text, NULL for a bad one."""
     default = DEFAULTS[name]
-    number = parse_whole(token) if isinstance(default, int) else token.try_cast("double")
+    number = parse_whole(token) if isinstance(default, int) else _measure(token)
     return F.when(token == "", F.lit(default)).otherwise(number)
 
 
+def _measure(token: Column) -> Column:
+    """A finite number that a measure of a car can be, or NULL."""
+    number = token.try_cast("double")
+    return F.when(F.abs(number) < LARGEST_MEASURE, number)
+
+
 def _first_missing(reject: Column | None = None) -> Column:
     """Name of the first event column without a value."""
     for name in EVENT_COLUMNS:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 MAX_DELAY = "60 seconds"
 
@@ -17,3 +18,13 @@ def with_fcd_watermark(events: DataFrame, delay: str = MAX_DELAY) -> DataFrame:
     if dict(events.dtypes)["timestamp"] != "timestamp":
         events = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return events.withWatermark("timestamp", delay)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the windows of a query have dropped as late, as far as its progress
+    reports go back."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )

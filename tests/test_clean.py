@@ -21,6 +21,23 @@ def test_archive_layout(spark, events):
     assert row.inserted_timestamp == row.unix_timestamp == "2017-01-01 00:00:01.500"
 
 
+def test_archive_speed_out_of_range(spark, events):
+    speeds = [1e10, float("nan"), float("inf"), -35.9]
+    rows = [(i, "2017-01-01 00:00:01.5", 22.9, 40.6, speed) for i, speed in enumerate(speeds)]
+    out = clean.to_gps_columns(events(rows)).orderBy("device_id").collect()
+    assert [row.speed for row in out] == [None, None, None, -35]
+
+
+def test_split_is_stored_in_one_pass(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [("a\tb",), ("1\t2017-01-01 00:00:00.0\t\t\t\t\t\t",)], "value string"
+    )
+    for _ in range(2):
+        good, bad = clean.store_split(parse_tsv(lines), str(tmp_path / "split"))
+    assert good.schema.simpleString() == EVENT_SCHEMA.simpleString()
+    assert good.count() == 1 and [tuple(row) for row in bad.collect()] == [("a\tb", "field count")]
+
+
 def test_line_and_back(spark, events):
     original = events([(84037, "2017-01-01 00:00:01.5", 22.948426, 40.626444, 35.5)])
     lines = clean.to_tsv_line(original)
@@ -43,7 +60,14 @@ def test_same_millisecond_is_the_same_event(spark, events):
 def test_dedup_merges_copies_before_the_shuffle(events):
     df = clean.dedup_events(events([(1, "2017-01-01 00:00:01", 22.9, 40.6, 1.0)]))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
+    assert plan.count("SortAggregate") == 2 and plan.count("Exchange") == 1
+    assert "partial_min" in plan
+
+
+def test_dedup_keeps_the_smallest_copy(spark, events):
+    rows = [(1, "2017-01-01 00:00:01.5", 22.9, 40.6, float(speed)) for speed in (3, 1, 2)]
+    for order in (rows, rows[::-1]):
+        assert [row.speed for row in clean.dedup_events(events(order)).collect()] == [1.0]
 
 
 def test_unidentified(spark):

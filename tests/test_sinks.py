@@ -3,15 +3,17 @@ from pathlib import Path
 
 import pytest
 from conftest import tsv
+from pyspark.errors import AnalysisException
 
 from roadpulse.__main__ import arguments
-from roadpulse.functions import avro
+from roadpulse.functions.messages import encode_event
 from roadpulse.operators.clean import to_tsv_line
 from roadpulse.operators.traffic import grid_traffic, road_traffic
 from roadpulse.plans import jobs
 from roadpulse.sinks import documents, files, kafka
 from roadpulse.sources.files import read_fcd_tsv
-from roadpulse.sources.kafka import from_messages
+from roadpulse.sources.kafka import from_messages, parse_messages, topic_options
+from roadpulse.streaming.event_time import late_rows
 
 ROWS = [
     (1, "2017-01-01 00:00:10", 22.948426, 40.626444, 30.0),
@@ -34,6 +36,9 @@ def test_folders_by_window(spark, tmp_path, events):
     lines = lines_in(tmp_path / "out" / folders[0])
     assert len(lines) == 1
     assert lines[0].startswith("(3660,40.6") and lines[0].endswith(",2,2017-01-01 00:02:00)")
+    before = lines_in(tmp_path / "out")
+    files.write_bucketed(report, str(tmp_path / "out"))
+    assert lines_in(tmp_path / "out") == before
 
 
 def test_overwrite(spark, tmp_path, events):
@@ -45,7 +50,8 @@ def test_overwrite(spark, tmp_path, events):
 
 def test_documents(spark, tmp_path, events):
     report = grid_traffic(events(ROWS), 2)
-    documents.write_documents(report, str(tmp_path / "out"))
+    for _ in range(2):
+        documents.write_documents(report, str(tmp_path / "out"))
     docs = [json.loads(line) for line in lines_in(tmp_path / "out")]
     assert len(docs) == 3
     doc = next(d for d in docs if d["timestamp"] == "2017-01-01 00:02:00")
@@ -55,6 +61,7 @@ def test_documents(spark, tmp_path, events):
         "location": f"{row.lat!r},{row.lon!r}",
         "vehicles": 2,
         "timestamp": "2017-01-01 00:02:00",
+        "doc_id": "3660|2017-01-01 00:02:00",
     }
     ids = documents.with_document_id(documents.to_documents(report)).collect()
     assert len({r.doc_id for r in ids}) == 3 and "3660|2017-01-01 00:02:00" in {r.doc_id for r in ids}
@@ -66,13 +73,14 @@ def test_stream_writers(spark, tmp_path, drop_file):
     drop_file(source, "a", [tsv(1, "2017-01-01 00:00:10.000"), tsv(2, "2017-01-01 00:01:10.000")], 0)
     drop_file(source, "z", [tsv(1, "2017-01-01 01:00:00.000")], 1)
     for name, as_documents in (("text", False), ("json", True)):
-        query = jobs.grid_from_files(
+        query = jobs.stream_grid_from_files(
             spark,
             str(source),
             2,
             str(tmp_path / name),
             str(tmp_path / f"{name}-state"),
             documents=as_documents,
+            trigger=jobs.DRAIN,
         )
         query.awaitTermination()
     assert len(lines_in(tmp_path / "text" / "bucket=2017-01-01--0002")) == 1
@@ -86,6 +94,8 @@ def test_stream_writers(spark, tmp_path, drop_file):
 def test_text_export_can_be_read_again(spark, tmp_path, events):
     original = events(ROWS)
     files.write_tsv(to_tsv_line(original), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="already exists"):
+        files.write_tsv(to_tsv_line(original), str(tmp_path / "out"))
     good, bad = read_fcd_tsv(spark, str(tmp_path / "out"))
     assert sorted(good.collect()) == sorted(original.collect()) and bad.count() == 0
 
@@ -106,17 +116,70 @@ def test_one_topic_per_segment(spark, events):
 def test_messages_keep_the_event(spark, events):
     rows = ROWS + [(-5, "2017-01-01 00:00:00.001", -22.5, 0.0, 1e300), (2**31 - 1, *ROWS[0][1:])]
     original = events(rows)
-    assert sorted(from_messages(kafka.to_messages(original)).collect()) == sorted(original.collect())
+    messages = kafka.to_messages(original, "json")
+    assert sorted(from_messages(messages, "json").collect()) == sorted(original.collect())
+
+
+def test_broken_messages_are_rejected(spark):
+    good = (
+        '{"device_id":1,"timestamp":"2017-01-01 00:00:00.001","lon":1.0,"lat":1.0,"altitude":0.0,'
+        '"speed":1.0,"orientation":0.0,"transfer":0}'
+    )
+    values = [good, good.replace("2017-01-01", "today"), "{", None, good.replace("lon", "x")]
+    messages = spark.createDataFrame([(v and v.encode(),) for v in values], "value binary")
+    parsed = parse_messages(messages, "json").collect()
+    assert [row.reject for row in parsed] == [None, "timestamp", "device_id", "device_id", "lon"]
+
+
+def test_avro_without_its_package_is_a_clear_error(spark, events):
+    with pytest.raises(AnalysisException, match="spark-avro"):
+        kafka.to_messages(events(ROWS))
+    with pytest.raises(AnalysisException, match="spark-avro"):
+        from_messages(spark.createDataFrame([(b"x",)], "value binary"))
+    with pytest.raises(ValueError):
+        encode_event("xml")
+
+
+def test_topic_options():
+    plain = topic_options("b:1", "taxi")
+    assert "kafka.group.id" not in plain and plain["startingOffsets"] == "earliest"
+    assert topic_options("b:1", "taxi", "g", 5)["kafka.group.id"] == "g"
+
+
+def test_keyed_by_segment(spark, events):
+    matched = events(ROWS).selectExpr("'h 1/2' as segment_id", "timestamp", "speed")
+    keyed = kafka.key_by_segment(road_traffic(matched)).collect()
+    assert {row.key for row in keyed} == {"h 1/2"} and len(keyed) == 2
 
 
-def test_message_bytes(spark, events):
-    # id 1 and 23 characters as zigzag numbers, the text, five doubles, transfer 0.
-    first = bytes(kafka.to_messages(events(ROWS[:1])).first().value)
-    assert first[:2] == b"\x02\x2e" and first[2:25] == b"2017-01-01 00:00:10.000"
-    assert len(first) == 2 + 23 + 40 + 1 and first[-1] == 0
-    for number in (0, -1, 1, 63, 64, -65, 300, 2**31 - 1, -(2**31)):
-        data = avro._varint(number)
-        assert avro._read_varint(data, 0) == (number, len(data))
+def test_files_are_a_complete_batch(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    stamps = [f"2017-01-01 0{h}:0{m}:10.000" for h in range(6) for m in range(6)]
+    for part in range(6):
+        lines = [tsv(i, stamp) for i, stamp in enumerate(stamps) if i % 6 == part]
+        (source / f"f{part}").write_text("\n".join([*lines, "broken"]) + "\n")
+    rejected = jobs.grid_from_files(spark, str(source), 2, str(tmp_path / "out"))
+    counted = [int(line.split(",")[3]) for line in lines_in(tmp_path / "out")]
+    assert sum(counted) == 36 and len(counted) == 18
+    assert [row.reject for row in rejected.collect()] == ["field count"] * 6
+    rejected = jobs.grid_from_files(spark, str(source), 2, str(tmp_path / "docs"), documents=True)
+    assert sum(json.loads(line)["vehicles"] for line in lines_in(tmp_path / "docs")) == 36
+
+
+@pytest.mark.parametrize("cap", [1, 2, 100, None])
+def test_stream_of_ordered_files_does_not_depend_on_the_cap(spark, tmp_path, drop_file, cap):
+    source = tmp_path / "in"
+    source.mkdir()
+    for part in range(6):
+        stamps = [f"2017-01-01 0{part}:0{m}:10.000" for m in range(6)]
+        drop_file(source, f"f{part}", [tsv(i, stamp) for i, stamp in enumerate(stamps)], part)
+    drop_file(source, "tick", [tsv(1, "2017-01-03 00:00:00.000")], 9)
+    report = jobs.grid_report(jobs.file_events(spark, str(source), cap), 2)
+    query = files.write_bucketed(report, str(tmp_path / "out"), str(tmp_path / "s"), trigger=jobs.DRAIN)
+    query.awaitTermination()
+    assert sum(int(line.split(",")[3]) for line in lines_in(tmp_path / "out")) == 36
+    assert late_rows(query) == 0
 
 
 def test_arguments():

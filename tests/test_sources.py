@@ -29,6 +29,8 @@ def test_text(spark, tmp_path):
         f"10\t{STAMP}\t22.9\t40.6\t0.0\t1.0\t45.0\t1.5",
         "11\t2017-02-30 00:00:00.000\t22.9\t40.6\t0.0\t1.0\t45.0\t0",
         f"12\t{STAMP}\t22.9\t40.6\t0.0\t1.0\t45.0\t0\textra",
+        f"13\t{STAMP}\t22.9\t40.6\t0.0\tNaN\t45.0\t0",
+        f"14\t{STAMP}\t22.9\t40.6\t0.0\t1e10\t45.0\t0",
         "",
     ]
     (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
@@ -50,8 +52,11 @@ def test_text(spark, tmp_path):
         "10": "transfer",
         "11": "timestamp",
         "12": "field count",
+        "13": "speed",
+        "14": "speed",
     } or reasons[""] in ("field count", "device_id")
-    assert bad.count() == 9
+    assert bad.count() == 11
+    assert files.read_fcd_tsv(spark, str(tmp_path / "a.csv"), partitions=3)[0].count() == 5
 
 
 def test_gzip_and_counts_do_not_depend_on_the_columns_read(spark, tmp_path):
@@ -107,6 +112,17 @@ def test_json(spark, tmp_path, layout):
     assert reasons == ["device_id"] * (1 if layout == "array" else 2) + ["lon", "timestamp"]
 
 
+def test_damaged_array(spark, tmp_path):
+    items = [{**RECORD, "device_random_id": i} for i in range(1, 101)]
+    text = json.dumps(items)
+    (tmp_path / "a.json").write_text(text[:-20])
+    (tmp_path / "b.json").write_text("[]")
+    good, bad = files.read_fcd_json(spark, str(tmp_path))
+    assert sorted(row.device_id for row in good.collect()) == list(range(1, 100))
+    left = bad.collect()
+    assert [row.reject for row in left] == ["array"] and '"device_random_id": 100' in left[0].line
+
+
 @pytest.mark.parametrize("header", [True, False])
 def test_archive(spark, tmp_path, events, header):
     archive = to_gps_columns(events([(7, "2017-01-01 00:00:01.5", 22.9, 40.6, 35.9)]))

@@ -1,13 +1,14 @@
+import pytest
 from conftest import tsv
 from test_roads import SCHEMA, lattice
 
-from roadpulse.operators.clean import dedup_events, split_valid
+from roadpulse.operators.clean import dedup_events, split_valid, store_split, stored_good
 from roadpulse.operators.roads import build_road_index
 from roadpulse.operators.traffic import grid_traffic
 from roadpulse.plans import jobs
 from roadpulse.sources.files import read_fcd_tsv, stream_fcd
 from roadpulse.sources.records import parse_tsv
-from roadpulse.streaming.event_time import with_fcd_watermark
+from roadpulse.streaming.event_time import late_rows, with_fcd_watermark
 
 DAY = "2017-01-01 "
 
@@ -28,14 +29,6 @@ def counts(spark, out):
     return {(r.cellid, r.timestamp[11:]): r.vehicles for r in rows}
 
 
-def dropped(query):
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for batch in query.recentProgress
-        for state in batch["stateOperators"]
-    )
-
-
 def test_late_records(spark, tmp_path, drop_file):
     source = tmp_path / "in"
     source.mkdir()
@@ -51,7 +44,7 @@ def test_late_records(spark, tmp_path, drop_file):
     events = jobs.file_events(spark, str(source), 1)
     query = run(spark, jobs.grid_report(events, 2), tmp_path / "out", tmp_path / "state")
     assert counts(spark, tmp_path / "out") == {(3660, "00:02:00"): 2, (3660, "00:04:00"): 4}
-    assert dropped(query) == 1
+    assert late_rows(query) == 1
 
 
 def test_disorder_within_the_delay_is_counted(spark, tmp_path, drop_file):
@@ -63,7 +56,7 @@ def test_disorder_within_the_delay_is_counted(spark, tmp_path, drop_file):
     events = jobs.file_events(spark, str(source), 1)
     query = run(spark, jobs.grid_report(events, 2), tmp_path / "out", tmp_path / "state")
     assert counts(spark, tmp_path / "out") == {(3660, "00:02:00"): 2, (3660, "00:04:00"): 2}
-    assert dropped(query) == 0
+    assert late_rows(query) == 0
 
 
 def test_stream_in_parts_and_restarted_is_the_batch(spark, tmp_path, drop_file):
@@ -114,19 +107,22 @@ def test_map_match_stream_is_the_batch(spark, tmp_path, drop_file):
     got = spark.read.parquet(str(tmp_path / "out")).select(*batch.columns)
     assert sorted(map(tuple, got.collect())) == expected
 
-    # The job itself, from a stored road table, into one folder per segment.
-    roads.write.parquet(str(tmp_path / "roads"))
-    query = jobs.map_match(
-        spark,
-        str(source),
-        str(tmp_path / "roads"),
-        sink=str(tmp_path / "segments"),
-        checkpoint=str(tmp_path / "state2"),
+    # The jobs themselves, into one folder per segment: the stream, and the finite folder
+    # with the window that the stream has left open.
+    events = jobs.file_events(spark, str(source), 1)
+    query = jobs.stream_map_match(
+        spark, events, index, sink=str(tmp_path / "s"), checkpoint=str(tmp_path / "state2"), trigger=jobs.DRAIN
     )
     query.awaitTermination()
-    stored = spark.read.parquet(str(tmp_path / "segments")).select(*batch.columns)
+    stored = spark.read.parquet(str(tmp_path / "s")).select(*batch.columns)
     assert sorted(map(tuple, stored.collect())) == expected
-    assert (tmp_path / "segments" / f"segment_id={expected[0][0]}").is_dir()
+    assert (tmp_path / "s" / f"segment_id={expected[0][0]}").is_dir()
+    roads.write.parquet(str(tmp_path / "roads"))
+    for _ in range(2):
+        rejected = jobs.map_match(spark, str(source), str(tmp_path / "roads"), sink=str(tmp_path / "b"))
+    stored = spark.read.parquet(str(tmp_path / "b")).select(*batch.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
+    assert rejected.count() == 0
 
 
 def test_dedup_across_batches(spark, tmp_path, drop_file):
@@ -148,6 +144,26 @@ def test_rejected_lines_of_a_stream(spark, tmp_path, drop_file):
     assert spark.read.json(str(tmp_path / "out")).count() == 2
 
 
+def test_stream_stores_good_and_rejected_in_one_pass(spark, tmp_path, drop_file):
+    source = tmp_path / "in"
+    source.mkdir()
+    drop_file(source, "a", ["1\t2", *at("00:00:10", "00:01:00"), "x"], 0)
+    path = str(tmp_path / "parsed")
+    with pytest.raises(ValueError):
+        store_split(stream_fcd(spark, str(source)), path)
+    store_split(
+        stream_fcd(spark, str(source)), path, str(tmp_path / "state"), jobs.DRAIN
+    ).awaitTermination()
+    stored = spark.read.parquet(path)
+    assert {r.outcome: r["count"] for r in stored.groupBy("outcome").count().collect()} == {
+        "good": 2,
+        "rejected": 2,
+    }
+    events = stream_fcd(spark, stored_good(path), file_format="parquet")
+    run(spark, events, tmp_path / "out", tmp_path / "state2")
+    assert spark.read.json(str(tmp_path / "out")).count() == 2
+
+
 def test_parquet_stream(spark, tmp_path):
     folder = tmp_path / "in"
     lines = spark.createDataFrame([(line,) for line in at("00:00:10", "00:01:00")], "value string")
