@@ -1,7 +1,7 @@
 """Token ids of whole texts, by the tokenizers library, each distinct chunk encoded once.
 
-A text is divided at single spaces where the tokenizer divides it anyway, so that its
-ids are those of its chunks. A worker keeps the ids of the chunks it has met; texts in
+A text is divided where the tokenizer divides it anyway, at single spaces above all, so
+that its ids are those of its chunks. A worker keeps the ids of the chunks it has met; texts in
 which a space follows white space, or which may hold a special string, are given whole to
 the library.
 """
@@ -20,6 +20,8 @@ from roadpulse.llm.arrow import gather
 
 SPACES = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 GROUP = 2000
+# Fixed value: the division of vocabularies that drop white space.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class ChunkEncoder:
@@ -34,6 +36,7 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(path)
         self.leading_space = bool((layout["pre_tokenizer"] or {}).get("use_regex"))
         self.specials = [token["content"] for token in layout["added_tokens"]]
+        self.drops_space = not self.leading_space and _drops_space(layout)
         vocab = self.library.get_vocab()
         opens = np.zeros(max(vocab.values()) + 1, bool)
         opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
@@ -50,14 +53,19 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each."""
-        odd = pc.match_substring_regex(texts, SPACES + " ")
+        if self.drops_space:
+            divided = self._divided(texts)
+            odd = pc.match_substring(divided, "\0")
+        else:
+            divided = texts
+            odd = pc.match_substring_regex(texts, SPACES + " ")
         for special in self.specials:
-            odd = pc.or_(odd, pc.match_substring(texts, special))
+            odd = pc.or_(odd, pc.match_substring(divided, special))
         odd = odd.to_numpy(zero_copy_only=False).astype(bool)
         if len(self.slots) > self.cache_limit:
             self._clear()
         counts = np.zeros(len(texts), np.int64)
-        plain = texts.filter(pa.array(~odd)) if odd.any() else texts
+        plain = divided.filter(pa.array(~odd)) if odd.any() else divided
         ids, counts[~odd] = self._by_chunks(plain)
         if not odd.any():
             return ids, counts
@@ -69,6 +77,17 @@ class ChunkEncoder:
         starts[odd] = len(ids) + np.cumsum(counts[odd]) - counts[odd]
         return gather(pool, starts, counts), counts
 
+    def _divided(self, texts: pa.Array) -> pa.Array:
+        """Fewer different chunks with the same ids: lower case, and a space before a full
+        stop or comma that follows a letter or digit. Composition with a mark may depend on
+        the case, and U+0130 becomes a letter with a mark, so texts with those are left as
+        they are."""
+        marked = pc.match_substring_regex(texts, r"[\pM\x{130}]")
+        lower = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+        spaced = pc.replace_substring(pc.replace_substring(lower, ". ", " . "), ", ", " , ")
+        joined = pc.match_substring_regex(lower, r"[^\pL\pN][.,] |^[.,] ")
+        return pc.if_else(marked, texts, pc.if_else(joined, lower, spaced))
+
     def _by_chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(texts) == 0:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -145,6 +164,15 @@ class ChunkEncoder:
         self.slots.update(zip(chunks, range(count, count + len(chunks))))
 
 
+def _drops_space(layout: dict) -> bool:
+    """Whether the file lower-cases and divides texts by ``WORDS`` alone."""
+    steps = (layout["normalizer"] or {}).get("normalizers", [])
+    kinds = [step["type"] for step in steps]
+    divisions = (layout["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    pattern = divisions[0].get("pattern", {}).get("Regex")
+    return kinds == ["NFC", "Replace", "Lowercase"] and pattern == WORDS
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
     """One for each worker process, kept between its tasks."""
