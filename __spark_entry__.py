@@ -37,6 +37,7 @@ except ImportError:
     llm = None
 
 MAX_DIST = 0.001
+CROWDED_DIST = 0.01
 DAY = 24 * 60
 
 
@@ -258,6 +259,18 @@ def match_roads_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return matched.select("event_id", "segment_id")
 
 
+def match_roads_crowded(spark: SparkSession, sf: str) -> DataFrame:
+    """A reach so large that most cells are divided, some of them for good."""
+    index = roads.build_road_index(views.fcd_roads(spark, sf), CROWDED_DIST, deepest=1)
+    return roads.match_roads(views.fcd_events(spark, sf), index).select("event_id", "segment_id")
+
+
+def match_roads_crowded_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    index = roads.build_road_index(views.fcd_roads(spark, sf), CROWDED_DIST)
+    matched = roads.match_roads(views.fcd_events(spark, sf), index, broadcast_bytes=0, salts=4)
+    return matched.select("event_id", "segment_id")
+
+
 def road_traffic(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(
         jobs.road_report(views.fcd_events(spark, sf), views.fcd_roads(spark, sf), 2, MAX_DIST)
@@ -627,6 +640,8 @@ def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "match_roads": match_roads,
         "match_roads_audit": match_roads_audit,
         "match_roads_shuffled": match_roads_shuffled,
+        "match_roads_crowded": match_roads_crowded,
+        "match_roads_crowded_shuffled": match_roads_crowded_shuffled,
         "road_traffic": road_traffic,
         "road_traffic_1day": road_traffic_1day,
         "road_topics": road_topics,
@@ -664,6 +679,7 @@ def road_sql() -> dict[str, str]:
             FROM ({COPIES_SQL})
         ) WHERE copy = 1"""
     matches = f"WITH {MATCHED} SELECT event_id, segment_id"
+    crowded = f"{matches} FROM matched".replace(f"{MAX_DIST!r}e0", f"{CROWDED_DIST!r}e0")
     return {
         "grid_traffic_2min": _grid_sql(2),
         "grid_traffic_1day": _grid_sql(DAY),
@@ -740,6 +756,8 @@ def road_sql() -> dict[str, str]:
             WITH {MATCHED} SELECT e.event_id, segment_id
             FROM ({EVENTS_SQL}) e LEFT JOIN matched USING (event_id)""",
         "match_roads_shuffled": f"{matches} FROM matched",
+        "match_roads_crowded": crowded,
+        "match_roads_crowded_shuffled": crowded,
         "road_traffic": _road_sql(2),
         "road_traffic_1day": _road_sql(DAY),
         "road_topics": f"""

@@ -7,8 +7,12 @@ exploded, grouped or sorted.
 
 Crowded cells are divided, again and again, and on the way a segment is dropped
 from a cell where another one is nearer to every point of it. That is exact: no number
-of candidates is cut off. Cells that stay crowded at the last level are packed in
-several chunks, and an event looks at all of them.
+of candidates is cut off. Cells that stay crowded at the last level have the candidates
+beyond the slots searched in their array.
+
+The index is stored when it is built. Matching is two joins at most, whatever the roads
+look like: one with the cells that were divided, which tells how deep an event has to
+look, and one with the packed cells.
 """
 
 from __future__ import annotations
@@ -33,12 +37,13 @@ from roadpulse.schema import BOX, Box
 from roadpulse.session import materialize
 
 SLOTS = 16  # candidates compared in generated code; a cell with more is split
-CHUNK_SEGMENTS = 4096  # candidates in one packed row
 SPLIT = 4  # a crowded cell becomes SPLIT x SPLIT cells; a power of 2
 DEEPEST = 4  # levels of splitting
+MOST_GROWTH = 16  # splitting stops before the index has so many times its first entries
 BROADCAST_BYTES = 128 << 20
 BATCH_SALTS = 8
 STREAM_SALTS = 32
+NOWHERE = -(1 << 30)  # cell numbers below it belong to no cell
 SLACK = 1e-6  # in cells; far above the rounding of the cell arithmetic
 
 # Size of a packed candidate next to its id: five doubles and the row's own overhead.
@@ -48,20 +53,22 @@ SPLIT_BYTES = 64
 WORLD = Box(west=-360.0, east=360.0, south=-90.0, north=90.0)
 CELL = ["level", "ix", "iy"]
 CELL_ENTRY = ["ix", "iy", "segment_id"]
+WORD = 64
 
 
 @dataclass(frozen=True)
 class RoadIndex:
     """Road segments ready for lookup."""
 
-    cells: DataFrame  # level, ix, iy, chunk, candidates
-    splits: list[DataFrame] = field(repr=False)  # per level, the cells split further
+    cells: DataFrame  # level, ix, iy, candidates
+    # Divided cells of the first level, and bit fields of those divided again below them.
+    tops: DataFrame | None = field(repr=False)
+    depths: int  # levels of divided cells
     cell_size: float
     max_dist: float
     box: Box
     slots: int
     widest: int  # most candidates of a cell
-    chunks: int
     size_bytes: int
     split_cells: int
 
@@ -72,13 +79,14 @@ def build_road_index(
     box: Box | None = BOX,
     cell_size: float | None = None,
     slots: int = SLOTS,
-    chunk_segments: int = CHUNK_SEGMENTS,
     deepest: int = DEEPEST,
 ) -> RoadIndex:
-    """Spread, thin out and pack the road table. ``segments`` is a static table.
+    """Spread, thin out, pack and store the road table. ``segments`` is a static table.
 
-    Runs one small aggregation over the road table for its measured size, and one round
-    per level of splitting where the network is crowded.
+    The spread table is stored once and measured; there is one more round for each level
+    of splitting where the network is crowded. Splitting ends at ``deepest`` levels or
+    where it would make the index ``MOST_GROWTH`` times as long; cells are then kept with
+    all their candidates. The tables are in the shared scratch folder.
     """
     box = box or WORLD
     size = cell_size or max_dist
@@ -86,59 +94,94 @@ def build_road_index(
     deepest = max(0, min(deepest, int(math.log((1 << 31) * size / 720.0, SPLIT))))
 
     level = _spread(_distinct_shapes(_near_box(segments, box, max_dist)), size, max_dist, box)
-    leaves, splits, split_cells = [], [], 0
-    size_bytes, widest, chunks = 0, 0, 1
+    level = materialize(level, "road-cells", *CELL_ENTRY)
+    entries = level.count()
+    leaves, splits, split_cells, kept = [], [], 0, 0
+    size_bytes, widest = 0, 0
     for depth in range(deepest + 1):
         held = level.groupBy("ix", "iy").agg(
             F.count(F.lit(1)).alias("n"),
             F.min("ceiling").alias("best"),
             F.sum(F.length("segment_id")).alias("id_chars"),
         )
-        # At the last level cells stay as they are.
-        fits = F.lit(True) if depth == deepest else F.col("n") <= slots
+        held = materialize(held, "road-cell-sizes")
+        crowded = held.where(F.col("n") > slots)
+        parts, some = None, depth < deepest and crowded.limit(1).count() > 0
+        if some:
+            # Only what can be nearest somewhere in its cell goes down.
+            best = crowded.select("ix", "iy", "best")
+            hot = level.join(best, ["ix", "iy"]).where(F.col("floor") <= F.col("best"))
+            parts = _divide(hot, size / SPLIT ** (depth + 1), max_dist)
+            parts = materialize(parts, "road-cells", *CELL_ENTRY)
+            some = kept + parts.count() <= MOST_GROWTH * max(1, entries)
+        fits = F.col("n") <= slots if some else F.lit(True)
         packed = F.col("n") * CANDIDATE_BYTES + F.col("id_chars") * 4
-        leaf_bytes, leaf_widest, crowded_cells = held.agg(
-            F.sum(F.when(fits, packed)), F.max(F.when(fits, F.col("n"))), F.count_if(~fits)
+        leaf_bytes, leaf_widest, leaf_entries, crowded_cells = held.agg(
+            F.sum(F.when(fits, packed)),
+            F.max(F.when(fits, F.col("n"))),
+            F.sum(F.when(fits, F.col("n"))),
+            F.count_if(~fits),
         ).first()
         size_bytes += leaf_bytes or 0
         widest = max(widest, leaf_widest or 0)
-        if crowded_cells == 0:
-            chunks = math.ceil(widest / chunk_segments) or 1
-            last = level
-            if chunks > 1:
-                parts = F.ceil(F.col("n") / chunk_segments)
-                last = last.join(held.select("ix", "iy", "n"), ["ix", "iy"])
-                last = last.withColumn("chunk", F.pmod(F.xxhash64("segment_id"), parts))
-            leaves.append(_leaf(last, depth))
+        kept += leaf_entries or 0
+        if not some:
+            leaves.append(_leaf(level, depth))
             break
-        if depth == 0:
-            level = materialize(level, "road-cells", *CELL_ENTRY)
-            held = level.groupBy("ix", "iy").agg(
-                F.count(F.lit(1)).alias("n"), F.min("ceiling").alias("best")
-            )
-        crowded = held.where(F.col("n") > slots).select("ix", "iy", "best")
         leaves.append(_leaf(level.join(crowded, ["ix", "iy"], "left_anti"), depth))
         splits.append(crowded.select("ix", "iy"))
         split_cells += crowded_cells
-        # Only what can be nearest somewhere in its cell goes down.
-        hot = level.join(crowded, ["ix", "iy"]).where(F.col("floor") <= F.col("best"))
-        parts = _divide(hot, size / SPLIT ** (depth + 1), max_dist)
-        level = materialize(parts, "road-cells", *CELL_ENTRY)
+        level = parts
 
     return RoadIndex(
-        cells=_pack(reduce(DataFrame.unionByName, leaves)),
-        splits=splits,
+        cells=materialize(_pack(reduce(DataFrame.unionByName, leaves)), "road-index"),
+        tops=materialize(_tops(splits), "road-tops") if splits else None,
+        depths=len(splits),
         cell_size=size,
         max_dist=max_dist,
         box=box,
         slots=slots,
         widest=widest,
-        chunks=chunks,
         size_bytes=size_bytes,
         split_cells=split_cells,
     )
 
 
+def _words(depth: int) -> int:
+    """Words of the bit field of the cells at ``depth`` in one of the first level."""
+    return max(1, SPLIT ** (2 * depth) // WORD)
+
+
+def _code(ix: Column, iy: Column, depth: int) -> Column:
+    """Number of a cell among those at its depth in one of the first level."""
+    mask, shift = SPLIT**depth - 1, int(math.log2(SPLIT)) * depth
+    return F.shiftleft(ix.bitwiseAND(F.lit(mask)), shift) + iy.bitwiseAND(F.lit(mask))
+
+
+def _tops(splits: list[DataFrame]) -> DataFrame:
+    """One row for each divided cell of the first level: ``ix``, ``iy`` and for each deeper
+    level with divided cells a bit field ``bits<level>`` of them."""
+    tops = splits[0]
+    for depth, split in enumerate(splits[1:], 1):
+        shift = int(math.log2(SPLIT)) * depth
+        code = _code(F.col("ix"), F.col("iy"), depth)
+        bits = split.select(
+            F.shiftright("ix", shift).alias("ix"),
+            F.shiftright("iy", shift).alias("iy"),
+            F.floor(code / WORD).cast("int").alias("word"),
+            F.call_function("shiftleft", F.lit(1).cast("bigint"), (code % WORD).cast("int")).alias("bit"),
+        )
+        words = bits.groupBy("ix", "iy", "word").agg(F.bit_or("bit").alias("bits"))
+        pairs = words.groupBy("ix", "iy").agg(
+            F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("_map")
+        )
+        every = F.sequence(F.lit(0), F.lit(_words(depth) - 1))
+        full = F.transform(every, lambda w: F.coalesce(F.col("_map")[w], F.lit(0).cast("bigint")))
+        pairs = pairs.select("ix", "iy", full.alias(f"bits{depth}"))
+        tops = tops.join(pairs, ["ix", "iy"], "left")
+    return tops
+
+
 def match_roads(
     events: DataFrame,
     roads: DataFrame | RoadIndex,
@@ -169,31 +212,22 @@ def match_roads(
         events = events.where(inside(lon, lat, index.box))
     located = _locate(events, index, broadcast_bytes)
 
-    keys = ["_level", "_ix", "_iy"] if index.splits else ["_ix", "_iy"]
+    keys = ["_level", "_ix", "_iy"] if index.depths else ["_ix", "_iy"]
     cells = index.cells.withColumnsRenamed({name: f"_{name}" for name in CELL})
     small = index.size_bytes <= broadcast_bytes
     if not small:
         salts = salts or (STREAM_SALTS if events.isStreaming else BATCH_SALTS)
         if salts > 1:
-            # Any division of the events will do, as every copy holds the whole index.
-            located = located.withColumn("_salt", F.spark_partition_id() % salts)
+            # By the event, so that one large input split is divided as well.
+            salt = F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int")
+            located = located.withColumn("_salt", salt)
             cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
             keys = [*keys, "_salt"]
 
-    join = "inner" if how == "inner" and index.chunks == 1 else "left"
-    packs = []
-    for chunk in range(index.chunks):
-        part = cells.where(F.col("chunk") == chunk) if index.chunks > 1 else cells
-        packs.append(f"_candidates{chunk}")
-        part = part.select(*keys, F.col("candidates").alias(packs[-1]))
-        located = located.join(_build_side(part, small), keys, join)
-    located = located.select(*names, *packs)
-
-    if index.chunks == 1:
-        located, found = _nearest_of_slots(located, names, packs[0], index)
-    else:
-        best = F.array_min(F.array(*(_nearest_of_all(pack) for pack in packs)))
-        found = _in_reach_of(index, best)
+    pack = "_candidates"
+    part = cells.select(*keys, F.col("candidates").alias(pack))
+    located = located.join(_build_side(part, small), keys, how).select(*names, pack)
+    located, found = _nearest_of_slots(located, names, pack, index)
     # The result leaves through a generator: a filter on it would be pushed below the
     # search and run the search twice.
     matched = located.select(*names, F.inline(found) if how == "inner" else F.inline_outer(found))
@@ -251,31 +285,41 @@ def _build_side(part: DataFrame, small: bool) -> DataFrame:
 
 
 def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFrame:
-    """Add the cell an event has to look in: the deepest one on the way down."""
+    """Add the cell an event has to look in: the deepest one on the way down.
+
+    Events outside the box get numbers of no cell, spread so that they do not meet in one
+    partition.
+    """
     u, v = _cell_units(F.col("lon"), F.col("lat"), index.cell_size)
-    ok = inside(F.col("lon"), F.col("lat"), index.box)
+    ok = F.coalesce(inside(F.col("lon"), F.col("lat"), index.box), F.lit(False))
+    spread = F.pmod(F.xxhash64(*events.columns), F.lit(1 << 20)).cast("int")
+    nowhere = F.lit(NOWHERE) - spread
 
     def number(steps: Column, depth: int) -> Column:
         # A factor of a power of two is exact: cells of all levels nest.
-        return F.when(ok, F.floor(steps * float(SPLIT**depth))).cast("int")
+        return F.when(ok, F.floor(steps * float(SPLIT**depth)).cast("int")).otherwise(nowhere)
 
-    if not index.splits:
+    if not index.depths:
         return events.withColumns({"_ix": number(u, 0), "_iy": number(v, 0)})
 
+    fields = [f"bits{depth}" for depth in range(1, index.depths)]
+    tops = index.tops.select(
+        F.col("ix").alias("_ix0"), F.col("iy").alias("_iy0"), F.lit(1).alias("_split"), *fields
+    )
+    events = events.withColumns({"_ix0": number(u, 0), "_iy0": number(v, 0)})
     small = index.split_cells * SPLIT_BYTES <= broadcast_bytes
-    level = F.lit(0)
-    for depth, split in enumerate(index.splits):
-        ix, iy, mark = f"_ix{depth}", f"_iy{depth}", f"_split{depth}"
-        split = split.select(F.col("ix").alias(ix), F.col("iy").alias(iy), F.lit(1).alias(mark))
-        events = events.withColumns({ix: number(u, depth), iy: number(v, depth)})
-        events = events.join(_build_side(split, small), [ix, iy], "left")
-        level = level + F.coalesce(F.col(mark), F.lit(0))
-    scale = F.pow(F.lit(float(SPLIT)), level)
-    return events.withColumns(
+    events = events.join(_build_side(tops, small), ["_ix0", "_iy0"], "left")
+    level = F.coalesce(F.col("_split"), F.lit(0))
+    for depth in range(1, index.depths):
+        code = _code(number(u, depth), number(v, depth), depth)
+        word = F.get(F.col(f"bits{depth}"), F.floor(code / WORD).cast("int"))
+        bit = F.call_function("shiftright", word, (code % WORD).cast("int")).bitwiseAND(F.lit(1))
+        level = level + F.coalesce(bit, F.lit(0)).cast("int")
+    scale = F.pow(F.lit(float(SPLIT)), F.col("_level"))
+    return events.withColumn("_level", level).withColumns(
         {
-            "_level": level,
-            "_ix": F.when(ok, F.floor(u * scale)).cast("int"),
-            "_iy": F.when(ok, F.floor(v * scale)).cast("int"),
+            "_ix": F.when(ok, F.floor(u * scale).cast("int")).otherwise(nowhere),
+            "_iy": F.when(ok, F.floor(v * scale).cast("int")).otherwise(nowhere),
         }
     )
 
@@ -387,13 +431,10 @@ def _divide(crowded: DataFrame, size: float, max_dist: float) -> DataFrame:
 
 
 def _leaf(entries: DataFrame, depth: int) -> DataFrame:
-    chunk = F.col("chunk").cast("int") if "chunk" in entries.columns else F.lit(0)
-    return entries.select(
-        F.lit(depth).alias("level"), "ix", "iy", chunk.alias("chunk"), "segment_id", "shape"
-    )
+    return entries.select(F.lit(depth).alias("level"), "ix", "iy", "segment_id", "shape")
 
 
 def _pack(leaves: DataFrame) -> DataFrame:
     candidate = F.struct("segment_id", "shape.*")
     packed = F.sort_array(F.collect_list(candidate))
-    return leaves.groupBy(*CELL, "chunk").agg(packed.alias("candidates"))
+    return leaves.groupBy(*CELL).agg(packed.alias("candidates"))

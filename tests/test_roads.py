@@ -1,9 +1,11 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.functions.geometry import LON_SCALE
-from roadpulse.operators.roads import build_road_index, match_roads
+from roadpulse.operators.roads import MOST_GROWTH, build_road_index, match_roads
 from roadpulse.schema import BOX, Box
 
 SCHEMA = "segment_id string, x1 double, y1 double, x2 double, y2 double"
@@ -84,7 +86,7 @@ def test_crowded_network_is_split_and_stays_exact(spark, length):
     points = random_points(800) + random_points(800, 4, 22.899, 22.903, 40.599, 40.603)
     roads = spark.createDataFrame(segments, SCHEMA)
     index = build_road_index(roads, 0.002)
-    assert index.splits and index.split_cells > 0
+    assert index.depths and index.split_cells > 0
     expected = nearest(points, segments, 0.002)
     assert found(match_roads(points_df(spark, points), index)) == expected
     shuffled = match_roads(points_df(spark, points), index, broadcast_bytes=0, salts=3)
@@ -103,9 +105,9 @@ def test_cells_that_cannot_be_split(spark):
     points += random_points(200, 6, 22.89999, 22.90001, 40.59999, 40.60001)
     roads = spark.createDataFrame(star, SCHEMA)
     expected = nearest(points, star, 0.001)
-    for chunk in (4096, 7):
-        index = build_road_index(roads, 0.001, chunk_segments=chunk, deepest=2)
-        assert index.widest > index.slots and (index.chunks > 1) == (chunk == 7)
+    for deepest in (0, 2, 4):
+        index = build_road_index(roads, 0.001, deepest=deepest)
+        assert index.widest > index.slots
         assert found(match_roads(points_df(spark, points), index)) == expected
         left = found(match_roads(points_df(spark, points), index, how="left"))
         assert {i: s for i, s in left.items() if s} == expected and len(left) == len(points)
@@ -121,18 +123,19 @@ def test_copies_points_and_broken_segments(spark):
         (None, 22.9, 40.6, 22.91, 40.6),
     ]
     index = build_road_index(spark.createDataFrame(segments + broken, SCHEMA), 0.001)
-    assert not index.splits and index.widest <= 2
+    assert not index.depths and index.widest <= 2
     points = [(22.905, 40.6003), (22.9501, 40.65), (22.9705, 40.605), (22.99, 40.69)]
     got = found(match_roads(points_df(spark, points), index))
     assert got == {0: "c000", 1: "dot", 2: "up"}
 
 
 def test_ties_and_unmatched(spark):
-    roads = [("b", 22.9, 40.6, 22.92, 40.6), ("a", 22.9, 40.602, 22.92, 40.602)]
-    points = [(22.91, 40.601), (22.7, 40.6), (22.95, 40.55)]
+    # All numbers are exact in binary: both roads are 1/512 degrees from the point.
+    roads = [("b", 22.875, 40.625, 22.9375, 40.625), ("a", 22.875, 40.62890625, 22.9375, 40.62890625)]
+    points = [(22.90625, 40.626953125), (22.7, 40.6), (22.95, 40.55)]
     df = points_df(spark, points)
     table = spark.createDataFrame(roads, SCHEMA)
-    assert found(match_roads(df, table, 0.002))[0] in ("a", "b")
+    assert found(match_roads(df, table, 0.002))[0] == "a"
     kept = found(match_roads(df, table, 0.002, how="left"))
     assert (kept[1], kept[2]) == (None, None)
     missing = spark.createDataFrame([(1, None, 40.6), (2, float("nan"), 40.6)], df.schema)
@@ -180,3 +183,21 @@ def test_events_are_not_shuffled_beside_a_small_index(spark):
     assert "Exchange hashpartitioning" not in stream_side
     large = match_roads(events, index, broadcast_bytes=0)
     assert "ShuffledHashJoin" in large._jdf.queryExecution().executedPlan().toString()
+
+
+def test_number_of_joins_does_not_depend_on_the_roads(spark):
+    hub = [
+        (f"h{i:04d}", 22.9, 40.6, 22.9 + 0.002 * math.cos(i), 40.6 + 0.002 * math.sin(i))
+        for i in range(1000)
+    ]
+    events = points_df(spark, random_points(200, 3, 22.89, 22.91, 40.59, 40.61) + [(22.9, 40.6)])
+    joins, first = {}, build_road_index(spark.createDataFrame(hub, SCHEMA), 0.001, deepest=0)
+    for deepest in (1, 2, 4):
+        index = build_road_index(spark.createDataFrame(hub, SCHEMA), 0.001, deepest=deepest)
+        for limit in (0, 1 << 30):
+            plan = match_roads(events, index, broadcast_bytes=limit)
+            plan = plan._jdf.queryExecution().executedPlan().toString()
+            joins.setdefault(limit, set()).add(plan.count("HashJoin"))
+        assert found(match_roads(events, index)) == found(match_roads(events, first))
+        assert index.size_bytes <= (MOST_GROWTH + 1) * first.size_bytes
+    assert joins == {0: {2}, 1 << 30: {2}}
