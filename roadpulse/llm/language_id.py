@@ -8,8 +8,8 @@ down to a uniform byte. A context that a language has never met costs no escape.
 statistics are frozen, so costs are tables, and the code length of a whole text is the sum
 of one looked-up number for each byte and language. The shortest code wins.
 
-The fit takes at most ``SAMPLE_DOCS`` documents of each language, those of least id hash,
-and the ``MOST_LANGUAGES`` most frequent values of ``lang``. Scoring covers whole texts of
+The fit takes an even draw by id hash of about ``SAMPLE_DOCS`` documents of each language
+(all, if it has no more), and the ``MOST_LANGUAGES`` most frequent values of ``lang``. Scoring covers whole texts of
 all documents. The order is reduced where the tables would outgrow ``TABLE_BYTES``.
 
 Null text and text without a letter are ``und`` with score 0, and so is every text if
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.arrow import text_slices, utf8
@@ -66,12 +66,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         F.xxhash64(id_col).alias("draw"), F.col(lang_col).cast("string").alias("lang"), text_col
     )
     labelled = labelled.where(F.col("lang").isNotNull() & F.col(text_col).isNotNull())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    drawn = labelled.select("lang", "draw").withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS)
-    limits = drawn.groupBy("lang").agg(F.max("draw").alias("limit"), F.max("rank").alias("n"))
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # At most MOST_LANGUAGES rows.
-    limits = F.broadcast(limits.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES))
-    sampled = labelled.join(limits, "lang").where(F.col("draw") <= F.col("limit"))
+    sizes = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES))
+    place = (F.col("draw").cast("double") + 2.0**63) / 2.0**64
+    sampled = labelled.join(sizes, "lang").where(place * F.col("n") <= SAMPLE_DOCS)
     sampled = sampled.select("lang", F.col(text_col).alias("text")).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
