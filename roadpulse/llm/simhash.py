@@ -42,6 +42,7 @@ SEED = 42
 DISTANCE = 2
 BLOCKS = 5
 CROWD = 64
+LARGE = 10_000
 UPPER = bytes(range(65, 91))
 LOWER = bytes.maketrans(UPPER, UPPER.lower())
 
@@ -183,7 +184,8 @@ def near_duplicates(
 ) -> DataFrame:
     """``id_col``, ``fingerprint`` (16 hex digits) and ``component_id`` of each row."""
     prints = materialize(with_fingerprints(docs, id_col, text_col), "fingerprints")
-    classes = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    sizes = prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    classes = materialize(sizes, "classes")
     rooted = components(close_links(classes.select("fp"), distance))
     roots = rooted.select(F.col("node").alias("fp"), "root").union(
         rooted.select(F.col("root").alias("fp"), "root")
@@ -193,9 +195,16 @@ def near_duplicates(
     named = members.groupBy("root").agg(F.min("least").alias("component"))
     linked = members.join(named, "root").select("fp", "component")
     labels = classes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component", "least").alias("component_id")
+        "fp", "n", F.coalesce("component", "least").alias("component_id")
     )
-    return prints.join(labels, "fp").select(
+    labels = materialize(labels, "labels")
+    # Classes of more than one in LARGE rows are fewer than LARGE: a bounded broadcast, so
+    # no task gets the rows of a large class together.
+    rows = prints.count()
+    large = F.broadcast(labels.where(F.col("n") * LARGE > rows).drop("n"))
+    in_large = prints.join(large, "fp")
+    in_small = prints.join(large.select("fp"), "fp", "left_anti").join(labels.drop("n"), "fp")
+    return in_large.unionByName(in_small).select(
         F.col("id").alias(id_col), hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
 
