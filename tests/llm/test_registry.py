@@ -1,0 +1,186 @@
+"""Every registered query on the smallest tables, against SQL or brute force."""
+
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from test_documents import roots, slow_fingerprint
+from tokenizers import Tokenizer
+
+from roadpulse.llm import registry
+from roadpulse.llm.decontaminate import words
+
+SF_DIR = "/root/testdata/sf0.001"
+LAYOUTS = {
+    "op2": "page_id bigint, host string, path string, rule string, verdict string",
+    "op3": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint,"
+    " grown_shard int",
+    "op5": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op6": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op7": "doc_id bigint, fingerprint string, component_id bigint",
+    "op8": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint,"
+    " sequence_id bigint, offset bigint",
+    "op9": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op10": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+}
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def tables():
+    connection = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def texts(tables):
+    rows = tables.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall()
+    return dict(rows)
+
+
+@pytest.fixture(scope="module")
+def answers(spark):
+    made = {}
+
+    def run(number):
+        if number not in made:
+            name = next(n for n in registry.queries() if n.startswith(f"{number}_"))
+            result = registry.queries()[name](spark, SF_DIR)
+            made[number] = (result, result.collect())
+        return made[number]
+
+    return run
+
+
+@pytest.mark.parametrize("number", LAYOUTS)
+def test_layout(answers, number):
+    result, _ = answers(number)
+    want = [tuple(part.split()) for part in LAYOUTS[number].split(", ")]
+    assert result.dtypes[: len(want)] == want
+
+
+@pytest.mark.parametrize("name", registry.oracle_sql())
+def test_sql(spark, tables, name):
+    result = registry.queries()[name](spark, SF_DIR)
+    cursor = tables.execute(registry.oracle_sql()[name])
+    columns = [column[0] for column in cursor.description]
+    assert sorted(result.columns) == sorted(columns)
+    assert sorted(map(tuple, result.select(*columns).collect()), key=str) == sorted(cursor.fetchall(), key=str)
+
+
+def test_quality(answers, tables):
+    labels = dict(tables.execute("SELECT doc_id, quality FROM labels").fetchall())
+    _, found = answers("op1")
+    assert {row.doc_id for row in found} == {row[0] for row in tables.execute("SELECT doc_id FROM documents").fetchall()}
+    right = [row.keep == bool(labels[row.doc_id]) for row in found if row.doc_id in labels]
+    assert sum(right) >= 0.9 * len(right)
+
+
+def test_shards(answers, texts):
+    _, found = answers("op3")
+    sizes = {}
+    for row in found:
+        data = texts[row.doc_id].encode()
+        assert (row.size, row.text_crc32, row.law) == (len(data) + 1, zlib.crc32(data), "bytes")
+        assert row.grown_shard is None
+        sizes[row.shard] = sizes.get(row.shard, 0) + row.size
+    assert len(found) == len(texts) and set(sizes) <= set(range(8))
+    largest = max(len(text.encode()) + 1 for text in texts.values())
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * largest
+    for shard in sizes:
+        slots = sorted(row.slot for row in found if row.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_leaks(answers, tables, texts):
+    items = dict(tables.execute("SELECT item_id, text FROM benchmark").fetchall())
+    whole = {i: f" {' '.join(words(text))} " for i, text in items.items()}
+    want = {
+        (doc, item)
+        for doc, text in texts.items()
+        for item, copy in whole.items()
+        if len(copy.split()) >= 4 and copy in f" {' '.join(words(text))} "
+    }
+    _, found = answers("op4")
+    assert want and want <= {(row.doc_id, row.item_id) for row in found}
+    assert all(row.score >= 0.7 * row.item_words for row in found)
+
+
+def test_token_files(answers, texts):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    _, found = answers("op5")
+    at = 0
+    for row in sorted(found):
+        ids = np.array(library.encode(texts[row.doc_id], add_special_tokens=False).ids + [1], "<u4")
+        assert tuple(row)[1:] == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert len(found) == len(texts)
+
+
+def test_near_duplicates(answers, texts):
+    _, found = answers("op7")
+    prints = {doc: slow_fingerprint(text) for doc, text in texts.items()}
+    assert {row.doc_id: int(row.fingerprint, 16) for row in found} == prints
+    root = roots(prints.values())
+    least = {}
+    for doc, value in prints.items():
+        least[root[value]] = min(doc, least.get(root[value], doc))
+    assert all(row.component_id == least[root[prints[row.doc_id]]] for row in found)
+
+
+def test_packing(answers, texts):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    _, found = answers("op8")
+    whole = {
+        doc: np.array(library.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        for doc, text in texts.items()
+    }
+    places, pieces = {}, {}
+    for row in found:
+        ids = whole[row.doc_id][row.start : row.start + row.length]
+        assert zlib.crc32(ids.tobytes()) == row.ids_crc32
+        places.setdefault(row.sequence_id, []).append((row.offset, row.length))
+        pieces.setdefault(row.doc_id, []).append((row.piece, row.start, row.length))
+    for doc, parts in pieces.items():
+        at = 0
+        for number, (piece, start, length) in enumerate(sorted(parts)):
+            assert (piece, start) == (number, at) and (number == 0 or length == 2048)
+            at += length
+        assert at == len(whole[doc])
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(map(len, whole.values()))
+    assert set(pieces) == set(texts) and len(places) <= 1.01 * total / 2048 + 1
+
+
+def test_language(answers, tables, texts):
+    langs = dict(tables.execute("SELECT doc_id, lang FROM documents").fetchall())
+    _, found = answers("op9")
+    held = [row for row in found if row.held_out]
+    assert all(row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1) for row in found)
+    assert len(found) == len(texts) and held
+    assert sum(row.lang_pred == langs[row.doc_id] for row in held) >= 0.97 * len(held)
+
+
+def test_counts(answers, texts):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    _, found = answers("op10")
+    for row in found:
+        count = len(library.encode(texts[row.doc_id], add_special_tokens=False).ids)
+        assert tuple(row)[1:] == (len(texts[row.doc_id].encode()), count, count > 512)
+    assert len(found) == len(texts)
+
+
+def test_pipeline(spark, texts):
+    found = registry.queries()["pipeline"](spark, SF_DIR).collect()
+    assert {row.doc_id for row in found} < set(texts) and all(row.length <= 2048 for row in found)
