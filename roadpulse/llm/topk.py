@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse.session import materialize
+
 BLOCK = 4096
 LARGEST = 1 << 24
 
@@ -175,6 +177,7 @@ def top_neighbours(
         F.col(id_col).cast("bigint").alias("vec_id"), integer_weights(F.col(vector_col)).alias("weights")
     )
     slim = slim.where(F.col("weights").isNotNull() & F.col("vec_id").isNotNull()).distinct()
+    slim = materialize(slim, "weights")
     return search(slim.where(F.col("vec_id") % every == 0), slim, k, block)
 
 
