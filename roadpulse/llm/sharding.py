@@ -61,16 +61,18 @@ def _with_range(records: DataFrame, splitters: Splitters) -> DataFrame:
     return records.withColumn("range", place("key", "tie"))
 
 
-def _sample(records: DataFrame, size: int) -> pd.DataFrame:
-    """Keys drawn without replacement, each draw with chances by size: the least
-    exponential variates of rate ``size``, made from a hash so that a rerun agrees."""
+def _sample(records: DataFrame, count: int, total: int) -> pd.DataFrame:
+    """About ``count`` keys drawn with chances by size: those whose exponential variate of
+    rate ``size`` is at most ``count / total``. The variates are made from a hash, so a rerun
+    agrees, and each task sends only what is drawn."""
     uniform = (F.xxhash64("key", "tie", F.lit("draw")).cast("double") + 2.0**63) / 2.0**64
     arrival = -F.log(F.greatest(uniform, F.lit(2.0**-64))) / F.col("size")
-    rows = records.select("key", "tie", arrival.alias("arrival")).orderBy("arrival", "key", "tie")
-    return rows.limit(size).toPandas()
+    return records.where(arrival <= count / total).select("key", "tie").toPandas()
 
 
 def _quantiles(sample: pd.DataFrame, parts: int, by_tie: bool) -> list[tuple[int, int]]:
+    if sample.empty:
+        return []
     sample = sample.sort_values(["key", "tie"])
     at = (np.arange(1, parts) * len(sample)) // parts
     keys = sample["key"].to_numpy()[at].tolist()
@@ -88,11 +90,12 @@ def _splitters(points: set[tuple[int, int]]) -> Splitters:
 def find_splitters(
     records: DataFrame, ranges: int, sample: int = SAMPLE, rounds: int = 4
 ) -> tuple[Splitters, dict[int, tuple[int, int]]]:
-    """Splitters, and the size and rows of each range. The driver gets the sample and one
-    row for each range, both bounded by parameters."""
-    drawn = _sample(records, sample)
-    if drawn.empty:
+    """Splitters, and the size and rows of each range. The driver gets the sample, of about
+    ``sample`` keys, and one row for each range."""
+    total = records.agg(F.sum("size")).first()[0]
+    if total is None:
         return _splitters(set()), {}
+    drawn = _sample(records, sample, total)
     points = set(_quantiles(drawn, ranges, by_tie=False))
     for round_ in range(rounds + 1):
         splitters = _splitters(points)
@@ -104,12 +107,12 @@ def find_splitters(
         if not overfull or round_ == rounds:
             break
         inside = placed.where(F.col("range").isin(list(overfull)))
-        again = _sample(inside, sample)
+        again = _sample(inside, sample, sum(overfull.values()))
         place = splitters.place(again["key"].to_numpy(), again["tie"].to_numpy())
         before = len(points)
         for number, size in overfull.items():
             parts = int(np.ceil(size / share))
-            points.update(_quantiles(again[place == number], parts, by_tie=True) if (place == number).any() else [])
+            points.update(_quantiles(again[place == number], parts, by_tie=True))
         if len(points) == before:
             break
     return splitters, held
