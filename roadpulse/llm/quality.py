@@ -7,9 +7,9 @@ of to the other as training rows. At last each view is calibrated on labelled ro
 were kept out of training, and a third regression weighs the two calibrated views. Every
 document is scored.
 
-Bounds of the fit: ``LABELLED`` labelled documents of least id hash, and in each round
-``EXCHANGED`` pseudo-labels of each view and class, drawn evenly by hash from all documents
-over ``SURE``. Nothing else is sampled: all documents are scored in each round, whole.
+Bounds of the fit: about ``LABELLED`` labelled documents, and in each round about
+``EXCHANGED`` pseudo-labels of each view and class among all documents that are ``SURE``,
+both drawn evenly by hash. Nothing else is sampled: all documents are scored in each round, whole.
 
 Null text has the features of an empty one; null metadata have values of their own. Labels
 without id or quality are left out; several labels of one id count by their mean, 0.5 as
@@ -116,8 +116,9 @@ def with_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
     named = named.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
-    # At most LABELLED rows.
-    drawn = F.broadcast(named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))
+    # An even share of the labels: about LABELLED rows.
+    place = (F.xxhash64("doc_id").cast("double") + 2.0**63) / 2.0**64
+    drawn = F.broadcast(named.where(place * max(1, named.count()) <= LABELLED))
     slim = docs.select(
         F.col("doc_id").alias("id"),
         F.col("text").cast("string").alias("text"),
@@ -210,7 +211,8 @@ class CoTrained:
 
 
 def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    table = rows.select("label", "draw", "text_view", "meta_view").toArrow().combine_chunks()
+    table = rows.select("label", "draw", "text_view", "meta_view").toArrow().sort_by("draw")
+    table = table.combine_chunks()
     views = []
     for name in ("text_view", "meta_view"):
         column = table.column(name)
@@ -221,8 +223,7 @@ def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 def co_train(features: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
     """Fit on a stored feature table; None without labels of both classes."""
-    known = features.where(F.col("label").isNotNull()).orderBy("draw").limit(2 * LABELLED)
-    text, meta, label, draw = _fetch(known)
+    text, meta, label, draw = _fetch(features.where(F.col("label").isNotNull()).limit(2 * LABELLED))
     checks = draw % 4 == 0
     for part in (checks, ~checks):
         if len(np.unique(label[part])) < 2:
