@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+from roadpulse.llm.workers import return_memory
+
+SLICE_BYTES = 1 << 20
 
 
 def text_slices(
@@ -16,19 +18,21 @@ def text_slices(
 ) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Rows with their texts (null: empty), at most about ``most`` bytes of text at a time.
 
-    A text longer than that is a slice of its own; texts are never cut.
+    A text longer than that is a slice of its own; texts are never cut. What the slices have
+    left in memory is given back at the end.
     """
     for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        texts = pc.fill_null(batch.column(column).cast(pa.string()), "")
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
         while start < len(ends):
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
-            yield batch.slice(start, stop - start), texts.slice(start, stop - start)
+            rows = batch.slice(start, stop - start)
+            yield rows, pc.fill_null(rows.column(column).cast(pa.string()), "")
             start = stop
+        del batch
+    return_memory()
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

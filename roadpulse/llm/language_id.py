@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.arrow import text_slices, utf8
+from roadpulse.llm.workers import kept
 
 ORDER = 3
 SAMPLE_DOCS = 2000
@@ -36,7 +37,8 @@ MOST_LANGUAGES = 256
 TABLE_BYTES = 256 << 20
 START = 256
 RADIX = 257
-SLICE = 2 << 20
+SLICE = 1 << 20
+BLOCK = 1024
 UNKNOWN = "und"
 RESULT = "struct<lang_pred:string,score:double>"
 
@@ -108,35 +110,46 @@ class CostTables:
         self.symbol[known] = np.arange(1, len(known) + 1)
         self.symbol[START] = len(known) + 1
         self.size = len(known) + 2
-        parts = [codes // RADIX**back % RADIX for back in range(ORDER + 1)]
-        symbols = [self.symbol[part] for part in parts]
-        costs = np.full((1, self.size, count), 8.0)
-        rows = np.zeros(1, np.int64)
-        self.order = 0
+        symbols = [self.symbol[codes // RADIX**back % RADIX] for back in range(ORDER + 1)]
+        orders, cells = [], 0
         for order in range(ORDER + 1):
             context = np.zeros(len(codes), np.int64)
             for back in range(order, 0, -1):
                 context = context * self.size + symbols[back]
             found, place = np.unique(context, return_inverse=True)
-            if order and len(found) * self.size * count * 4 > TABLE_BYTES:
+            cells += len(found) * self.size * count
+            if order and cells * 4 > TABLE_BYTES:
                 break
-            seen = np.zeros((len(found), self.size, count))
-            np.add.at(seen, (place, symbols[0], number), counts)
+            orders.append((found, place))
+        self.order = len(orders) - 1
+        # Rows of shorter contexts stay, for contexts that were never met.
+        lengths = [len(found) for found, _ in orders]
+        self.costs = np.empty((sum(lengths), self.size, count), np.float32)
+        rows, first = np.zeros(1, np.int64), 0
+        for order, (found, place) in enumerate(orders):
+            shorter = rows[found % self.size ** max(order - 1, 0)] if order else None
+            self._fill(first, len(found), place, symbols[0], number, counts, shorter)
+            longer = np.tile(rows, self.size) if order else np.zeros(1, np.int64)
+            longer[found] = first + np.arange(len(found))
+            rows, first = longer, first + len(found)
+        self.rows = rows.astype(np.int32)
+        self.costs = self.costs.reshape(-1, count)
+
+    def _fill(self, first, length, place, symbol, number, counts, shorter) -> None:
+        """Costs of the contexts of one order, some of them at a time to save memory."""
+        by_place = np.argsort(place, kind="stable")
+        bounds = np.searchsorted(place[by_place], np.arange(0, length + BLOCK, BLOCK))
+        for at in range(0, length, BLOCK):
+            size = min(BLOCK, length - at)
+            some = by_place[bounds[at // BLOCK] : bounds[at // BLOCK + 1]]
+            seen = np.zeros((size, *self.costs.shape[1:]))
+            np.add.at(seen, (place[some] - at, symbol[some], number[some]), counts[some])
+            below = 8.0 if shorter is None else self.costs[shorter[at : at + size]]
             total, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-            shorter = rows[found % self.size ** max(order - 1, 0)] if order else np.zeros(1, np.int64)
-            below = costs[shorter]
             with np.errstate(divide="ignore", invalid="ignore"):
                 escape = np.where(kinds > 0, np.log2((total + kinds) / kinds), 0.0)
                 direct = np.log2((total + kinds) / seen)
-            # Rows of shorter contexts stay, for contexts that were never met.
-            made = np.where(seen > 0, direct, escape + below)
-            first = 0 if order == 0 else len(costs)
-            costs = made if order == 0 else np.concatenate([costs, made])
-            longer = np.tile(rows, self.size) if order else np.zeros(1, np.int64)
-            longer[found] = first + np.arange(len(found))
-            rows, self.order = longer, order
-        self.rows = rows.astype(np.int32)
-        self.costs = np.ascontiguousarray(costs.reshape(-1, count), np.float32)
+            self.costs[first + at : first + at + size] = np.where(seen > 0, direct, escape + below)
 
     def code_lengths(self, texts: pa.Array) -> np.ndarray:
         """Bits of each text under each language."""
@@ -154,16 +167,10 @@ class CostTables:
         return bits
 
 
-_tables: dict = {}
-
-
 def tables(model) -> CostTables:
     """Built once in each worker process."""
     key, *counts = model.value
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = CostTables(*counts)
-    return _tables[key]
+    return kept(("language", key), lambda: CostTables(*counts))
 
 
 def predict(text: Column, model) -> Column:

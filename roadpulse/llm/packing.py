@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.arrow import text_slices
-from roadpulse.llm.tokens import encoder
+from roadpulse.llm.tokens import CACHE, encoder
 from roadpulse.session import materialize
 
 CAPACITY = 2048
@@ -44,6 +44,7 @@ def token_pieces(
     capacity: int = CAPACITY,
     end_id: int = 0,
     with_ids: bool = False,
+    cache_limit: int = CACHE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -57,7 +58,7 @@ def token_pieces(
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
-        model = encoder(tokenizer_path)
+        model = encoder(tokenizer_path, cache_limit)
         for rows, texts in text_slices(batches):
             ids, counts = model.encode(texts)
             ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
@@ -290,11 +291,14 @@ def pack_documents(
     docs: DataFrame,
     tokenizer_path: str,
     capacity: int = CAPACITY,
+    cache_limit: int = CACHE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Pieces of all documents with their sequences."""
+    """Pieces of all documents with their sequences. ``cache_limit`` bounds the chunks whose
+    ids a worker keeps; it trades memory for speed."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = materialize(token_pieces(slim, tokenizer_path, capacity), "pieces")
+    made = token_pieces(slim, tokenizer_path, capacity, cache_limit=cache_limit)
+    pieces = materialize(made, "pieces")
     packed = pack(pieces, capacity, ("doc_id", "piece", "ids_crc32"))
     return packed.withColumnRenamed("doc_id", id_col)

@@ -39,6 +39,7 @@ PAIRS = 116
 SOURCES = 32
 LANGS = 8
 RIDGE = 1.0
+SLICE = 1 << 20
 
 
 def text_view(texts: pa.Array) -> np.ndarray:
@@ -106,7 +107,7 @@ COLUMNS = ("text", "source", "lang", "n_chars")
 
 
 def _views(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for rows, texts in text_slices([batch]):
+    for rows, texts in text_slices([batch], most=SLICE):
         meta = meta_view(*(rows.column(name) for name in COLUMNS[1:]))
         yield rows, text_view(texts), meta
 

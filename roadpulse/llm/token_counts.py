@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import heapq
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.arrow import text_slices
 from roadpulse.llm.tokens import SPACES
+from roadpulse.llm.workers import kept
 
 WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Fixed pattern of byte-level vocabularies.
@@ -151,9 +151,9 @@ def byte_chars() -> list[str]:
     return [chars[byte] for byte in range(256)]
 
 
-@lru_cache(maxsize=2)
 def counter(path: str) -> MergeCounter:
-    return MergeCounter(path)
+    """One for each worker process, kept between its tasks."""
+    return kept(("counter", path), lambda: MergeCounter(path))
 
 
 def count_tokens(

@@ -10,16 +10,18 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from roadpulse.llm.arrow import gather
+from roadpulse.llm.workers import kept
 
 SPACES = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 GROUP = 2000
+# Chunks a worker keeps: some 150 bytes each.
+CACHE = 1_000_000
 # Fixed value: the division of vocabularies that drop white space.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -27,7 +29,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class ChunkEncoder:
     """``leading_space``: a chunk takes the space before it (byte-level files), or none."""
 
-    def __init__(self, path: str, cache_limit: int = 1_000_000):
+    def __init__(self, path: str, cache_limit: int = CACHE):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -173,7 +175,6 @@ def _drops_space(layout: dict) -> bool:
     return kinds == ["NFC", "Replace", "Lowercase"] and pattern == WORDS
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, cache_limit: int = CACHE) -> ChunkEncoder:
     """One for each worker process, kept between its tasks."""
-    return ChunkEncoder(path)
+    return kept(("encoder", path, cache_limit), lambda: ChunkEncoder(path, cache_limit))
