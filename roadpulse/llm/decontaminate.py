@@ -6,12 +6,12 @@ vocabulary; all other words of a document are one unknown word.
 1. Passages: where a document has an n-gram of ``SEED_WORDS`` words that some test item
    has, the words around it (as far as the longest item reaches) are cut out; overlapping
    cuts are one passage. This is one pass over the texts; nothing else of them moves on.
-2. Rare seeds: passages with each n-gram are counted over the whole corpus. An n-gram in
-   at most ``RARE`` passages is a seed, and so is, of every ``SEED_WINDOW`` neighbouring
-   n-grams of an item, the one in the fewest passages. So each stretch of ``SEED_WORDS +
-   SEED_WINDOW - 1`` intact words holds a seed, however often it was copied.
-3. Seeds join passages to items, and Smith-Waterman alignment (match 2, other word or gap
-   -1) scores each pair. An item of L words is found if its score is that of
+2. Rare seeds: different passages with each n-gram are counted over the whole corpus. A
+   passage meets each item that it shares an n-gram with, once, at the rarest of them: the
+   counts set the order, and no count keeps a passage from an item.
+3. A pair is left out only where the words in common, each as often as both have it, are
+   too few for the score. Smith-Waterman alignment (match 2, other word or gap -1) scores
+   the others. An item of L words is found if its score is that of
    ``needed_words(L)`` matches: 0.4 of the item, at least 7 words and at most 30.
 
 Test items are taken in slices of at most ``SLICE_WORDS`` words, so that what each task is
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,8 @@ from roadpulse.llm.arrow import text_slices
 from roadpulse.session import materialize
 
 SEED_WORDS = 4
-SEED_WINDOW = 2
-RARE = 1000
 SLICE_WORDS = 4_000_000
+KNOWN_BYTES = 32 << 20
 MATCH, OTHER = 2, -1
 WORD = re.compile(r"[^\W_]+")
 
@@ -59,10 +59,38 @@ class Vocabulary:
         split = [words(text) for text in texts]
         self.numbers = {w: i + 1 for i, w in enumerate(sorted({w for x in split for w in x}))}
         self.items = [self.code(x) for x in split]
-        grams = [gram_hashes(item) for item in self.items]
-        self.grams = np.unique(np.concatenate([np.zeros(0, np.int64), *grams]))
+        grams = [np.unique(gram_hashes(item)) for item in self.items]
+        owners = [np.full(len(x), number, np.int32) for number, x in enumerate(grams)]
+        listed = np.concatenate([np.zeros(0, np.int64), *grams])
+        order = np.argsort(listed, kind="stable")
+        self.grams, begins = np.unique(listed[order], return_index=True)
+        self.bounds = np.append(begins, len(listed))
+        self.owners = np.concatenate([np.zeros(0, np.int32), *owners])[order]
+        self.bags = [np.unique(item, return_counts=True) for item in self.items]
         self.reach = max([0, *map(len, self.items)])
 
+    def meetings(self, codes: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> list[int]:
+        """Items with one of the ``grams``, by the rarest (``counts`` of ``self.grams``), that
+        have enough words in common with the passage."""
+        places = np.searchsorted(self.grams, grams)
+        places = places[np.argsort(counts[places], kind="stable")]
+        listed = [self.owners[self.bounds[at] : self.bounds[at + 1]] for at in places]
+        items = dict.fromkeys(np.concatenate([np.zeros(0, np.int32), *listed]).tolist())
+        there, times = np.unique(codes, return_counts=True)
+        self.seen[there] = times
+        found = []
+        for item in items:
+            numbers, often = self.bags[item]
+            if np.minimum(self.seen[numbers], often).sum() >= needed_words(len(self.items[item])):
+                found.append(item)
+        self.seen[there] = 0
+        return found
+
+    @cached_property
+    def seen(self) -> np.ndarray:
+        """How often a passage has each word; zero between calls."""
+        return np.zeros(len(self.numbers) + 1, np.int64)
+
     def code(self, found: list[str]) -> np.ndarray:
         get = self.numbers.get
         return np.array([get(word, 0) for word in found], np.int64)
@@ -186,30 +214,36 @@ def _leaks_of_slice(docs: DataFrame, items: DataFrame) -> DataFrame:
         cut, f"doc_id {id_kind}, first bigint, codes array<int>, grams array<bigint>"
     )
     passages = materialize(passages, "passages")
-    counts = passages.select(F.explode("grams").alias("gram")).groupBy("gram").count()
+    each = passages.select(F.xxhash64("codes").alias("passage"), F.explode("grams").alias("gram"))
+    counts = each.distinct().groupBy("gram").count()
     # One row for each n-gram of the slice at most.
-    frequency = {row["gram"]: row["count"] for row in counts.collect()}
-    vocabulary = sent.value
-    seeds = {
-        (gram, number)
-        for number, item in enumerate(vocabulary.items)
-        for gram in _rare(gram_hashes(item).tolist(), frequency)
-    }
-    seed_table = F.broadcast(spark.createDataFrame(sorted(seeds), "gram long, item int"))
-    met = passages.withColumn("gram", F.explode("grams")).join(seed_table, "gram")
-    pairs = met.select("doc_id", "first", "codes", "item").distinct()
+    frequency = np.zeros(len(sent.value.grams), np.int64)
+    for row in counts.collect():
+        frequency[np.searchsorted(sent.value.grams, row["gram"])] = row["count"]
+    order = spark.sparkContext.broadcast(frequency)
 
     def score(batches):
-        items_ = sent.value.items
+        vocabulary, frequency = sent.value, order.value
+        items_ = vocabulary.items
+        known, size = {}, 0
         for batch in batches:
             out = []
-            for row, (codes, item) in enumerate(
-                zip(batch.column("codes"), batch.column("item").to_pylist())
-            ):
+            for row, (codes, grams) in enumerate(zip(batch.column("codes"), batch.column("grams"))):
                 passage = codes.values.to_numpy(zero_copy_only=False)
-                best, begin, end = align(passage, items_[item])
-                if best >= MATCH * needed_words(len(items_[item])):
-                    out.append((row, item, best, begin, end))
+                key = passage.tobytes()
+                # Equal passages are scored once, as far as the memory for them reaches.
+                if key not in known:
+                    if size > KNOWN_BYTES:
+                        known, size = {}, 0
+                    at = grams.values.to_numpy(zero_copy_only=False)
+                    scores = []
+                    for item in vocabulary.meetings(passage, at, frequency):
+                        best, begin, end = align(passage, items_[item])
+                        if best >= MATCH * needed_words(len(items_[item])):
+                            scores.append((item, best, begin, end))
+                    known[key] = scores
+                    size += len(key) + 200 * (1 + len(scores))
+                out += [(row, *found) for found in known[key]]
             kept = pa.array([x[0] for x in out], pa.int64())
             first = batch.column("first").take(kept).to_numpy(zero_copy_only=False)
             item_type = pa.int64() if item_kind == "bigint" else None
@@ -224,26 +258,13 @@ def _leaks_of_slice(docs: DataFrame, items: DataFrame) -> DataFrame:
                 }
             )
 
-    return pairs.mapInArrow(
+    return passages.mapInArrow(
         score,
         f"doc_id {id_kind}, item_id {item_kind}, score int, item_words int,"
         " first_word bigint, last_word bigint",
     )
 
 
-def _rare(grams: list[int], frequency: dict[int, int]) -> set[int]:
-    """Rare n-grams, and the one in the fewest passages of every few neighbours."""
-    window = min(SEED_WINDOW, len(grams))
-    met = [frequency.get(gram, 0) for gram in grams]
-    found = {gram for gram, count in zip(grams, met) if 0 < count <= RARE}
-    for start in range(len(grams) - window + 1) if grams else ():
-        # One that no passage has cannot join, so the rarest of the others is taken.
-        there = [at for at in range(start, start + window) if met[at]]
-        if there:
-            found.add(grams[min(there, key=lambda at: (met[at], at))])
-    return found
-
-
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents in which no test item is found, with their columns; those without id stay."""
     leaks = find_leaks(docs, benchmark).select("doc_id").distinct()

@@ -352,6 +352,19 @@ def test_leaks(leaky, slice_words):
     assert all(row.first_word <= row.last_word for row in found)
 
 
+def test_often_copied_passages_meet_their_item(spark, documents):
+    """Each intact n-gram is in over 1000 passages, and each neighbour of one is rarer."""
+    draw = random.Random(12)
+    item = [f"w{at}" for at in range(30)]
+    copy = [word if at % 5 != 4 else "edit" for at, word in enumerate(item)]
+    other = [draw.choice(item) for _ in range(1200)]
+    rows = [(at, f"{word} {' '.join(copy)} x{at}") for at, word in enumerate(other)]
+    rows.append((5000, " ".join(item)))
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = decontaminate.find_leaks(documents(rows), benchmark).collect()
+    assert sorted(row.doc_id for row in found) == [*range(1200), 5000]
+
+
 def test_leaks_are_dropped(leaky):
     docs, benchmark, want = leaky
     kept = decontaminate.drop_leaks(docs, benchmark)
