@@ -39,6 +39,8 @@ except ImportError:
 MAX_DIST = 0.001
 CROWDED_DIST = 0.01
 DAY = 24 * 60
+ARRAY_RECORDS = 1000
+FILE_ARRAYS = 16
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -122,13 +124,19 @@ def json_array_file(spark: SparkSession, sf: str) -> DataFrame:
     """Arrays of records in files, one of them cut short in its last record."""
     events = views.fcd_raw(spark, sf)
     record = F.struct("event_id", *_json_fields())
-    arrays = events.groupBy((F.col("event_id") % 8).alias("part")).agg(
-        F.to_json(F.transform(F.sort_array(F.collect_list(record)), lambda r: r)).alias("value")
+    # The arrays grow in number with the table, not in length.
+    part = (F.col("event_id") % 8).alias("part")
+    block = F.floor(F.col("event_id") / (8 * ARRAY_RECORDS)).alias("block")
+    arrays = events.groupBy(part, block).agg(
+        F.to_json(F.transform(F.sort_array(F.collect_list(record)), lambda r: r)).alias("value"),
+        F.max("event_id").alias("last"),
     )
+    last = events.where(F.col("event_id") % 8 == 0).agg(F.max("event_id")).first()[0]
     cut = F.substring("value", F.lit(1), F.length("value") - 10)
-    arrays = arrays.withColumn("value", F.when(F.col("part") == 0, cut).otherwise(F.col("value")))
+    value = F.when(F.col("last") == F.lit(last), cut).otherwise(F.col("value"))
     path = scratch_path(spark, "arrays")
-    arrays.select("value").write.text(path)
+    writer = arrays.select(value.alias("value")).write
+    writer.option("maxRecordsPerFile", FILE_ARRAYS).text(path)
     good, bad = sources.read_fcd_json(spark, path)
     return _printed(good).select("*", F.lit(None).cast("string").alias("reject")).unionByName(
         bad.select("reject"), allowMissingColumns=True

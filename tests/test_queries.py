@@ -41,3 +41,14 @@ def test_query(spark, tables, name):
     columns = [column[0] for column in cursor.description]
     assert sorted(result.columns) == sorted(columns)
     assert ordered(map(tuple, result.select(*columns).collect())) == ordered(cursor.fetchall())
+
+
+def test_json_arrays_are_of_bounded_length(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "arrays")
+    monkeypatch.setattr(driver, "scratch_path", lambda *_: path)
+    monkeypatch.setattr(driver, "ARRAY_RECORDS", 10, raising=False)
+    driver.json_array_file(spark, SF_DIR)
+    arrays = [row.value for row in spark.read.text(path).collect()]
+    assert max(array.count("{") for array in arrays) == 10
+    files = [row.value for row in spark.read.text(path, wholetext=True).collect()]
+    assert max(file.count("{") for file in files) <= 160
