@@ -12,12 +12,27 @@ MAX_DELAY = "60 seconds"
 def with_fcd_watermark(events: DataFrame, delay: str = MAX_DELAY) -> DataFrame:
     """Events may be ``delay`` out of order; later ones are dropped by the windows.
 
-    Windows of a stream come out once, when the watermark has passed their end. On a
-    batch this changes nothing.
+    Windows of a stream come out once, when the watermark has passed their end. Every
+    event advances the watermark, whatever is selected later: see ``barrier``. On a batch
+    this changes nothing.
     """
     if dict(events.dtypes)["timestamp"] != "timestamp":
         events = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    return events.withWatermark("timestamp", delay)
+    events = events.withWatermark("timestamp", delay)
+    return barrier(events) if events.isStreaming else events
+
+
+def barrier(events: DataFrame) -> DataFrame:
+    """The same rows, with columns that no predicate above can be pushed through.
+
+    Spark moves a filter that does not use the event time below the watermark, and then
+    rows that the filter drops, such as those outside the box, do not advance event time:
+    a fleet that leaves the box would hold all windows open. Columns made by a generator
+    stop that; the event time itself passes by, with its watermark.
+    """
+    others = [name for name in events.columns if name != "timestamp"]
+    row = F.array(F.struct(*others))
+    return events.select("timestamp", F.inline(row)).select(*events.columns)
 
 
 def late_rows(query: StreamingQuery) -> int:

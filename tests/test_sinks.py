@@ -2,7 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import tsv
+from fcd_lines import tsv
 from pyspark.errors import AnalysisException
 
 from roadpulse.__main__ import arguments

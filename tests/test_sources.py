@@ -3,7 +3,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import tsv
+from fcd_lines import tsv
 
 from roadpulse.operators.clean import to_gps_columns
 from roadpulse.schema import EVENT_SCHEMA, GPS_SCHEMA

@@ -1,9 +1,9 @@
 import pytest
-from conftest import tsv
+from fcd_lines import tsv
 from test_roads import SCHEMA, lattice
 
 from roadpulse.operators.clean import dedup_events, split_valid, store_split, stored_good
-from roadpulse.operators.roads import build_road_index
+from roadpulse.operators.roads import build_road_index, match_roads
 from roadpulse.operators.traffic import grid_traffic
 from roadpulse.plans import jobs
 from roadpulse.sources.files import read_fcd_tsv, stream_fcd
@@ -171,3 +171,38 @@ def test_parquet_stream(spark, tmp_path):
     events = stream_fcd(spark, str(folder), file_format="parquet")
     run(spark, events, tmp_path / "out", tmp_path / "state")
     assert spark.read.json(str(tmp_path / "out")).count() == 2
+
+
+def test_events_outside_the_box_advance_event_time(spark, tmp_path, drop_file):
+    source = tmp_path / "in"
+    source.mkdir()
+    lines = [tsv(i, f"{DAY}00:00:{i:02d}.000", 22.8 + i / 4e2, 40.5403) for i in range(60)]
+    drop_file(source, "a", lines, 0)
+    drop_file(source, "tick", at("05:00:00", lon=22.78, lat=40.48), 1)
+    roads = spark.createDataFrame(lattice(), SCHEMA)
+    index = build_road_index(roads, 0.001)
+    report = jobs.road_report(jobs.file_events(spark, str(source), 1), index)
+    run(spark, report, tmp_path / "out", tmp_path / "state", "parquet")
+    got = spark.read.parquet(str(tmp_path / "out")).select(*report.columns)
+    batch = jobs.road_report(read_fcd_tsv(spark, str(source))[0], roads)
+    expected = sorted(map(tuple, batch.collect()))
+    assert expected and sorted(map(tuple, got.collect())) == expected
+
+
+def below_watermark(rows):
+    plan = rows._jdf.queryExecution()
+    optimizer = plan.sparkSession().sessionState().optimizer()
+    text = optimizer.execute(plan.analyzed()).toString()
+    return text.split("EventTimeWatermark", 1)[1].split("StreamingRelation", 1)[0]
+
+
+def test_no_predicate_passes_the_watermark(spark, tmp_path):
+    folder = tmp_path / "in"
+    lines = spark.createDataFrame([(line,) for line in at("00:00:10")], "value string")
+    split_valid(parse_tsv(lines))[0].write.parquet(str(folder))
+    index = build_road_index(spark.createDataFrame(lattice(), SCHEMA), 0.001)
+    report = jobs.road_report(stream_fcd(spark, str(folder), file_format="parquet"), index)
+    assert "Filter" not in below_watermark(report)
+    # Without the barrier the box would be tested below it.
+    loose = stream_fcd(spark, str(folder), file_format="parquet").withWatermark("timestamp", "1 minute")
+    assert "Filter" in below_watermark(match_roads(loose, index))
