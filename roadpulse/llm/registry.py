@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from roadpulse.llm import (
     decontaminate,
     language_id,
+    language_model,
     packing,
     quality,
     sharding,
@@ -91,6 +92,10 @@ def op10_heap_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), file)
 
 
+def op11_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_co_training": op1_co_training,
@@ -103,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pattern_packing": op8_pattern_packing,
         "op9_partial_matching": op9_partial_matching,
         "op10_heap_merges": op10_heap_merges,
+        "op11_log_bilinear": op11_log_bilinear,
         "pipeline": corpus_pipeline.run,
     }
 
