@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm import (
     decontaminate,
+    hard_negatives,
     language_id,
     language_model,
     packing,
@@ -96,6 +97,10 @@ def op11_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op12_str_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_co_training": op1_co_training,
@@ -109,9 +114,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_partial_matching": op9_partial_matching,
         "op10_heap_merges": op10_heap_merges,
         "op11_log_bilinear": op11_log_bilinear,
+        "op12_str_tree": op12_str_tree,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_vocabulary": url_filter.judge_sql(), "op6_max_score": topk.TOP_SQL}
+    return {"op2_url_vocabulary": url_filter.judge_sql(), "op6_max_score": topk.TOP_SQL, "op12_str_tree": hard_negatives.MINE_SQL}
