@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import (
+    conversations,
     decontaminate,
     hard_negatives,
     language_id,
@@ -101,6 +102,10 @@ def op12_str_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
+def op13_parallel_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_co_training": op1_co_training,
@@ -115,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_heap_merges": op10_heap_merges,
         "op11_log_bilinear": op11_log_bilinear,
         "op12_str_tree": op12_str_tree,
+        "op13_parallel_viterbi": op13_parallel_viterbi,
         "pipeline": corpus_pipeline.run,
     }
 
