@@ -22,8 +22,7 @@ are members of one class. A row without an id is fingerprinted and joins its cla
 component is the smallest id there, or null if the whole component has none. Other columns
 are not read. An empty table gives an empty result.
 
-The stage of the pipeline, ``keep_one``, has a setting of its own: sets of five-word shingles
-that are linked at a Jaccard similarity of 0.8. Two bits of 64 are far stricter than that.
+The stage of the pipeline, ``keep_one``, keeps one row of each component.
 """
 
 from __future__ import annotations
@@ -46,11 +45,6 @@ DISTANCE = 2
 BLOCKS = 5
 CROWD = 64
 LARGE = 10_000
-# The stage of the pipeline (Jaccard 0.8, see ``alike_links``).
-STAGE_SHINGLE = 5
-BANDS, BAND_ROWS = 32, 5
-STAGE_CROWD = 32
-BITMAP, PIECE = 1 << 25, 1 << 15
 UPPER = bytes(range(65, 91))
 LOWER = bytes.maketrans(UPPER, UPPER.lower())
 
@@ -220,170 +214,28 @@ def near_duplicates(
 # --- the stage of the pipeline -------------------------------------------------------
 
 
-def shingle_set(text: bytes, words: int = STAGE_SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles; a shorter text is one shingle."""
-    parts = text.translate(LOWER).split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    each = np.fromiter((digest(part, SEED) for part in parts), np.uint64, len(parts))
-    count = max(1, len(each) - words + 1)
-    hashes = np.full(count, len(each) if len(each) < words else words, np.uint64)
-    for at in range(min(words, len(each))):
-        hashes = _mixed(hashes ^ each[at : at + count])
-    return np.unique(hashes)
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    values = (values ^ (values >> np.uint64(29))) * np.uint64(0x9FB21C651E98DF25)
-    return values ^ (values >> np.uint64(32))
-
-
-FACTORS = _mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-
-
-def band_hashes(shingles: np.ndarray) -> np.ndarray:
-    """One hash for each band of ``BAND_ROWS`` least hashes; sets of Jaccard j agree in a
-    band with chance j ** BAND_ROWS."""
-    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1 << 10):
-        part = shingles[at : at + (1 << 10), None] * FACTORS
-        np.minimum(least, (part ^ (part >> np.uint64(31))).min(axis=0), out=least)
-    bands = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, BAND_ROWS).T:
-        bands = _mixed(bands ^ row)
-    return bands.view(np.int64)
-
-
-def _class_key(shingles: np.ndarray) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(shingles.tobytes()))
-
-
-def with_bands(docs: DataFrame) -> DataFrame:
-    """``id``, ``fp`` (class of equal shingle sets), ``parts`` (shingles) and ``bands``."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    slim = docs.select(F.col("doc_id").alias("id"), "text")
-
-    def run(batches):
-        for rows, texts in text_slices(batches):
-            sets = [shingle_set(text) for text in texts.cast(pa.binary()).to_pylist()]
-            yield pa.record_batch(
-                {
-                    "id": rows.column("id"),
-                    "fp": pa.array([_class_key(x) for x in sets], pa.int64()),
-                    "parts": pa.array([len(x) for x in sets], pa.int64()),
-                    "bands": pa.array([band_hashes(x) for x in sets], pa.list_(pa.int64())),
-                }
-            )
-
-    return slim.mapInArrow(run, f"id {kind}, fp bigint, parts bigint, bands array<bigint>")
-
-
-def candidate_pairs(prints: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of classes that share a band, with ``near``, the size of its bucket.
-
-    Buckets of up to ``STAGE_CROWD`` classes give all pairs. In larger ones each class meets
-    three others: the one whose buckets are largest in sum (the text that the others are
-    edits of shares more bands than they do), the least and the greatest.
-    """
-    listed = prints.select("fp", "parts", F.explode("bands").alias("bucket")).distinct()
-    sizes = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("near"))
-    shared = materialize(listed.join(sizes.where("near > 1"), "bucket"), "bands")
-    few = shared.where(F.col("near") <= STAGE_CROWD)
-    left = few.select("bucket", F.col("fp").alias("a"), F.col("parts").alias("m"), "near")
-    right = few.select("bucket", F.col("fp").alias("b"), F.col("parts").alias("n"))
-    pairs = left.join(right, "bucket").where("a < b")
-    crowded = shared.where(F.col("near") > STAGE_CROWD)
-    weight = shared.groupBy("fp").agg(F.sum("near").alias("weight"))
-    one = F.struct("fp", "parts")
-    chosen = crowded.join(weight, "fp").groupBy("bucket").agg(
-        F.max(F.struct("weight", "fp", "parts")).alias("hub"),
-        F.min(one).alias("least"),
-        F.max(one).alias("most"),
-    )
-    hub = F.struct(F.col("hub.fp").alias("fp"), F.col("hub.parts").alias("parts"))
-    chosen = chosen.select("bucket", F.explode(F.array(hub, "least", "most")).alias("r"))
-    stars = crowded.join(chosen, "bucket").select(
-        "bucket", F.col("fp").alias("a"), F.col("parts").alias("m"), "near",
-        F.col("r.fp").alias("b"), F.col("r.parts").alias("n"),
-    ).where("a <> b")
-    # Sets of too different sizes cannot be so similar.
-    alike = F.least("m", "n") * 5 >= F.greatest("m", "n") * 4
-    both = pairs.unionByName(stars).where(alike)
-    return both.groupBy("a", "b").agg(F.max("near").alias("near"))
-
-
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``fp`` and ``shingles`` of the classes in ``wanted``, and of some others.
-
-    Classes are found in a second pass over the texts by a bitmap of fixed size, so neither
-    texts nor the sets of all documents are moved.
-    """
-    number = F.pmod(F.col("fp"), F.lit(BITMAP))
-    rows = wanted.select((number / PIECE).cast("bigint").alias("at"), (number % PIECE).alias("bit"))
-    bitmap = np.zeros(BITMAP // 8, np.uint8)
-    for row in rows.groupBy("at").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
-        begin = row["at"] * PIECE // 8
-        bitmap[begin : begin + PIECE // 8] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    def run(batches):
-        bits, seen = sent.value, set()
-        for _, texts in text_slices(batches):
-            kept = []
-            for text in texts.cast(pa.binary()).to_pylist():
-                shingles = shingle_set(text)
-                key = _class_key(shingles)
-                place = key % BITMAP
-                if key not in seen and bits[place // 8] >> (place % 8) & 1:
-                    seen.add(key)
-                    kept.append((key, shingles.view(np.int64)))
-            yield pa.record_batch(
-                {
-                    "fp": pa.array([x[0] for x in kept], pa.int64()),
-                    "shingles": pa.array([x[1] for x in kept], pa.list_(pa.int64())),
-                }
-            )
-
-    sets = docs.select("text").mapInArrow(run, "fp bigint, shingles array<bigint>")
-    return sets.join(wanted, "fp", "left_semi").dropDuplicates(["fp"])
-
-
-def alike_links(docs: DataFrame, prints: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` (``a < b``) of candidate pairs whose sets have Jaccard 0.8."""
-    pairs = materialize(candidate_pairs(prints), "pairs")
-    ends = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
-    sets = materialize(shingle_sets(docs, ends.distinct()), "shingles")
-    # The set of a class that many meet is copied, so that its pairs are divided.
-    copies = F.ceil(F.col("near") / STAGE_CROWD)
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), copies))
-    most = pairs.groupBy("b").agg(F.max(copies).alias("copies"))
-    others = sets.join(most, sets["fp"] == most["b"]).select(
-        "b", F.col("shingles").alias("y"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt")
-    )
-    met = pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a").join(
-        others, ["b", "salt"]
-    )
-    common = F.size(F.array_intersect("x", "y"))
-    whole = F.size("x") + F.size("y") - common
-    close = met.where(common * 5 >= whole * 4)
-    return close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, with the columns of ``docs``: that of the smallest
-    ``doc_id``. Of rows with one ``doc_id`` one stays; rows without one all stay.
-
-    Documents are linked where the sets of their five-word shingles have a Jaccard
-    similarity of 0.8 or more: candidates share a band of least hashes and are verified.
+    ``doc_id``, of several with that id the one of the smallest hash of the text; of equal
+    rows one.
+
+    Links are those of ``near_duplicates`` with its shingles and distance. A row is named by
+    its id and a hash of its text, so rows that share an id are judged each on its own. A row
+    without an id stays only where its component has none with an id. Null, empty and
+    wordless texts have fingerprint zero and are one component: one of them stays. Texts do
+    not move: what is dropped is found by name, and Spark broadcasts the names only below
+    its own limit of size. An empty table gives an empty result.
     """
-    prints = materialize(with_bands(docs), "bands-of-documents")
-    classes = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    rooted = components(alike_links(docs, prints))
-    roots = rooted.union(rooted.select(F.col("root").alias("node"), "root")).distinct()
-    members = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    least = members.groupBy(F.coalesce("root", "fp").alias("component")).agg(F.min("least").alias("doc_id"))
-    kept = least.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).union(docs.where(F.col("doc_id").isNull()))
+    text = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", text.alias("text"))
+    slim = docs.select(name.alias("_name"), "text")
+    found = near_duplicates(slim, id_col="_name")
+    found = materialize(found.select("_name", "component_id"), "components-of-rows")
+    stays = F.col("_name") == F.col("component_id")
+    dropped = found.where(~stays).select("_name").distinct()
+    repeated = found.where(stays).groupBy("_name").count().where("count > 1").select("_name")
+    kept = docs.withColumn("_name", name).join(dropped, "_name", "left_anti")
+    if repeated.limit(1).count():
+        once = kept.join(repeated, "_name", "left_semi").dropDuplicates(["_name"])
+        kept = kept.join(repeated, "_name", "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
