@@ -127,12 +127,13 @@ def grid_from_files(
     sink: str,
     documents: bool = False,
     parsed_path: str | None = None,
+    level: str = "day",
 ) -> DataFrame:
-    """A finite folder of text files to counts per cell of all windows. Returns the
-    rejected lines."""
+    """A finite folder of text files to counts per cell of all windows, in one folder per
+    ``level`` of them. Returns the rejected lines."""
     events, rejected = load_files(spark, folder, parsed_path)
     write = write_documents if documents else write_bucketed
-    write(grid_traffic(events, minutes), sink)
+    write(grid_traffic(events, minutes), sink, level=level)
     return rejected
 
 
@@ -144,11 +145,12 @@ def stream_grid_from_files(
     checkpoint: str,
     documents: bool = False,
     trigger: dict | None = None,
+    level: str = "minute",
 ) -> StreamingQuery:
     """Text files that keep arriving in a folder to counts per cell of the closed windows."""
     report = grid_report(file_events(spark, folder), minutes)
     write = write_documents if documents else write_bucketed
-    return write(report, sink, checkpoint, trigger=trigger)
+    return write(report, sink, checkpoint, trigger=trigger, level=level)
 
 
 def map_match(

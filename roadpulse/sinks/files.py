@@ -2,15 +2,25 @@
 
 A streaming DataFrame goes to Spark's own file sink: its commit log makes each row
 appear once, also after a restart from the checkpoint.
+
+Windows can have a folder each, as minutes, or share one with the other windows of their
+hour or day. A folder costs a rename when a batch replaces it, one after another on the
+driver, so with many short windows days are the better choice: their rows are sorted by
+window, and a window is found by the statistics of the files.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.session import materialize
+
 MAX_RECORDS_PER_FILE = 5_000_000
+# Letters of ``yyyy-MM-dd--HHmm`` that name a folder.
+LEVELS = {"minute": 16, "hour": 14, "day": 10}
 
 
 def minute_bucket(timestamp: Column) -> Column:
@@ -29,23 +39,87 @@ def row_text(rows: DataFrame) -> Column:
     return F.concat(F.lit("("), values, F.lit(")"))
 
 
+def window_folder(bucket: Column, level: str) -> Column:
+    """The folder of a window: its minute, its hour (``yyyy-MM-dd--HH``) or its day."""
+    if level not in LEVELS:
+        raise ValueError(f"level must be one of {', '.join(LEVELS)}, got {level!r}")
+    return F.substring(bucket, 1, LEVELS[level])
+
+
 def write_bucketed(
     results: DataFrame,
     path: str,
     checkpoint: str | None = None,
     file_format: str = "text",
     trigger: dict | None = None,
+    level: str = "minute",
 ) -> StreamingQuery | None:
-    """Results in one folder per window end.
+    """Results in one folder per window end (``bucket=``), or per hour or day of it.
 
-    The folder comes from the data. A batch replaces the folders it writes, so a repeated
-    run leaves the same; a stream adds to them. Rows are dealt out by folder first: small
-    folders get one file, and a batch divides large ones.
+    The folder comes from the data. A batch replaces the windows it writes and no other, so
+    a repeated run leaves the same; a stream adds to them. Rows are dealt out by folder
+    first: small folders get one file, and a batch divides large ones. In an hour or day
+    rows are sorted by window; except in text, they have it as a column ``bucket``.
     """
+    place = results.columns.index("timestamp")
     rows = results.withColumn("bucket", minute_bucket(F.col("timestamp")))
+    written = minute_bucket(F.col("timestamp"))
     if file_format == "text":
         rows = rows.select(row_text(results).alias("value"), "bucket")
-    return _write(rows, path, "bucket", checkpoint, file_format, trigger)
+        line = F.expr("substring(value, 2, length(value) - 2)")
+        written = minute_bucket(F.split(line, ",")[place])
+    return write_windows(rows, path, checkpoint, file_format, trigger, level, written)
+
+
+def write_windows(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str | None,
+    file_format: str,
+    trigger: dict | None,
+    level: str,
+    written: Column,
+) -> StreamingQuery | None:
+    """``rows`` with their ``bucket`` into the folders of ``level``. ``written``: the bucket
+    of a row that is read from there again."""
+    if level == "minute":
+        return _write(rows, path, "bucket", checkpoint, file_format, trigger)
+    rows = rows.withColumn(level, window_folder(F.col("bucket"), level))
+    if not rows.isStreaming:
+        rows = _with_other_windows(rows, path, file_format, level, written)
+    if file_format == "text" or not rows.isStreaming:
+        kept = [name for name in rows.columns if name != "bucket" or file_format == "parquet"]
+    else:
+        kept = rows.columns
+    if rows.isStreaming:
+        return _write(rows.select(*kept), path, level, checkpoint, file_format, trigger)
+    rows = rows.hint("rebalance", level).sortWithinPartitions(level, "bucket")
+    writer = rows.select(*kept).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    _capped(writer.partitionBy(level).format(file_format)).save(path)
+    return None
+
+
+def _with_other_windows(
+    rows: DataFrame, path: str, file_format: str, level: str, written: Column
+) -> DataFrame:
+    """``rows`` and those already in their folders whose windows are not written now. The new
+    ones are stored first, as they are read more than once."""
+    spark = rows.sparkSession
+    names = [name for name in rows.columns if name not in ("bucket", level)]
+    schema = rows.select(*names).schema
+    try:
+        there = spark.read.schema(schema).format(file_format).option("basePath", path).load(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    if level not in there.columns:
+        there = spark.read.schema(schema.add(level, "string")).format(file_format).load(path)
+    rows = materialize(rows, "windows")
+    folders = [row[0] for row in rows.select(level).distinct().collect()]
+    there = there.where(F.col(level).isin(folders)).withColumn("bucket", written)
+    there = there.join(rows.select("bucket").distinct(), "bucket", "left_anti")
+    return rows.unionByName(materialize(there.select(*rows.columns), "other-windows"))
 
 
 def write_overwrite(results: DataFrame, path: str, file_format: str = "parquet") -> None:

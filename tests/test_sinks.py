@@ -1,9 +1,11 @@
 import json
+import shutil
 from pathlib import Path
 
 import pytest
 from fcd_lines import tsv
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from roadpulse.__main__ import arguments
 from roadpulse.functions.messages import encode_event
@@ -41,6 +43,89 @@ def test_folders_by_window(spark, tmp_path, events):
     assert lines_in(tmp_path / "out") == before
 
 
+@pytest.mark.parametrize("file_format", ["text", "parquet", "json"])
+@pytest.mark.parametrize("level, folder", [("day", "2017-01-01"), ("hour", "2017-01-01--00")])
+def test_windows_of_a_day_share_a_folder(spark, tmp_path, events, file_format, level, folder):
+    """A later batch replaces its own windows there and leaves the others."""
+    path = str(tmp_path / "out")
+
+    def write(rows):
+        report = grid_traffic(events(rows), 2)
+        files.write_bucketed(report, path, file_format=file_format, level=level)
+
+    def stored():
+        rows = spark.read.format(file_format).load(path)
+        if file_format == "text":
+            return sorted(r.value for r in rows.collect())
+        return sorted(f"({r.cellid},{r.vehicles},{r.timestamp})" for r in rows.collect())
+
+    write(ROWS)
+    assert [p.name for p in (tmp_path / "out").iterdir() if p.is_dir()] == [f"{level}={folder}"]
+    first = stored()
+    assert len(first) == 3
+    write(ROWS)
+    assert stored() == first
+    # One window again, with a row more.
+    write([*ROWS[:2], (9, "2017-01-01 00:01:30", 22.948426, 40.626444, 1.0)])
+    assert [x for x in stored() if "00:02:00" not in x] == [x for x in first if "00:02:00" not in x]
+    assert len(stored()) == 3 and stored() != first
+    # Another day.
+    write([(1, "2017-01-02 00:00:10", 22.948426, 40.626444, 1.0)])
+    assert len(stored()) == 4
+    with pytest.raises(ValueError):
+        files.write_bucketed(grid_traffic(events(ROWS), 2), path, level="week")
+
+
+def test_rows_of_a_folder_are_sorted_by_window(spark, tmp_path, events):
+    rows = [(i, f"2017-01-01 {i % 24:02d}:{i % 60:02d}:10", 22.948426, 40.626444, 1.0) for i in range(300)]
+    path = str(tmp_path / "out")
+    files.write_bucketed(grid_traffic(events(rows), 2), path, file_format="parquet", level="day")
+    for part in (tmp_path / "out" / "day=2017-01-01").glob("*.parquet"):
+        buckets = [r.bucket for r in spark.read.parquet(str(part)).collect()]
+        assert buckets == sorted(buckets)
+
+
+def test_replayed_batch_replaces_its_documents(spark, tmp_path, events):
+    path = str(tmp_path / "docs")
+    report = grid_traffic(events(ROWS), 2)
+    docs = documents.with_document_id(documents.to_documents(report))
+    documents.store_batch(docs.where("timestamp like '%02:00'"), 0, path)
+    documents.store_batch(docs.where("timestamp like '%04:00'"), 1, path)
+    want = sorted(map(tuple, docs.collect()))
+    assert sorted(map(tuple, documents.read_documents(spark, path).collect())) == want
+    documents.store_batch(docs.where("timestamp like '%04:00'"), 1, path)
+    assert spark.read.json(path).count() == 3
+    # Stored but not entered: a batch that failed between the two is not read ...
+    late = docs.withColumn("vehicles", F.lit(99).cast("bigint"))
+    documents.store_batch(late, 2, path)
+    shutil.rmtree(f"{documents.ledger_path(path)}/entry=2")
+    assert sorted(map(tuple, documents.read_documents(spark, path).collect())) == want
+    # ... until it is replayed. Then its documents are the last of their ids.
+    documents.store_batch(late, 2, path)
+    got = documents.read_documents(spark, path).collect()
+    assert len(got) == 3 and {r.vehicles for r in got} == {99}
+    documents.store_batch(late.limit(0), 3, path)
+    assert documents.read_documents(spark, path).count() == 3
+
+
+def test_stream_of_documents_after_a_restart(spark, tmp_path, drop_file):
+    source, sink = tmp_path / "in", str(tmp_path / "docs")
+    source.mkdir()
+    drop_file(source, "a", [tsv(i, f"2017-01-01 00:0{i}:10.000") for i in range(6)], 0)
+    drop_file(source, "z", [tsv(1, "2017-01-01 01:00:00.000")], 1)
+    for _ in range(2):
+        jobs.stream_grid_from_files(
+            spark, str(source), 2, sink, str(tmp_path / "state"), documents=True, trigger=jobs.DRAIN, level="day"
+        ).awaitTermination()
+    found = documents.read_documents(spark, sink).collect()
+    assert sorted(r.timestamp[11:] for r in found) == ["00:02:00", "00:04:00", "00:06:00"]
+    # The same files from scratch: other batch numbers, the same documents.
+    jobs.stream_grid_from_files(
+        spark, str(source), 2, sink, str(tmp_path / "fresh"), documents=True, trigger=jobs.DRAIN, level="day"
+    ).awaitTermination()
+    assert sorted(documents.read_documents(spark, sink).collect()) == sorted(found)
+
+
 def test_overwrite(spark, tmp_path, events):
     path = str(tmp_path / "out")
     for rows in (ROWS, ROWS[:2]):
