@@ -28,7 +28,6 @@ returned cut to it. Other columns are not read. Empty tables give an empty resul
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +43,7 @@ TREE = 8192  # rows of a tree
 ANCHORS = 512  # anchors that meet a tree at a time
 TASKS = 4096  # over which trees are spread
 LEAF, FAN = 32, 8
+VISITED = 16  # boxes that the queue gives at a time
 TILED = 4  # coordinates that a tree is tiled along
 LONGEST = (1 << 63) - 1
 
@@ -98,37 +98,44 @@ class Tree:
         most = [plus @ high.T + minus @ low.T for low, high in self.levels]
         return least, most
 
-    def search(self, anchor, least, most, allowed, low, high, k, floor=None) -> list[tuple]:
-        """The best ``k`` rows with ``allowed`` and a score from ``low`` to ``high``, as
-        (score, -id, place): best first, ties by smaller id. ``least`` and ``most``: the
-        anchor's intervals. ``floor``: a score that ``k`` rows elsewhere reach."""
-        best: list[tuple] = []
-        top = len(self.levels) - 1
-        queue = [(-min(most[top][0], high), top, 0)]
-        while queue:
-            bound, level, node = heapq.heappop(queue)
-            limit = best[0][0] if len(best) == k else None
-            if floor is not None:
-                limit = floor if limit is None else max(limit, floor)
-            if limit is not None and -bound < limit:
-                break
-            if level:
-                first = node * FAN
-                for child in range(first, min(first + FAN, len(most[level - 1]))):
-                    upper = min(most[level - 1][child], high)
-                    if upper >= low and least[level - 1][child] <= high and (limit is None or upper >= limit):
-                        heapq.heappush(queue, (-upper, level - 1, child))
-                continue
-            begin = node * self.leaf
-            scores = self.rows[begin : begin + self.leaf] @ anchor
-            fits = allowed[begin : begin + self.leaf] & (scores >= low) & (scores <= high)
-            for place in np.flatnonzero(fits).tolist():
-                entry = (int(scores[place]), -int(self.ids[begin + place]), begin + place)
-                if len(best) < k:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return sorted(best, reverse=True)
+    def search(self, anchor, least, most, allowed, lows, highs, k: int = POSITIVES) -> list[list[tuple]]:
+        """For each window, from ``lows`` to ``highs``: the best ``k`` rows with ``allowed``
+        and a score in it, as (score, id), best first, ties by smaller id. ``least`` and
+        ``most``: the anchor's intervals. A low end may be raised to a score that ``k`` rows
+        elsewhere reach.
+
+        The queue gives the ``VISITED`` boxes of greatest bounds at a time; of those the
+        inner ones are replaced by their children and the leaves' rows are scored."""
+        limits, found = lows.copy(), [[] for _ in lows]
+        levels, nodes = np.array([len(self.levels) - 1]), np.array([0])
+        while True:
+            bounds = np.array([most[at][node] for at, node in zip(levels.tolist(), nodes.tolist())])
+            lowest = np.array([least[at][node] for at, node in zip(levels.tolist(), nodes.tolist())])
+            alive = ((bounds >= limits[:, None]) & (lowest <= highs[:, None])).any(axis=0)
+            levels, nodes, bounds = levels[alive], nodes[alive], bounds[alive]
+            if len(nodes) == 0:
+                return [[(-score, id_) for score, id_ in best] for best in found]
+            order = np.argsort(-bounds, kind="stable")
+            first, later = order[:VISITED], order[VISITED:]
+            inner = first[levels[first] > 0]
+            leaves = nodes[first[levels[first] == 0]]
+            if len(leaves):
+                places = (leaves[:, None] * self.leaf + np.arange(self.leaf)).ravel()
+                places = places[places < len(self.ids)]
+                places = places[allowed[places]]
+                scores = self.rows[places] @ anchor
+                fits = (scores >= limits[:, None]) & (scores <= highs[:, None])
+                for window in np.flatnonzero(fits.any(axis=1)).tolist():
+                    at = fits[window]
+                    more = zip((-scores[at]).tolist(), self.ids[places[at]].tolist())
+                    best = found[window] = sorted([*found[window], *more])[:k]
+                    if len(best) == k:
+                        limits[window] = max(limits[window], -best[-1][0])
+            children = (nodes[inner][:, None] * FAN + np.arange(FAN)).ravel()
+            below = np.repeat(levels[inner] - 1, FAN)
+            exist = children < np.array([len(x[0]) for x in self.levels])[below]
+            levels = np.concatenate([levels[later], below[exist]])
+            nodes = np.concatenate([nodes[later], children[exist]])
 
 
 def exact_type(rows: np.ndarray, anchors: np.ndarray) -> type:
@@ -171,7 +178,7 @@ def _met(tree: Tree, anchors: pa.Array) -> Iterator[tuple]:
     tree.cast(kind)
     least, most = tree.intervals(weights)
     for at in range(len(anchors)):
-        yield at, weights[at], [x[at].tolist() for x in least], [x[at].tolist() for x in most]
+        yield at, weights[at], [x[at] for x in least], [x[at] for x in most]
 
 
 FOUND = "anchor bigint, anchor_id bigint, positive bigint, id bigint, score decimal(38,0)"
@@ -186,41 +193,55 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch({n: pa.array(c, t) for n, c, t in zip(names, columns, kinds)})
 
 
-def find_positives(tree: Tree, anchors: pa.Array, number: int, k: int = POSITIVES) -> list[tuple]:
+def find_positives(tree: Tree, anchors: pa.Array, number: int) -> list[tuple]:
     """Of the anchors that do not have this tree as ``done``."""
     found = []
     ids, labels, rows = (_column(anchors, name) for name in ("vec_id", "label", "row"))
     floors, done = anchors.field("floor").to_pylist(), anchors.field("done").to_pylist()
     for at, weights, least, most in _met(tree, anchors):
-        if done[at] == number:
-            continue
         allowed = (tree.labels == labels[at]) & (tree.ids != ids[at])
-        floor = None if floors[at] is None else int(floors[at])
-        best = tree.search(weights, least, most, allowed, -np.inf, np.inf, k, floor)
-        found += [(rows[at], ids[at], -1, -id_, score) for score, id_, _ in best]
+        if done[at] == number or not allowed.any():
+            continue
+        low, high = least[-1].copy(), most[-1]
+        if floors[at] is not None:
+            low[0] = max(low[0], int(floors[at]))
+        (best,) = tree.search(weights, least, most, allowed, low, high, POSITIVES)
+        found += [(rows[at], ids[at], -1, id_, int(score)) for score, id_ in best]
     return found
 
 
-def find_negatives(tree: Tree, anchors: pa.Array, number: int, k: int = NEGATIVES) -> list[tuple]:
+def find_negatives(tree: Tree, anchors: pa.Array, number: int) -> list[tuple]:
     """``anchors`` have ``wanted``: their positives with the number and the score of each."""
     found = []
     ids, labels, rows = (_column(anchors, name) for name in ("vec_id", "label", "row"))
     wanted = anchors.field("wanted").to_pylist()
     for at, weights, least, most in _met(tree, anchors):
         allowed = (tree.labels != labels[at]) & (tree.ids != ids[at])
-        if not allowed.any():
-            continue
+        windows = []
         for positive in wanted[at]:
             score = int(positive["score"])
             low, high = -(-LEAST * score // 100), MOST * score // 100
-            if low > high:
-                continue
-            floor = None if positive["floor"] is None else int(positive["floor"])
-            best = tree.search(weights, least, most, allowed, low, high, k, floor)
-            found += [(rows[at], ids[at], positive["number"], -id_, s) for s, id_, _ in best]
+            if low <= high:
+                floor = low if positive["floor"] is None else max(low, int(positive["floor"]))
+                windows.append((positive["number"], floor, high))
+        if not windows or not allowed.any():
+            continue
+        numbers, lows, highs = zip(*windows)
+        kind = weights.dtype
+        lists = tree.search(weights, least, most, allowed, _clipped(lows, kind), _clipped(highs, kind), NEGATIVES)
+        for number_, best in zip(numbers, lists):
+            found += [(rows[at], ids[at], number_, id_, int(score)) for score, id_ in best]
     return found
 
 
+def _clipped(numbers: tuple[int, ...], kind: np.dtype) -> np.ndarray:
+    """Ends of windows in the type of a tree whose scores may all be smaller than they are."""
+    if kind == object:
+        return np.array(numbers, object)
+    limit = (1 << 53) if kind == np.float64 else LONGEST
+    return np.array([max(-limit, min(limit, x)) for x in numbers]).astype(kind)
+
+
 # --- blocks --------------------------------------------------------------------------
 
 
@@ -340,7 +361,7 @@ def mine(
     points = packed(points, size).withColumn("row", F.monotonically_increasing_id())
     points = materialize(points, "packed-points")
     trees = materialize(tree_blocks(points).withColumn("all", F.lit(0)), "trees")
-    spread = min(max(1, trees.count()), TASKS)
+    spread = min(4 * max(1, trees.count()), TASKS)
     anchors = points.where(F.col("vec_id") % every == 0).withColumn("all", F.lit(0))
     nothing = F.lit(None).cast("decimal(38,0)").alias("floor")
 

@@ -132,16 +132,17 @@ def test_search_prunes_and_keeps_equal_bounds():
 
     tree.rows = tree.rows.view(Watched)
     anchor = rng.normal(0, 100, 4).astype(int)
-    least, most = ([level[0].tolist() for level in x] for x in tree.intervals(anchor[None]))
+    least, most = ([level[0] for level in x] for x in tree.intervals(anchor[None]))
     every = np.ones(4000, bool)
     scores = np.asarray(tree.rows) @ anchor
     want = sorted(zip(-scores, tree.ids))[:5]
-    best = tree.search(anchor, least, most, every, -np.inf, np.inf, 5)
-    assert [(-s, -i) for s, i, _ in best] == want and sum(seen) < 1000
-    # A floor that equals the k-th best prunes strictly below it only.
-    best = tree.search(anchor, least, most, every, -np.inf, np.inf, 5, int(-want[-1][0]))
-    assert [(-s, -i) for s, i, _ in best] == want
-    low, high = 100, 2000
-    want = sorted((-s, i) for s, i in zip(scores, tree.ids) if low <= s <= high)[:3]
-    best = tree.search(anchor, least, most, every, low, high, 3)
-    assert [(-s, -i) for s, i, _ in best] == want
+    (best,) = tree.search(anchor, least, most, every, least[-1], most[-1], 5)
+    assert [(-s, i) for s, i in best] == want and sum(seen) < 2000
+    # A low end that equals the k-th best prunes strictly below it only.
+    (best,) = tree.search(anchor, least, most, every, np.array([-want[-1][0]]), most[-1], 5)
+    assert [(-s, i) for s, i in best] == want
+    lows, highs = np.array([100, -900, 100, 7000]), np.array([2000, -800, 101, 6000])
+    lists = tree.search(anchor, least, most, every, lows, highs, 3)
+    for best, low, high in zip(lists, lows, highs):
+        want = sorted((-s, i) for s, i in zip(scores, tree.ids) if low <= s <= high)[:3]
+        assert [(-s, i) for s, i in best] == want
