@@ -14,7 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.geohash import ALPHABET
@@ -22,13 +22,13 @@ from roadpulse.functions.text import print_event_time
 from roadpulse.operators import clean, geohash, grid, roads, traffic
 from roadpulse.plans import jobs, views
 from roadpulse.plans.views import COPIES_SQL, EVENTS_SQL, EXTREMES_SQL, RAW_SQL, ROADS_SQL
-from roadpulse.schema import EVENT_COLUMNS
-from roadpulse.session import scratch_path
+from roadpulse.schema import EVENT_COLUMNS, EVENT_SCHEMA
+from roadpulse.session import materialize, scratch_path
 from roadpulse.sinks import documents, files, kafka
 from roadpulse.sources import files as sources
 from roadpulse.sources import records
 from roadpulse.sources.kafka import from_messages
-from roadpulse.streaming.event_time import with_fcd_watermark
+from roadpulse.streaming.event_time import split_late, stored_events, with_fcd_watermark
 
 # The subpackage for language-model data may be absent; nothing else needs it.
 try:
@@ -41,6 +41,9 @@ CROWDED_DIST = 0.01
 DAY = 24 * 60
 ARRAY_RECORDS = 1000
 FILE_ARRAYS = 16
+FILE_EVENTS = 2_000_000
+# Far enough for every delay used here.
+TICK = timedelta(days=400)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -95,13 +98,25 @@ def grid_folders_written(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def grid_windows_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Short windows in one folder per day; the second half of them written once more."""
+    path = scratch_path(spark, "grid-days")
+    report = materialize(grid_2min(spark, sf), "report")
+    files.write_bucketed(report, path, file_format="parquet", level="day")
+    middle = report.agg(F.percentile_approx(F.col("vehicles") * 0 + F.unix_timestamp("timestamp"), 0.5)).first()[0]
+    again = report.where(F.unix_timestamp("timestamp") >= F.lit(middle))
+    files.write_bucketed(again, path, file_format="parquet", level="day")
+    return spark.read.parquet(path).groupBy(F.col("day").cast("string").alias("day"), "bucket").agg(
+        F.count(F.lit(1)).alias("cells"), F.sum("vehicles").alias("vehicles")
+    )
+
+
 def documents_written(spark: SparkSession, sf: str) -> DataFrame:
     """Written twice and read again."""
     path = scratch_path(spark, "documents")
     for _ in range(2):
         documents.write_documents(grid_1day(spark, sf), path)
-    schema = "cellid int, location string, vehicles bigint, timestamp string, doc_id string"
-    return spark.read.schema(schema).json(path).drop("bucket")
+    return spark.read.schema(documents.DOCUMENTS).json(path).drop("day")
 
 
 def files_grid_traffic(spark: SparkSession, sf: str) -> DataFrame:
@@ -347,30 +362,93 @@ def stream_road_traffic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    events = _event_stream(spark, sf)
-    copies = events.withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), (F.col("device_id") % 7 == 0).cast("int")))
-    ).drop("_copy")
+    """Copies that differ, some of them in a later batch than the others."""
+    copies = views.fcd_copies(spark, sf)
+    third = _third(copies)
+    moved = F.least(third + ((F.col("event_id") % 14 == 0) & (F.col("speed") > 50)).cast("int"), F.lit(2))
+    stream = _arrivals(spark, copies, moved)
     path = scratch_path(spark, "stream-dedup")
-    _drain(spark, clean.dedup_events(with_fcd_watermark(copies)), path)
-    last = views.fcd_events(spark, sf).agg(F.max("timestamp")).first()[0]
-    return _printed(spark.read.parquet(path).where(F.col("timestamp") <= F.lit(last)))
+    delay = f"{_length(copies) // 1_000_000 + 60} seconds"
+    _drain(spark, clean.dedup_events(with_fcd_watermark(stream, delay)), path)
+    return _printed(spark.read.parquet(path))
+
+
+def stream_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Two windowed aggregations in a row."""
+    events = with_fcd_watermark(_event_stream(spark, sf))
+    path = scratch_path(spark, "stream-neighbours")
+    _drain(spark, geohash.geohash_neighbour_density(events, 30, DAY), path)
+    return spark.read.parquet(path)
+
+
+def neighbours_1day(spark: SparkSession, sf: str) -> DataFrame:
+    return geohash.geohash_neighbour_density(views.fcd_events(spark, sf), 30, DAY)
+
+
+def stream_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    events = with_fcd_watermark(_event_stream(spark, sf))
+    path = scratch_path(spark, "stream-rollup")
+    _drain(spark, geohash.geohash_rollup_windows(events, DAY, 4, 5, 6), path)
+    return spark.read.parquet(path)
+
+
+def late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Every twentieth event arrives a batch later than its time; on-time and late ones are
+    the input."""
+    events = views.fcd_events(spark, sf)
+    arrival = F.least(_third(events) + (F.col("event_id") % 20 == 0).cast("int"), F.lit(2))
+    path = scratch_path(spark, "lateness")
+    state = scratch_path(spark, "lateness-state")
+    stream = _arrivals(spark, events, arrival, tick=False)
+    split_late(stream, path, state, 2, trigger=jobs.DRAIN).awaitTermination()
+    return _printed(stored_events(spark, path, EVENT_SCHEMA))
+
+
+def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of closed windows, batch by batch, read by their ledger."""
+    path = scratch_path(spark, "stream-documents")
+    report = jobs.grid_report(_event_stream(spark, sf), DAY)
+    state = scratch_path(spark, "stream-documents-state")
+    documents.write_documents(report, path, state, jobs.DRAIN).awaitTermination()
+    return documents.read_documents(spark, path)
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events as files that arrive in the order of time, a batch each, and a tick that
-    closes the last windows. The tick's own window stays open."""
-    events = views.fcd_events(spark, sf).select(*EVENT_COLUMNS)
-    path = scratch_path(spark, "fcd-stream")
+    """The events in the order of time, in three batches, and a tick that closes the last
+    windows. The tick's own window stays open."""
+    events = views.fcd_events(spark, sf)
+    return _arrivals(spark, events, _third(events))
+
+
+def _length(events: DataFrame) -> int:
+    """Microseconds from the first to the last event."""
     first, last = events.agg(F.min("timestamp"), F.max("timestamp")).first()
-    step = (last - first) / 3 + timedelta(microseconds=1)
+    return (last - first) // timedelta(microseconds=1)
+
+
+def _third(events: DataFrame) -> Column:
+    """Third of the time in which an event is: 0, 1 or 2."""
+    first = events.agg(F.min(F.unix_micros("timestamp"))).first()[0]
+    step = _length(events) // 3 + 1
+    return F.floor((F.unix_micros("timestamp") - F.lit(first)) / F.lit(step)).cast("int")
+
+
+def _arrivals(spark: SparkSession, events: DataFrame, arrival: Column, tick: bool = True) -> DataFrame:
+    """Events as a stream of files, those with one number of ``arrival`` in one batch. The
+    number of files follows that of the events; with ``tick`` a row outside the box and
+    long after all others is a batch of its own."""
+    path = scratch_path(spark, "fcd-stream")
+    stored = materialize(events.withColumn("_arrival", arrival), "arrivals")
+    files_of_part = max(4, stored.count() // (3 * FILE_EVENTS))
     for part in range(3):
-        begin = first + part * step
-        inside = (F.col("timestamp") >= begin) & (F.col("timestamp") < begin + step)
-        events.where(inside).coalesce(1).write.mode("append").parquet(path)
-    tick = events.limit(1).withColumn("timestamp", F.lit(last + timedelta(days=3)))
-    tick.write.mode("append").parquet(path)
-    return sources.stream_fcd(spark, path, files_per_trigger=1, file_format="parquet")
+        rows = stored.where(F.col("_arrival") == part).select(*EVENT_COLUMNS)
+        rows.repartition(files_of_part).write.mode("append").parquet(path)
+    if tick:
+        last = stored.agg(F.max("timestamp")).first()[0] + TICK
+        late = stored.orderBy("timestamp", "event_id").limit(1).select(*EVENT_COLUMNS)
+        outside = {"timestamp": F.lit(last), "lon": F.lit(22.78), "lat": F.lit(40.48)}
+        late.withColumns(outside).coalesce(1).write.mode("append").parquet(path)
+    return sources.stream_fcd(spark, path, files_per_trigger=files_of_part, file_format="parquet")
 
 
 def _drain(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -665,6 +743,12 @@ def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_grid_traffic": stream_grid_traffic,
         "stream_road_traffic": stream_road_traffic,
         "stream_dedup": stream_dedup,
+        "stream_neighbours": stream_neighbours,
+        "stream_rollup": stream_rollup,
+        "stream_documents": stream_documents,
+        "late_events": late_events,
+        "neighbours_1day": neighbours_1day,
+        "grid_windows_by_day": grid_windows_by_day,
     }
 
 
@@ -687,6 +771,19 @@ def road_sql() -> dict[str, str]:
             FROM ({COPIES_SQL})
         ) WHERE copy = 1"""
     matches = f"WITH {MATCHED} SELECT event_id, segment_id"
+    points = f"""
+        SELECT {_text_sql("z", 60)} AS g, label
+        FROM (SELECT {_z_sql(60)} AS z, {_window_label(DAY)} AS label FROM ({_xy_sql(60)}))"""
+    neighbours = f"""
+        WITH cells AS (
+            SELECT x, y, {_window_label(DAY)} AS label, count(*) AS records
+            FROM ({_xy_sql(30)}) GROUP BY 1, 2, 3
+        )
+        SELECT {_text_sql(_z_sql(30, "a.x", "a.y"), 30)} AS geohash, a.label AS timestamp, a.records,
+               CAST(sum(b.records) AS BIGINT) AS area_records
+        FROM cells a JOIN cells b
+            ON a.label = b.label AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1
+        GROUP BY a.x, a.y, a.label, a.records"""
     crowded = f"{matches} FROM matched".replace(f"{MAX_DIST!r}e0", f"{CROWDED_DIST!r}e0")
     return {
         "grid_traffic_2min": _grid_sql(2),
@@ -830,5 +927,43 @@ def road_sql() -> dict[str, str]:
         "message_round_trip": f"SELECT {PARSED} FROM ({EVENTS_SQL})",
         "stream_grid_traffic": _grid_sql(2),
         "stream_road_traffic": _road_sql(DAY),
-        "stream_dedup": f"SELECT {PARSED} FROM ({EVENTS_SQL})",
+        "stream_dedup": f"""
+            SELECT {PARSED} FROM (
+                SELECT *, row_number() OVER (
+                    PARTITION BY device_id, epoch_ms(timestamp)
+                    ORDER BY timestamp, lon, lat, altitude, speed, orientation, transfer
+                ) AS copy
+                FROM ({COPIES_SQL})
+            ) WHERE copy = 1""",
+        "stream_neighbours": neighbours,
+        "neighbours_1day": neighbours,
+        "stream_rollup": " UNION ALL ".join(
+            f"SELECT {n} AS precision, substr(g, 1, {n}) AS geohash, label AS timestamp, "
+            f"count(*) AS records FROM ({points}) GROUP BY 2, 3"
+            for n in (0, 4, 5, 6)
+        ),
+        "stream_documents": f"""
+            SELECT cellid, CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) AS location,
+                   vehicles, timestamp, CAST(cellid AS VARCHAR) || '|' || timestamp AS doc_id
+            FROM ({_grid_sql(DAY)})""",
+        "late_events": f"""
+            WITH ends AS (
+                SELECT min(epoch_us(timestamp)) AS a, max(epoch_us(timestamp)) AS b FROM ({EVENTS_SQL})
+            ), parts AS (
+                SELECT e.*, least(2, (epoch_us(timestamp) - a) // ((b - a) // 3 + 1)
+                                     + CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END) AS part
+                FROM ({EVENTS_SQL}) e, ends
+            ), marks AS (
+                SELECT p.part, max(epoch_us(q.timestamp)) - 60000000 AS mark
+                FROM (SELECT DISTINCT part FROM parts) p LEFT JOIN parts q ON q.part < p.part
+                GROUP BY p.part
+            )
+            SELECT {PARSED}, CASE WHEN epoch_us({_window_end(2)}) <= mark THEN 'late'
+                                  ELSE 'on-time' END AS kind
+            FROM parts JOIN marks USING (part)""",
+        "grid_windows_by_day": f"""
+            SELECT substr(timestamp, 1, 10) AS day, substr(timestamp, 1, 10) || '--'
+                   || substr(timestamp, 12, 2) || substr(timestamp, 15, 2) AS bucket,
+                   count(*) AS cells, CAST(sum(vehicles) AS BIGINT) AS vehicles
+            FROM ({_grid_sql(2)}) GROUP BY 1, 2""",
     }

@@ -21,6 +21,8 @@ MAX_BITS = 61
 TAGGED = 1 << 62
 
 SPREAD_FOURS = ", ".join(f"{int(format(four, 'b'), 4)}L" for four in range(16))
+# Bits 0, 2 and 4 of each number of six bits.
+GATHERED_SIXES = ", ".join(f"{int(format(six, '06b')[1::2], 2)}L" for six in range(64))
 LETTERS = ", ".join(f"'{letter}'" for letter in ALPHABET)
 
 
@@ -103,18 +105,13 @@ def ones(count: Column) -> Column:
 
 
 def _gather(number: Column) -> Column:
-    """Every second bit, the lowest first, put together: pairs, fours and so on move up to
-    each other."""
-    kept = number.bitwiseAND(F.lit(_every_second(1)).cast("bigint"))
-    for width in (1, 2, 4, 8, 16):
-        moved = kept.bitwiseOR(F.shiftright(kept, width))
-        kept = moved.bitwiseAND(F.lit(_every_second(2 * width)).cast("bigint"))
-    return kept
-
-
-def _every_second(width: int) -> int:
-    """Groups of ``width`` one bits with as many zero bits between them, in 62 bits."""
-    return sum(((1 << width) - 1) << at for at in range(0, 62, 2 * width)) & ((1 << 62) - 1)
+    """Every second bit, the lowest first, put together: six bits at a time, by table."""
+    table = F.expr(f"array({GATHERED_SIXES})")
+    gathered = F.lit(0).cast("bigint")
+    for at in range(0, 62, 6):
+        six = F.shiftright(number, at).bitwiseAND(F.lit(63)).cast("int")
+        gathered = gathered.bitwiseOR(F.shiftleft(F.get(table, six), at // 2))
+    return gathered
 
 
 def text(number: Column, bits: int) -> Column:

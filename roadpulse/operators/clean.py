@@ -97,19 +97,28 @@ def filter_bbox(events: DataFrame, box: Box = BOX) -> DataFrame:
     return events.where(grid_fn.inside(F.col("lon"), F.col("lat"), box))
 
 
-def dedup_events(events: DataFrame) -> DataFrame:
-    """One event per device and millisecond.
-
-    Batch: the smallest copy stays, by its other columns in their order. Copies are merged
-    before the shuffle, so a heavily repeated event costs one row per input split. Stream:
-    the first copy stays; a key is forgotten once the watermark has passed it.
+def dedup_events(events: DataFrame, keep: str = "smallest") -> DataFrame:
+    """One event per device and millisecond: the smallest copy, by its other columns in
+    their order.
+
+    Copies are merged before the shuffle, so a heavily repeated event costs one row per input
+    split. A stream, which needs a watermark, follows the same rule: a millisecond is a window of
+    its own, whose state is the smallest copy so far, given out when the watermark has passed.
+    ``keep="first"`` gives a stream's first copy at once instead, and forgets it when the
+    watermark has passed; which one that is depends on how the rows arrive.
     """
-    keyed = events.withColumn("_millis", F.unix_millis("timestamp"))
-    keys = ["device_id", "_millis"]
-    if events.isStreaming:
-        return keyed.dropDuplicatesWithinWatermark(keys).drop("_millis")
+    if keep not in ("smallest", "first"):
+        raise ValueError(f"keep must be smallest or first, got {keep!r}")
     others = F.struct(*(F.col(name) for name in events.columns if name != "device_id"))
-    smallest = keyed.groupBy(*keys).agg(F.min(others).alias("_smallest"))
+    if not events.isStreaming:
+        keyed = events.withColumn("_millis", F.unix_millis("timestamp"))
+        grouped = keyed.groupBy("device_id", "_millis")
+    elif keep == "first":
+        keyed = events.withColumn("_millis", F.unix_millis("timestamp"))
+        return keyed.dropDuplicatesWithinWatermark(["device_id", "_millis"]).drop("_millis")
+    else:
+        grouped = events.groupBy("device_id", F.window("timestamp", "1 millisecond"))
+    smallest = grouped.agg(F.min(others).alias("_smallest"))
     return smallest.select("device_id", "_smallest.*").select(*events.columns)
 
 

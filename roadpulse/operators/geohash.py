@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions import geohash as gh
+from roadpulse.functions.text import print_window_time
 
 X, Y = "_x", "_y"
 
@@ -119,12 +120,18 @@ def west(cells: DataFrame, bits: int | None = None, column: str = "geohash_long"
     return shift_geohash(cells, -1, 0, bits, column)
 
 
-def geohash_neighbour_density(events: DataFrame, bits: int = 20) -> DataFrame:
+def geohash_neighbour_density(
+    events: DataFrame, bits: int = 20, minutes: int | None = None
+) -> DataFrame:
     """Per occupied cell its events, and those of it and its 8 neighbours.
 
     Cells are counted first; each count is then dealt out to the cells around it, with
     a mark on the cell's own share. A marked sum is an occupied cell, so no join is
-    needed to drop the empty ones. Batch only (two aggregations).
+    needed to drop the empty ones.
+
+    With ``minutes`` all that is done per tumbling window, whose end is ``timestamp``. Both
+    sums are then windowed, so a stream with a watermark gives the same rows, each window
+    once.
     """
     gh.check_bits(bits, text=True)
     wide, high = 1 << gh.x_bits(bits), 1 << gh.y_bits(bits)
@@ -135,18 +142,26 @@ def geohash_neighbour_density(events: DataFrame, bits: int = 20) -> DataFrame:
         x, y = gh.shift(F.col(X), F.col(Y), dx, dy, bits)
         own = F.lit(dx == 0 and dy == 0)
         targets.append(F.struct(x.alias("x"), y.alias("y"), own.alias("own")))
-    dealt = _cells(events, bits).select("records", F.inline(F.array(*targets)))
+    keys, label = _window(minutes)
+    dealt = _cells(events, bits, minutes).select(*keys, "records", F.inline(F.array(*targets)))
     return (
-        dealt.groupBy(F.col("x").alias(X), F.col("y").alias(Y))
+        dealt.groupBy(*keys, F.col("x").alias(X), F.col("y").alias(Y))
         .agg(
             F.sum(F.when(F.col("own"), F.col("records"))).alias("records"),
             F.sum("records").alias("area_records"),
         )
         .where(F.col("records").isNotNull())
-        .select(_text(bits).alias("geohash"), "records", "area_records")
+        .select(_text(bits).alias("geohash"), *label, "records", "area_records")
     )
 
 
+def _window(minutes: int | None) -> tuple[list[str], list]:
+    """Grouping key and label of windows, if there are any."""
+    if minutes is None:
+        return [], []
+    return ["window"], [print_window_time(F.col("window.end")).alias("timestamp")]
+
+
 def covering_geohash(events: DataFrame, key: str = "device_id", bits: int = 60) -> DataFrame:
     """Per key the smallest geohash cell that holds all its points.
 
@@ -217,12 +232,35 @@ def geohash_rollup(events: DataFrame, *lengths: int) -> DataFrame:
     )
 
 
+def geohash_rollup_windows(events: DataFrame, minutes: int, *lengths: int) -> DataFrame:
+    """``geohash_rollup`` per tumbling window: ``precision, geohash, timestamp, records``.
+
+    Counts of the finest cells are dealt out to their prefixes, and both sums are windowed: a
+    stream with a watermark gives the rows of a batch, each window once.
+    """
+    lengths = (0, *sorted({n for n in lengths if n > 0})) if lengths else (0, 4, 5, 6)
+    finest = lengths[-1] * 5
+    gh.check_bits(finest, text=True)
+    cells = _cells(events, finest, minutes)
+    keys, label = _window(minutes)
+    prefix = (F.struct(F.lit(n).alias("precision"), F.substring("_text", 1, n).alias("geohash")) for n in lengths)
+    named = cells.select(*keys, "records", _text(finest).alias("_text"))
+    dealt = named.select(*keys, "records", F.inline(F.array(*prefix)))
+    sums = dealt.groupBy(*keys, "precision", "geohash").agg(F.sum("records").alias("records"))
+    return sums.select("precision", "geohash", *label, "records")
+
+
 def _xy(bits: int):
     return gh.cell_x(F.col("lon"), bits).alias(X), gh.cell_y(F.col("lat"), bits).alias(Y)
 
 
-def _cells(events: DataFrame, bits: int) -> DataFrame:
-    return events.select(*_xy(bits)).groupBy(X, Y).agg(F.count(F.lit(1)).alias("records"))
+def _cells(events: DataFrame, bits: int, minutes: int | None = None) -> DataFrame:
+    if minutes is None:
+        cells = events.select(*_xy(bits)).groupBy(X, Y)
+    else:
+        window = F.window("timestamp", f"{minutes} minutes")
+        cells = events.select("timestamp", *_xy(bits)).groupBy(window, X, Y)
+    return cells.agg(F.count(F.lit(1)).alias("records"))
 
 
 def _number(bits: int):

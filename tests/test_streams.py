@@ -1,14 +1,24 @@
+import shutil
+
 import pytest
 from fcd_lines import tsv
 from test_roads import SCHEMA, lattice
 
 from roadpulse.operators.clean import dedup_events, split_valid, store_split, stored_good
+from roadpulse.operators.geohash import geohash_neighbour_density, geohash_rollup_windows
 from roadpulse.operators.roads import build_road_index, match_roads
 from roadpulse.operators.traffic import grid_traffic
 from roadpulse.plans import jobs
 from roadpulse.sources.files import read_fcd_tsv, stream_fcd
 from roadpulse.sources.records import parse_tsv
-from roadpulse.streaming.event_time import late_rows, with_fcd_watermark
+from roadpulse.schema import EVENT_SCHEMA
+from roadpulse.streaming.event_time import (
+    late_rows,
+    split_late,
+    store_by_lateness,
+    stored_events,
+    with_fcd_watermark,
+)
 
 DAY = "2017-01-01 "
 
@@ -131,8 +141,74 @@ def test_dedup_across_batches(spark, tmp_path, drop_file):
     drop_file(source, "a", at("00:00:10", "00:01:00") * 3, 0)
     drop_file(source, "b", at("00:00:10", "00:01:01"), 1)
     events, _ = split_valid(stream_fcd(spark, str(source), 1))
-    run(spark, dedup_events(with_fcd_watermark(events)), tmp_path / "out", tmp_path / "state")
+    first = dedup_events(with_fcd_watermark(events), keep="first")
+    run(spark, first, tmp_path / "out", tmp_path / "state")
     assert spark.read.json(str(tmp_path / "out")).count() == 3
+    with pytest.raises(ValueError):
+        dedup_events(events, keep="last")
+
+
+def test_smallest_copy_across_batches_is_that_of_the_batch(spark, tmp_path, drop_file):
+    """A later batch brings a smaller copy; copies out of order are merged within the delay."""
+    source = tmp_path / "in"
+    source.mkdir()
+    drop_file(source, "a", [*at("00:00:10", speed=9.0), *at("00:00:40", speed=5.0)], 0)
+    drop_file(source, "b", [*at("00:00:10", speed=3.0), *at("00:00:40", speed=7.0)], 1)
+    drop_file(source, "c", [*at("00:00:10", speed=4.0), *at("00:00:10", lon=22.9, speed=8.0)], 2)
+    drop_file(source, "tick", at("05:00:00"), 3)
+    events = jobs.file_events(spark, str(source), 1)
+    stream = dedup_events(with_fcd_watermark(events))
+    run(spark, stream, tmp_path / "out", tmp_path / "state", "parquet")
+    got = spark.read.parquet(str(tmp_path / "out")).select(*stream.columns)
+    batch = dedup_events(read_fcd_tsv(spark, str(source))[0])
+    want = [r for r in map(tuple, batch.collect()) if r[1].hour < 5]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) == 2
+    assert {(r.lon, r.speed) for r in got.collect()} == {(22.9, 8.0), (22.948426, 5.0)}
+
+
+def test_late_events_are_stored_and_replayed(spark, tmp_path, drop_file):
+    source, path = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    drop_file(source, "a", at("00:00:10", "00:03:30"), 0)
+    drop_file(source, "b", at("00:01:50", "00:02:30", "00:10:00"), 1)
+    drop_file(source, "c", at("00:03:59", "00:09:10", "00:07:59"), 2)
+    stream = jobs.file_events(spark, str(source), 1)
+    split_late(stream, path, str(tmp_path / "state"), 2, trigger=jobs.DRAIN).awaitTermination()
+
+    def stored():
+        rows = stored_events(spark, path, EVENT_SCHEMA).collect()
+        return sorted((r.timestamp.strftime("%M:%S"), r.kind) for r in rows)
+
+    # After the first batch windows up to 00:02 are closed, after the second up to 00:08.
+    want = [("00:10", "on-time"), ("01:50", "late"), ("02:30", "on-time"), ("03:30", "on-time"),
+            ("03:59", "late"), ("07:59", "late"), ("09:10", "on-time"), ("10:00", "on-time")]
+    assert stored() == want
+    # A replayed batch is judged by the batches before it, and replaces its rows.
+    lines = spark.read.text(str(source / "b"))
+    store_by_lateness(split_valid(parse_tsv(lines))[0], 1, path, 2)
+    assert stored() == want
+    # Rows of a batch that was not entered are not read.
+    shutil.rmtree(f"{path}-ledger/entry=2")
+    assert len(stored()) == 5
+
+
+def test_chained_windows_of_a_stream_are_those_of_the_batch(spark, tmp_path, drop_file):
+    source = tmp_path / "in"
+    source.mkdir()
+    lines = [tsv(i, f"{DAY}00:{i // 30:02d}:{2 * i % 60:02d}.000", 22.8 + i % 7 / 1e3, 40.5 + i % 5 / 1e3) for i in range(300)]
+    for part in range(3):
+        drop_file(source, f"p{part}", lines[part * 100 : part * 100 + 100], part)
+    drop_file(source, "tick", at("05:00:00"), 4)
+    for number, job in enumerate((
+        lambda rows: geohash_neighbour_density(rows, 30, 2),
+        lambda rows: geohash_rollup_windows(rows, 2, 3, 6),
+    )):
+        stream = job(with_fcd_watermark(jobs.file_events(spark, str(source), 1)))
+        run(spark, stream, tmp_path / f"out{number}", tmp_path / f"state{number}", "parquet")
+        got = spark.read.parquet(str(tmp_path / f"out{number}")).select(*stream.columns)
+        batch = job(read_fcd_tsv(spark, str(source))[0]).where("timestamp < '2017-01-01 05'")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
+        assert got.select("timestamp").distinct().count() == 5
 
 
 def test_rejected_lines_of_a_stream(spark, tmp_path, drop_file):
