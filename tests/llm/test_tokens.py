@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -34,6 +35,45 @@ def test_chunks_give_the_library_s_ids(path):
     assert ids.tolist() == [i for x in whole for i in x.ids]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_letter_that_the_normal_form_changes(path):
+    """Some decompose into a letter and a mark, which then belongs to what follows."""
+    changed = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    changed = [c for c in changed if unicodedata.normalize("NFC", c) != c]
+    assert "\u0958" in changed and len(changed) > 1000
+    texts = [f"{a}{c}{b}" for c in changed for a, b in (("", ", x"), ("b", ". y z"), ("\u0915 ", "e, "), (". ", "."))]
+    # Letters that later marks compose with, and all marks of canonical class over 0.
+    marks = [chr(c) for c in range(0x300, 0x3000) if unicodedata.combining(chr(c))]
+    texts += [f"{a}{m}. {a.upper()}{m}, x" for m in marks for a in ("a", "\u0915", "\u05e9")]
+    check(path, texts)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_letter_before_a_mark(path):
+    """All letters and digits of the first plane, with each of the marks that end a chunk."""
+    signs = [chr(c) for c in range(0x10000) if chr(c).isalnum() or unicodedata.category(chr(c))[0] in "LN"]
+    texts = [f"x{c}{mark} {c}{mark}" for at, c in enumerate(signs) for mark in ".,;:!?"[at % 6]]
+    check(path, texts)
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_ordinary_texts(path):
+    draw = random.Random(9)
+    parts = ["word", "Word", "\u00c9t\u00e9", "it's", "don't", "x-y", "3.5", "10,000", "A.", "b,", "(c)", "\u201cq\u201d", "wait!", "so?",
+             "a;", "b:", "...", "?!", "e.g.,", "\nNew", "end.\n", "\u65e5\u672c\u3002", "'ll", "d'", "\u0130x.", "\u00bd.", "\u216b,", "\u2460!"]
+    check(path, [" ".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(4000)])
+
+
+def check(path, texts):
+    model = ChunkEncoder(path, cache_limit=5000)
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    for at in range(0, len(texts), 1000):
+        ids, counts = model.encode(pa.array(texts[at : at + 1000]))
+        want = [x.ids for x in whole[at : at + 1000]]
+        got = np.split(ids, np.cumsum(counts)[:-1])
+        assert [list(g) for g in got] == want
+
+
 def test_full_cache_starts_anew():
     model = ChunkEncoder(BYTES, cache_limit=3)
     for text in ("a b c d e f", "f e d c b a", "a b c d e f"):
