@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from roadpulse.operators.clean import split_valid
 from roadpulse.schema import EVENT_SCHEMA, GPS_SCHEMA
 from roadpulse.sources.records import (
+    FRAME,
     gps_events,
     parse_gps_csv,
     parse_json,
@@ -16,6 +17,8 @@ from roadpulse.sources.records import (
     parse_tsv,
 )
 
+COMPRESSED = "gz,bz2,zst,lz4,snappy,deflate"
+
 
 def parsed_fcd_tsv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Parsed records with ``reject`` of tab-separated text.
@@ -39,15 +42,88 @@ def read_fcd_json(
 ) -> tuple[DataFrame, DataFrame]:
     """(events, rejected records) of JSON files.
 
-    ``layout="array"``: one array of objects per file, which makes a file one task. The
-    whole objects of a damaged array are read, the rest is rejected.
-    ``layout="lines"``: one object per line; files are split, so use it for large ones.
+    ``layout="array"``: arrays of flat objects, see ``parsed_json_arrays``.
+    ``layout="lines"``: one object per line.
     """
     if layout == "lines":
         return split_valid(parse_json(spark.read.text(path)))
     if layout != "array":
         raise ValueError(f"layout must be array or lines, got {layout!r}")
-    return split_valid(parse_json_array(spark.read.text(path, wholetext=True)))
+    return split_valid(parsed_json_arrays(spark, path))
+
+
+def parsed_json_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """Parsed records of files that hold an array of flat objects, or several.
+
+    A file is cut at the closing braces, which Spark does at any place of it, so that many
+    tasks read one array. A piece is a record from its last opening brace on. What is
+    before that brace, apart from commas and white space, and the rest of a piece without
+    one, is the frame of the array or damage; it is put together for each file and rejected
+    as one line unless it is the brackets of arrays. A last record that is cut off is part
+    of the damage: the sizes of the pieces tell whether a brace ends the file.
+
+    Compressed files cannot be cut: each is one text and one task.
+    """
+    packed = spark.read.option("wholetext", True).option("pathGlobFilter", f"*.{{{COMPRESSED}}}").text(path)
+    pieces = _pieces(spark, path)
+    frames = _frames(pieces)
+    cut = frames.where("cut").select("_file", F.col("last_at").alias("_at"))
+    whole = pieces.where(F.col("_opens")).join(cut, ["_file", "_at"], "left_anti")
+    record = F.concat(F.lit("{"), F.substring_index("value", "{", -1), F.lit("}"))
+    records = parse_json(whole.select(record.alias("line")), "line")
+    damage = frames.where(~F.col("frame").rlike(FRAME)).select(
+        F.col("frame").alias("line"), F.lit("array").alias("reject")
+    )
+    both = records.unionByName(damage, allowMissingColumns=True)
+    return both.unionByName(parse_json_array(packed.select("value")))
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Texts before each closing brace (and after the last), with their file and place."""
+    packed = F.col("_metadata.file_name").rlike(rf"\.({COMPRESSED.replace(',', '|')})$")
+    rows = spark.read.option("lineSep", "}").text(path).where(~packed)
+    return rows.select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        ).alias("_at"),
+        F.contains("value", F.lit("{")).alias("_opens"),
+    )
+
+
+def _frames(pieces: DataFrame) -> DataFrame:
+    """One row for each file: ``frame``, all that belongs to no record but commas inside
+    arrays; ``last_at`` and whether a last record is ``cut``."""
+    head = F.expr("left(value, length(value) - length(substring_index(value, '{', -1)) - 1)")
+    rest = F.when(F.col("_opens"), head).otherwise(F.concat("value", F.lit("}")))
+    placed = pieces.withColumn("_rest", rest)
+    plain = F.col("_rest").rlike(r"\A[\s,]*\z")
+    mark = F.struct("_at", "_rest")
+    facts = placed.groupBy("_file").agg(
+        # A byte order mark is not part of the first piece.
+        (F.max("_size") - F.sum(F.octet_length("value") + 1)).alias("missing"),
+        F.max("_at").alias("last_at"),
+        F.max_by(F.struct("value", "_rest", "_opens"), "_at").alias("last"),
+        F.collect_list(F.when(~plain, mark)).alias("marks"),
+        F.min(F.when(plain & F.contains("_rest", F.lit(",")), F.col("_at"))).alias("comma"),
+    )
+    open_end = F.col("missing").isin(-1, 2)
+    inner = F.filter(F.array_sort("marks"), lambda m: m["_at"] != F.col("last_at"))
+    outside = F.col("comma") < F.coalesce(F.get(inner, F.lit(0))["_at"], F.col("last_at"))
+    parts = F.concat(
+        F.array(F.when(outside, ",").otherwise("")),
+        F.transform(inner, lambda m: m["_rest"]),
+        F.array(F.when(open_end, F.col("last.value")).otherwise(F.col("last._rest"))),
+    )
+    return facts.select(
+        "_file",
+        "last_at",
+        (open_end & F.col("last._opens")).alias("cut"),
+        F.array_join(parts, "").alias("frame"),
+    )
 
 
 def read_gps_csv(

@@ -17,6 +17,8 @@ from roadpulse.schema import DEFAULTS, EVENT_COLUMNS, GPS_SCHEMA, JSON_SCHEMA
 # Beyond it the archive layout cannot hold a value, and NaN and infinities are no values.
 LARGEST_MEASURE = 2.0**31
 OBJECT = r"\{[^{}]*\}"
+# What is left of arrays without their objects.
+FRAME = r"\A\s*(\[[\s,]*\]\s*)*\z"
 
 
 def parse_tsv(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -53,7 +55,7 @@ def parse_json_array(files: DataFrame, column: str = "value") -> DataFrame:
     """
     whole = F.regexp_extract_all(F.col(column), F.lit(OBJECT), F.lit(0))
     left = F.regexp_replace(F.col(column), OBJECT, "")
-    left = F.when(~left.rlike(r"\A\s*(\[[\s,]*\]\s*)*\z"), left)
+    left = F.when(~left.rlike(FRAME), left)
     records = files.select(F.explode(F.array_append(whole, left)).alias("line"))
     records = records.where(F.col("line").isNotNull())
     parsed = parse_json(records, "line")

@@ -8,6 +8,7 @@ from fcd_lines import tsv
 from roadpulse.operators.clean import to_gps_columns
 from roadpulse.schema import EVENT_SCHEMA, GPS_SCHEMA
 from roadpulse.sources import files
+from roadpulse.sources.records import parse_json_array
 from roadpulse.sources.records import parse_tsv
 
 GOOD = tsv(84037, "2017-01-01 00:00:01.500", speed=35.5)
@@ -142,3 +143,62 @@ def test_unknown_layout(spark):
         files.read_fcd_json(spark, "x", "rows")
     with pytest.raises(ValueError):
         files.stream_fcd(spark, "x", file_format="csv")
+
+
+ARRAYS = {
+    "one": "[{0}, {1},{2}\n, {3}]\n",
+    "empty": "[]",
+    "blank": " \n",
+    "nothing": "",
+    "several": "[{0}] [{1},{2}]\n[]",
+    "bare": "{0}{1}",
+    "commas": "{0},{1}",
+    "cut": "[{0}, {1}, {{\"device_random_id\": 5",
+    "cut after a brace": "[{0}, {1}",
+    "cut before the frame": "[{0}, {1},",
+    "cut to a whole value": "[{0}, {{\"device_random_id\": 5, \"lon\": 22.9",
+    "damaged": "[{0}, {{\"device_random_id\": {1}, oops {2} ]",
+    "braces": "[{0}, }} {1} {{ ]",
+    "words": "see [{0}] above",
+    "mark": "\ufeff[{0},{1}]",
+    "marked and cut": "\ufeff[{0},{{\"device_random_id\": 7, \"lon\": 2",
+    "letters": "[{0}, {{\"device_random_id\": \"\u03b1\u03b2\", \"lon\": 1}}]",
+}
+
+
+@pytest.mark.parametrize("size", [40, 1 << 27])
+@pytest.mark.parametrize("name", ARRAYS)
+def test_arrays_are_read_in_pieces(spark, tmp_path, name, size):
+    """The same rows and rejects as from the whole text, however the file is divided."""
+    items = [
+        json.dumps({"device_random_id": i or "", "recorded_timestamp": f"2017-01-01 00:00:0{i}.000", "lon": 22.9, "speed": 3})
+        for i in range(4)
+    ]
+    text = ARRAYS[name].format(*items)
+    (tmp_path / "a.json").write_text(text, encoding="utf-8")
+    (tmp_path / "other.json").write_text("[" + items[1] + "]")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        path = str(tmp_path)
+        texts = spark.read.text(path, wholetext=True).selectExpr("ltrim('\ufeff', value) AS value")
+        want = parse_json_array(texts).collect()
+        got = files.parsed_json_arrays(spark, path).collect()
+        if size == 40 and len(text) > 300:
+            assert files._pieces(spark, path).selectExpr("spark_partition_id()").distinct().count() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r[:8] for r in got if r.reject is None) == sorted(r[:8] for r in want if r.reject is None)
+    assert sorted(r.reject for r in got if r.reject) == sorted(r.reject for r in want if r.reject)
+
+
+def test_compressed_arrays_beside_others(spark, tmp_path):
+    item = '{"device_random_id": 1, "recorded_timestamp": "2017-01-01 00:00:01.000"}'
+    with gzip.open(tmp_path / "a.json.gz", "wt") as file:
+        file.write(f"[{item}, {item}, {{")
+    (tmp_path / "b.json").write_text(f"[{item}]")
+    for path, good, bad in ((tmp_path, 3, 1), (tmp_path / "a.json.gz", 2, 1), (tmp_path / "b.json", 1, 0)):
+        rows, rejects = files.read_fcd_json(spark, str(path))
+        assert (rows.count(), rejects.count()) == (good, bad)
