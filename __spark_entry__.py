@@ -21,13 +21,14 @@ from roadpulse.functions.geohash import ALPHABET
 from roadpulse.functions.text import print_event_time
 from roadpulse.operators import clean, geohash, grid, roads, traffic
 from roadpulse.plans import jobs, views
-from roadpulse.plans.views import COPIES_SQL, EVENTS_SQL, EXTREMES_SQL, RAW_SQL, ROADS_SQL
+from roadpulse.plans.views import COPIES_SQL, EVENTS_SQL, EXTREMES_SQL, HOT_SQL, RAW_SQL, ROADS_SQL
 from roadpulse.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from roadpulse.session import materialize, scratch_path
 from roadpulse.sinks import documents, files, kafka
 from roadpulse.sources import files as sources
 from roadpulse.sources import records
 from roadpulse.sources.kafka import from_messages
+from roadpulse.streaming.quality import QualityLedger, quality_totals
 from roadpulse.streaming.event_time import split_late, stored_events, with_fcd_watermark
 
 # The subpackage for language-model data may be absent; nothing else needs it.
@@ -42,6 +43,7 @@ DAY = 24 * 60
 ARRAY_RECORDS = 1000
 FILE_ARRAYS = 16
 FILE_EVENTS = 2_000_000
+SEGMENT_GROUPS = 32
 # Far enough for every delay used here.
 TICK = timedelta(days=400)
 
@@ -392,6 +394,45 @@ def stream_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stream_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and rejected records as a stream's micro-batches have reported them."""
+    source, ledger_path = scratch_path(spark, "lines"), scratch_path(spark, "quality")
+    lines = _tsv_records(spark, sf).select("line")
+    parts = max(4, lines.count() // FILE_EVENTS)
+    lines.repartition(parts).write.text(source)
+    ledger = QualityLedger(spark, ledger_path)
+    spark.streams.addListener(ledger)
+    try:
+        watched = clean.observe_quality(sources.stream_fcd(spark, source, -(-parts // 3)), "quality")
+        state = scratch_path(spark, "quality-state")
+        query = clean.store_split(watched, scratch_path(spark, "stream-split"), state, jobs.DRAIN)
+        query.awaitTermination()
+        ledger.wait(query)
+    finally:
+        spark.streams.removeListener(ledger)
+    return quality_totals(spark, ledger_path)
+
+
+def segments_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Traffic of segments in hashed folders, written twice; the counts of each segment."""
+    path = scratch_path(spark, "segments")
+    report = materialize(road_traffic_1day(spark, sf), "report")
+    for _ in range(2):
+        files.write_by_segment(report, path, groups=SEGMENT_GROUPS)
+    stored = spark.read.parquet(path)
+    return stored.groupBy("segment_id").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum("vehicles").alias("vehicles")
+    )
+
+
+def match_roads_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of all events at one spot, and an index taken as too large to broadcast."""
+    events = views.fcd_hot(spark, sf)
+    index = roads.build_road_index(views.fcd_roads(spark, sf), MAX_DIST)
+    matched = roads.match_roads(events, index, broadcast_bytes=0)
+    return matched.select("event_id", "segment_id")
+
+
 def late_events(spark: SparkSession, sf: str) -> DataFrame:
     """Every twentieth event arrives a batch later than its time; on-time and late ones are
     the input."""
@@ -747,6 +788,9 @@ def road_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_rollup": stream_rollup,
         "stream_documents": stream_documents,
         "late_events": late_events,
+        "stream_quality": stream_quality,
+        "segments_written": segments_written,
+        "match_roads_hot": match_roads_hot,
         "neighbours_1day": neighbours_1day,
         "grid_windows_by_day": grid_windows_by_day,
     }
@@ -946,6 +990,12 @@ def road_sql() -> dict[str, str]:
             SELECT cellid, CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) AS location,
                    vehicles, timestamp, CAST(cellid AS VARCHAR) || '|' || timestamp AS doc_id
             FROM ({_grid_sql(DAY)})""",
+        "stream_quality": f"""
+            SELECT {TSV_REJECT} AS reject, count(*) AS records FROM ({FILLED}) GROUP BY 1""",
+        "segments_written": f"""
+            SELECT segment_id, count(*) AS windows, CAST(sum(vehicles) AS BIGINT) AS vehicles
+            FROM ({_road_sql(DAY)}) GROUP BY 1""",
+        "match_roads_hot": f"{matches} FROM matched".replace(EVENTS_SQL, HOT_SQL),
         "late_events": f"""
             WITH ends AS (
                 SELECT min(epoch_us(timestamp)) AS a, max(epoch_us(timestamp)) AS b FROM ({EVENTS_SQL})

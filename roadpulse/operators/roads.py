@@ -41,7 +41,8 @@ SPLIT = 4  # a crowded cell becomes SPLIT x SPLIT cells; a power of 2
 DEEPEST = 4  # levels of splitting
 MOST_GROWTH = 16  # splitting stops before the index has so many times its first entries
 BROADCAST_BYTES = 128 << 20
-BATCH_SALTS = 8
+MOST_HOT = 10_000  # hot cells that are told apart
+HOT_EVENTS = 100  # a cell with fewer events is never hot
 STREAM_SALTS = 32
 NOWHERE = -(1 << 30)  # cell numbers below it belong to no cell
 SLACK = 1e-6  # in cells; far above the rounding of the cell arithmetic
@@ -198,9 +199,10 @@ def match_roads(
     to use one index in several jobs.
 
     An index whose measured size is within ``broadcast_bytes`` is broadcast and events
-    are not shuffled. A larger one is joined by shuffle on the cell: there a cell with a
-    large part of all events is divided over ``salts`` copies of the index, and in a batch
-    by adaptive skew handling as well.
+    are not shuffled. A larger one is joined by shuffle on the cell. There a batch first
+    measures which cells are hot; only their rows of the index are copied and only their
+    events divided over the copies. A stream, whose hot cells to come are not known, copies
+    all cells ``STREAM_SALTS`` times. With ``salts`` all cells are copied so many times.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, got {how!r}")
@@ -216,12 +218,18 @@ def match_roads(
     cells = index.cells.withColumnsRenamed({name: f"_{name}" for name in CELL})
     small = index.size_bytes <= broadcast_bytes
     if not small:
-        salts = salts or (STREAM_SALTS if events.isStreaming else BATCH_SALTS)
+        hot = F.lit(True)
+        if salts is None and events.isStreaming:
+            salts = STREAM_SALTS
+        elif salts is None:
+            heavy, salts = hot_cells(located, keys, index)
+            hot = F.xxhash64(*keys).isin(heavy) if heavy else F.lit(False)
         if salts > 1:
             # By the event, so that one large input split is divided as well.
             salt = F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int")
-            located = located.withColumn("_salt", salt)
-            cells = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            located = located.withColumn("_salt", F.when(hot, salt).otherwise(0))
+            copies = F.sequence(F.lit(0), F.when(hot, salts - 1).otherwise(0))
+            cells = cells.withColumn("_salt", F.explode(copies))
             keys = [*keys, "_salt"]
 
     pack = "_candidates"
@@ -234,6 +242,27 @@ def match_roads(
     return matched.select(*names, "segment_id", F.sqrt("_d2").alias("distance"))
 
 
+def hot_cells(located: DataFrame, keys: list[str], index: RoadIndex) -> tuple[list[int], int]:
+    """Hashes of the cells with more events than half an even share of a task, and over how
+    many copies the largest has to be divided. ``located`` are events with their cells.
+
+    One more pass over the coordinates, with a sketch of the heaviest cells whose size does not
+    depend on the number of cells; so as many tasks as there are, at most twice that many
+    cells are found.
+    """
+    tasks = int(located.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(2 * tasks, MOST_HOT)
+    inner = located.where(inside(F.col("lon"), F.col("lat"), index.box))
+    code = F.xxhash64(*keys).alias("code")
+    heaviest = F.expr(f"approx_top_k(code, {wanted}, {8 * wanted})")
+    total, found = inner.select(code).agg(F.count(F.lit(1)), heaviest).first()
+    share = (total or 0) / (2 * tasks)
+    heavy = {item["item"]: item["count"] for item in found or [] if item["count"] > max(share, HOT_EVENTS)}
+    if not heavy:
+        return [], 1
+    return sorted(heavy), min(tasks, math.ceil(max(heavy.values()) / share))
+
+
 def _in_reach_of(index: RoadIndex, best: Column) -> Column:
     """Array of the nearest candidate, or of nothing when it is too far; one evaluation."""
     return F.filter(F.array(best), lambda b: b["_d2"] <= index.max_dist * index.max_dist)

@@ -40,6 +40,15 @@ COPIES_SQL = f"""
     FROM ({EVENTS_SQL}) WHERE event_id % 7 = 0
 """
 
+# Every third event within a few metres of the end of a road piece.
+HOT_SQL = f"""
+    SELECT event_id, device_id, timestamp,
+           CASE WHEN event_id % 3 = 0 THEN 22.86907e0 + (event_id % 11) / 1e6 ELSE lon END AS lon,
+           CASE WHEN event_id % 3 = 0 THEN 40.55151e0 + (event_id % 7) / 1e6 ELSE lat END AS lat,
+           altitude, speed, orientation, transfer
+    FROM ({EVENTS_SQL})
+"""
+
 # Speeds that the archive layout cannot hold, and negative ones.
 EXTREMES_SQL = f"""
     SELECT event_id, device_id, timestamp, lon, lat, altitude,
@@ -91,6 +100,10 @@ def fcd_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, COPIES_SQL)
 
 
+def fcd_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir, HOT_SQL)
+
+
 def fcd_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir, EXTREMES_SQL)
 

@@ -12,7 +12,7 @@ window, and a window is found by the statistics of the files.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -86,7 +86,7 @@ def write_windows(
         return _write(rows, path, "bucket", checkpoint, file_format, trigger)
     rows = rows.withColumn(level, window_folder(F.col("bucket"), level))
     if not rows.isStreaming:
-        rows = _with_other_windows(rows, path, file_format, level, written)
+        rows = _with_others(rows, path, file_format, level, "bucket", written)
     if file_format == "text" or not rows.isStreaming:
         kept = [name for name in rows.columns if name != "bucket" or file_format == "parquet"]
     else:
@@ -99,27 +99,27 @@ def write_windows(
     return None
 
 
-def _with_other_windows(
-    rows: DataFrame, path: str, file_format: str, level: str, written: Column
+def _with_others(
+    rows: DataFrame, path: str, file_format: str, folder: str, key: str, written: Column | None = None
 ) -> DataFrame:
-    """``rows`` and those already in their folders whose windows are not written now. The new
-    ones are stored first, as they are read more than once."""
+    """``rows`` and those already in their folders whose ``key`` is not written now. The new
+    ones are stored first, as they are read more than once. ``written``: the key of a stored
+    row, if it is not a column of its own."""
     spark = rows.sparkSession
-    names = [name for name in rows.columns if name not in ("bucket", level)]
-    schema = rows.select(*names).schema
+    schema = rows.schema if written is None else rows.drop(key).schema
     try:
-        there = spark.read.schema(schema).format(file_format).option("basePath", path).load(path)
+        there = spark.read.schema(schema).format(file_format).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return rows
-    if level not in there.columns:
-        there = spark.read.schema(schema.add(level, "string")).format(file_format).load(path)
-    rows = materialize(rows, "windows")
-    folders = [row[0] for row in rows.select(level).distinct().collect()]
-    there = there.where(F.col(level).isin(folders)).withColumn("bucket", written)
-    there = there.join(rows.select("bucket").distinct(), "bucket", "left_anti")
-    return rows.unionByName(materialize(there.select(*rows.columns), "other-windows"))
+    rows = materialize(rows, "written-now")
+    folders = [row[0] for row in rows.select(folder).distinct().collect()]
+    there = there.where(F.col(folder).isin(folders))
+    if written is not None:
+        there = there.withColumn(key, written)
+    there = there.join(rows.select(key).distinct(), key, "left_anti").select(*rows.columns)
+    return rows.unionByName(materialize(there, "written-before"))
 
 
 def write_overwrite(results: DataFrame, path: str, file_format: str = "parquet") -> None:
@@ -133,9 +133,37 @@ def write_by_segment(
     checkpoint: str | None = None,
     file_format: str = "parquet",
     trigger: dict | None = None,
+    groups: int | None = None,
 ) -> StreamingQuery | None:
-    """Results in one folder per road segment; a batch replaces the folders it writes."""
-    return _write(results, path, "segment_id", checkpoint, file_format, trigger)
+    """Results in one folder per road segment; a batch replaces the segments it writes.
+
+    With ``groups`` segments share that many folders (``segment_group=``), by their hash: the
+    number of files does not follow the number of segments. Rows there are sorted by segment, so
+    ``read_segment`` opens one folder, and of its files only what the statistics leave.
+    """
+    if groups is None:
+        return _write(results, path, "segment_id", checkpoint, file_format, trigger)
+    rows = results.withColumn("segment_group", segment_group(F.col("segment_id"), groups))
+    if rows.isStreaming:
+        return _write(rows, path, "segment_group", checkpoint, file_format, trigger)
+    rows = _with_others(rows, path, file_format, "segment_group", "segment_id")
+    rows = rows.hint("rebalance", "segment_group").sortWithinPartitions("segment_group", "segment_id")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    _capped(writer.partitionBy("segment_group").format(file_format)).save(path)
+    return None
+
+
+def segment_group(segment_id: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(segment_id), F.lit(groups)).cast("int")
+
+
+def read_segment(
+    spark: SparkSession, path: str, segment_id: str, groups: int, file_format: str = "parquet"
+) -> DataFrame:
+    """Results of one segment that ``write_by_segment`` has put into ``groups``."""
+    group = spark.range(1).select(segment_group(F.lit(segment_id), groups)).first()[0]
+    rows = spark.read.format(file_format).load(path)
+    return rows.where((F.col("segment_group") == group) & (F.col("segment_id") == segment_id)).drop("segment_group")
 
 
 def write_console(results: DataFrame, trigger: dict | None = None) -> StreamingQuery | None:

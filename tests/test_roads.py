@@ -5,7 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse.functions.geometry import LON_SCALE
-from roadpulse.operators.roads import MOST_GROWTH, build_road_index, match_roads
+from roadpulse.operators.roads import (
+    MOST_GROWTH,
+    _locate,
+    build_road_index,
+    hot_cells,
+    match_roads,
+)
 from roadpulse.schema import BOX, Box
 
 SCHEMA = "segment_id string, x1 double, y1 double, x2 double, y2 double"
@@ -201,3 +207,29 @@ def test_number_of_joins_does_not_depend_on_the_roads(spark):
         assert found(match_roads(events, index)) == found(match_roads(events, first))
         assert index.size_bytes <= (MOST_GROWTH + 1) * first.size_bytes
     assert joins == {0: {2}, 1 << 30: {2}}
+
+
+def test_only_hot_cells_are_copied(spark):
+    """A third of the events in one cell: its rows of the index are copied, no others."""
+    segments = random_roads(400)
+    crowd = [(22.9001 + i % 7 / 1e6, 40.6001) for i in range(1000)]
+    points = random_points(2000) + crowd
+    roads = spark.createDataFrame(segments, SCHEMA)
+    index = build_road_index(roads, 0.001)
+    events = points_df(spark, points)
+    names = events.columns
+    located = _locate(events, index, 0)
+    keys = ["_level", "_ix", "_iy"] if index.depths else ["_ix", "_iy"]
+    heavy, salts = hot_cells(located, keys, index)
+    there = located.where(F.xxhash64(*keys).isin(heavy))
+    assert len(heavy) == 1 and there.count() >= 1000 and 1 < salts <= 4
+    matched = match_roads(events, index, broadcast_bytes=0)
+    assert found(matched) == nearest(points, segments, 0.001)
+    plan = matched._jdf.queryExecution().optimizedPlan().toString()
+    copied = [line for line in plan.splitlines() if "explode(sequence(" in line]
+    assert len(copied) == 1 and str(heavy[0]) in copied[0]
+    # Without such a cell nothing is copied.
+    even = points_df(spark, random_points(2000))
+    assert hot_cells(_locate(even, index, 0), keys, index) == ([], 1)
+    plan = match_roads(even, index, broadcast_bytes=0)._jdf.queryExecution().optimizedPlan()
+    assert "explode" not in plan.toString() and "_salt" not in plan.toString()

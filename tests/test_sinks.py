@@ -76,6 +76,28 @@ def test_windows_of_a_day_share_a_folder(spark, tmp_path, events, file_format, l
         files.write_bucketed(grid_traffic(events(ROWS), 2), path, level="week")
 
 
+def test_many_segments_in_few_files(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.range(200_000).selectExpr(
+        "concat('s', id % 100000) AS segment_id", "cast(id AS string) AS timestamp", "1e0 AS avg_speed", "id AS vehicles"
+    )
+    files.write_by_segment(rows, path, groups=16)
+    parts = list((tmp_path / "out").rglob("part-*.parquet"))
+    assert len(list((tmp_path / "out").glob("segment_group=*"))) == 16 and len(parts) <= 64
+    one = files.read_segment(spark, path, "s77", 16)
+    assert sorted(r.vehicles for r in one.collect()) == [77, 100077]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(segment_group" in plan and "EqualTo(segment_id,s77)" in plan
+    for part in parts[:3]:
+        names = [r.segment_id for r in spark.read.parquet(str(part)).collect()]
+        assert names == sorted(names)
+    # A batch replaces its segments and no other of their folders.
+    again = rows.where("segment_id = 's77' AND id < 100").withColumn("vehicles", F.lit(5).cast("bigint"))
+    files.write_by_segment(again, path, groups=16)
+    assert [r.vehicles for r in files.read_segment(spark, path, "s77", 16).collect()] == [5]
+    assert spark.read.parquet(path).count() == 199_999
+
+
 def test_rows_of_a_folder_are_sorted_by_window(spark, tmp_path, events):
     rows = [(i, f"2017-01-01 {i % 24:02d}:{i % 60:02d}:10", 22.948426, 40.626444, 1.0) for i in range(300)]
     path = str(tmp_path / "out")

@@ -4,14 +4,23 @@ import pytest
 from fcd_lines import tsv
 from test_roads import SCHEMA, lattice
 
-from roadpulse.operators.clean import dedup_events, split_valid, store_split, stored_good
+from roadpulse.operators.clean import (
+    REASONS,
+    dedup_events,
+    observe_quality,
+    reject_counts,
+    split_valid,
+    store_split,
+    stored_good,
+)
 from roadpulse.operators.geohash import geohash_neighbour_density, geohash_rollup_windows
 from roadpulse.operators.roads import build_road_index, match_roads
 from roadpulse.operators.traffic import grid_traffic
 from roadpulse.plans import jobs
-from roadpulse.sources.files import read_fcd_tsv, stream_fcd
+from roadpulse.sources.files import parsed_fcd_tsv, read_fcd_tsv, stream_fcd
 from roadpulse.sources.records import parse_tsv
 from roadpulse.schema import EVENT_SCHEMA
+from roadpulse.streaming.quality import QualityLedger, quality_totals, read_quality
 from roadpulse.streaming.event_time import (
     late_rows,
     split_late,
@@ -282,3 +291,31 @@ def test_no_predicate_passes_the_watermark(spark, tmp_path):
     # Without the barrier the box would be tested below it.
     loose = stream_fcd(spark, str(folder), file_format="parquet").withWatermark("timestamp", "1 minute")
     assert "Filter" in below_watermark(match_roads(loose, index))
+
+
+def test_quality_of_each_batch(spark, tmp_path, drop_file):
+    source, path = tmp_path / "in", str(tmp_path / "quality")
+    source.mkdir()
+    drop_file(source, "a", ["1\t2", *at("00:00:10", "00:01:00"), "x", tsv("z", f"{DAY}00:00:01.000")], 0)
+    drop_file(source, "b", at("00:02:00"), 1)
+    drop_file(source, "c", ["bad"], 2)
+    ledger = QualityLedger(spark, path)
+    spark.streams.addListener(ledger)
+    try:
+        for _ in range(2):
+            watched = observe_quality(stream_fcd(spark, str(source), 1), "quality")
+            query = store_split(watched, str(tmp_path / "out"), str(tmp_path / "state"), jobs.DRAIN)
+            query.awaitTermination()
+            ledger.wait(query)
+    finally:
+        spark.streams.removeListener(ledger)
+    rows = read_quality(spark, path)
+    assert rows.select("run").distinct().count() == 1
+    got = {(r.batch, r.reject): r.records for r in rows.collect()}
+    assert got == {(0, None): 2, (0, "field count"): 2, (0, "device_id"): 1, (1, None): 1, (2, "field count"): 1}
+    totals = {r.reject: r.records for r in quality_totals(spark, path).collect()}
+    assert totals == {r.reject: r.records for r in reject_counts(parsed_fcd_tsv(spark, str(source))).collect()}
+    # A batch that is run again replaces its rows.
+    counts = dict.fromkeys(REASONS, 0) | {"good": 2, "field count": 2, "device_id": 1}
+    ledger.store(rows.first().run, 0, counts)
+    assert {(r.batch, r.reject): r.records for r in read_quality(spark, path).collect()} == got
