@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from roadpulse.llm import sharding, topk, url_filter
@@ -78,16 +79,20 @@ def test_shards_of_few_and_no_rows(spark, documents, tmp_path):
     assert spark.read.parquet(str(tmp_path / "shards")).count() == 2
 
 
+def in_range(number):
+    return max(-(1 << 63), min(topk.LONGEST, number))
+
+
 def brute(vectors, k, every):
     whole = {}
     for id_, vector in vectors:
         if id_ is not None and vector is not None and all(x is not None and math.isfinite(x) for x in vector):
-            whole[id_] = [max(-(1 << 24), min(1 << 24, math.floor(256 * x))) for x in vector]
+            whole[id_] = [in_range(math.floor(256 * x)) for x in vector]
     rows = []
     for q, a in whole.items():
         if q % every == 0:
             scores = sorted((-sum(x * y for x, y in zip(a, b)), v) for v, b in whole.items() if v != q)
-            rows += [(q, rank + 1, v, -s) for rank, (s, v) in enumerate(scores[:k])]
+            rows += [(q, rank + 1, v, in_range(-s)) for rank, (s, v) in enumerate(scores[:k])]
     return sorted(rows)
 
 
@@ -114,3 +119,46 @@ def test_fewer_neighbours_than_asked(spark):
     table = spark.createDataFrame([(0, [1.0]), (1, [1.0]), (2, [2.0])], "vec_id bigint, embedding array<float>")
     found = sorted(map(tuple, topk.top_neighbours(table).collect()))
     assert found == [(0, 1, 2, 131072), (0, 2, 1, 65536)]
+
+
+@pytest.mark.parametrize("scale", [1.0, 3e5, 1e9, 1e13])
+def test_components_of_any_size_are_exact(spark, scale):
+    draw = np.random.default_rng(4)
+    rows = [(i, (scale * draw.normal(0, 1, 7)).tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want, cut = [], lambda x: max(-topk.LONGEST, min(topk.LONGEST, x))
+    for query in range(0, 300, 50):
+        scored = sorted((-sum(a * b for a, b in zip(whole[query], v)), i) for i, v in whole.items() if i != query)
+        want += [(query, rank, i, cut(-score)) for rank, (score, i) in enumerate(scored[:5], 1)]
+    found = topk.top_neighbours(table, block=64).collect()
+    assert sorted(map(tuple, found)) == want
+
+
+def test_terms_are_split_by_the_kth_best():
+    """With a floor only some terms are traversed, and some documents are never scored."""
+    draw = np.random.default_rng(9)
+    rows = np.where(draw.random((2000, 40)) < 0.1, draw.normal(0, 100, (2000, 40)), 0).astype(int)
+    rows[:, 5:] //= 8
+    postings = topk.Postings(np.arange(2000), rows)
+    seen = []
+
+    class Watched(list):
+        def __getitem__(self, term):
+            seen.append(term)
+            return super().__getitem__(term)
+
+    postings.lists = Watched(postings.lists)
+    for at in range(40):
+        query = rows[at]
+        scores = rows @ query
+        want = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != at)[:5]
+        want = [(-s, i) for s, i in want]
+        assert postings.search(query, at, 5, None) == want
+        all_terms = len(seen)
+        # A floor that is the k-th best itself keeps its ties.
+        assert postings.search(query, at, 5, want[-1][0]) == want
+        if want[-1][0] > 0:
+            assert len(seen) - all_terms < all_terms or (query != 0).sum() < 3
+        assert postings.search(query, at, 5, want[0][0] + 1) == []
+        seen.clear()
