@@ -4,21 +4,27 @@ Texts are lower-cased words (runs of letters and digits). Words of the test item
 vocabulary; all other words of a document are one unknown word.
 
 1. Passages: where a document has an n-gram of ``SEED_WORDS`` words that some test item
-   has, the words around it (as far as the longest item reaches) are cut out; overlapping
-   cuts are one passage. This is one pass over the texts; nothing else of them moves on.
+   has, the words around it (as far as an alignment of the longest item can reach) are cut
+   out; overlapping cuts are one passage. This is one pass over the texts; nothing else of
+   them moves on. An item of fewer words is one seed as a whole.
 2. Rare seeds: different passages with each n-gram are counted over the whole corpus. A
-   passage meets each item that it shares an n-gram with, once, at the rarest of them: the
-   counts set the order, and no count keeps a passage from an item.
+   passage is joined to an item at the n-grams they share, the rarest first: Smith-Waterman
+   alignment (match 2, other word or gap -1) scores the item against the part of the passage
+   that an alignment through that seed can reach. The first seed that scores enough decides; a
+   more frequent one is tried only where rarer ones have failed, and only outside of what they
+   have reached. So no count keeps a passage from an item, and what is found does not depend on
+   the counts; they save alignments.
 3. A pair is left out only where the words in common, each as often as both have it, are
-   too few for the score. Smith-Waterman alignment (match 2, other word or gap -1) scores
-   the others. An item of L words is found if its score is that of
-   ``needed_words(L)`` matches: 0.4 of the item, at least 7 words and at most 30.
+   too few for the score. An item of L words is found if its score is that of
+   ``needed_words(L)`` matches: 0.4 of the item, at least 7 words and at most 30, and all
+   words of an item of up to 7.
 
 Test items are taken in slices of at most ``SLICE_WORDS`` words, so that what each task is
 sent is bounded for a benchmark of any size; each slice is one more pass over the corpus.
 
-Null texts and items are empty. An item of under ``SEED_WORDS`` words cannot be found.
-Repeated rows of a document or item count once in the result, with their best score.
+A copy without ``SEED_WORDS`` intact words in a row is not found. Null texts and items are
+empty; an empty item is never found. Repeated rows of a document or item count once in the
+result, with their best score; of equal scores the later place in the document counts.
 Documents without id and items without id take no part. Other columns are not read. Empty
 tables give an empty result.
 """
@@ -37,7 +43,7 @@ from pyspark.sql import functions as F
 from roadpulse.llm.arrow import text_slices
 from roadpulse.session import materialize
 
-SEED_WORDS = 4
+SEED_WORDS = 3
 SLICE_WORDS = 4_000_000
 KNOWN_BYTES = 32 << 20
 MATCH, OTHER = 2, -1
@@ -59,72 +65,116 @@ class Vocabulary:
         split = [words(text) for text in texts]
         self.numbers = {w: i + 1 for i, w in enumerate(sorted({w for x in split for w in x}))}
         self.items = [self.code(x) for x in split]
-        grams = [np.unique(gram_hashes(item)) for item in self.items]
-        owners = [np.full(len(x), number, np.int32) for number, x in enumerate(grams)]
+        sizes = [min(len(item), SEED_WORDS) for item in self.items]
+        self.sizes = sorted({size for size in sizes if size})
+        grams = [gram_hashes(item, size) for item, size in zip(self.items, sizes)]
         listed = np.concatenate([np.zeros(0, np.int64), *grams])
         order = np.argsort(listed, kind="stable")
         self.grams, begins = np.unique(listed[order], return_index=True)
         self.bounds = np.append(begins, len(listed))
-        self.owners = np.concatenate([np.zeros(0, np.int32), *owners])[order]
+        # Item of each n-gram and its place there.
+        lengths = [len(x) for x in grams]
+        self.owners = np.repeat(np.arange(len(grams)), lengths)[order]
+        self.places = np.concatenate([np.zeros(0, np.int64), *map(np.arange, lengths)])[order]
         self.bags = [np.unique(item, return_counts=True) for item in self.items]
-        self.reach = max([0, *map(len, self.items)])
-
-    def meetings(self, codes: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> list[int]:
-        """Items with one of the ``grams``, by the rarest (``counts`` of ``self.grams``), that
-        have enough words in common with the passage."""
-        places = np.searchsorted(self.grams, grams)
-        places = places[np.argsort(counts[places], kind="stable")]
-        listed = [self.owners[self.bounds[at] : self.bounds[at + 1]] for at in places]
-        items = dict.fromkeys(np.concatenate([np.zeros(0, np.int32), *listed]).tolist())
-        there, times = np.unique(codes, return_counts=True)
-        self.seen[there] = times
-        found = []
-        for item in items:
-            numbers, often = self.bags[item]
-            if np.minimum(self.seen[numbers], often).sum() >= needed_words(len(self.items[item])):
-                found.append(item)
-        self.seen[there] = 0
-        return found
-
-    @cached_property
-    def seen(self) -> np.ndarray:
-        """How often a passage has each word; zero between calls."""
-        return np.zeros(len(self.numbers) + 1, np.int64)
+        # An alignment gains 2 for each word of the item and loses 1 for each word it passes.
+        self.reach = 3 * max([0, *map(len, self.items)])
 
     def code(self, found: list[str]) -> np.ndarray:
         get = self.numbers.get
         return np.array([get(word, 0) for word in found], np.int64)
 
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of known n-grams in a text, and their numbers."""
+        starts, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        known = codes > 0
+        for size in self.sizes:
+            if len(codes) < size:
+                continue
+            runs = np.lib.stride_tricks.sliding_window_view(known, size).all(axis=1)
+            at = np.flatnonzero(runs)
+            hashes = gram_hashes(codes, size, at)
+            place = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
+            met = self.grams[place] == hashes
+            starts.append(at[met])
+            numbers.append(place[met])
+        return np.concatenate(starts), np.concatenate(numbers)
+
     def passages(self, codes: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """First word, codes and known n-grams (distinct) of each passage of a document."""
-        if len(codes) < SEED_WORDS or len(self.grams) == 0:
-            return []
-        known = codes > 0
-        runs = np.lib.stride_tricks.sliding_window_view(known, SEED_WORDS).all(axis=1)
-        at = np.flatnonzero(runs)
-        if len(at) == 0:
-            return []
-        hashes = gram_hashes(codes, at)
-        place = np.minimum(np.searchsorted(self.grams, hashes), len(self.grams) - 1)
-        met = self.grams[place] == hashes
-        at, hashes = at[met], hashes[met]
+        at, numbers = self.hits(codes)
         if len(at) == 0:
             return []
+        order = np.argsort(at, kind="stable")
+        at, grams = at[order], self.grams[numbers[order]]
         breaks = np.flatnonzero(np.diff(at) > 2 * self.reach) + 1
         found = []
-        for hits, grams in zip(np.split(at, breaks), np.split(hashes, breaks)):
+        for hits, own in zip(np.split(at, breaks), np.split(grams, breaks)):
             first = max(0, int(hits[0]) - self.reach)
             last = min(len(codes), int(hits[-1]) + SEED_WORDS + self.reach)
-            found.append((first, codes[first:last], np.unique(grams)))
+            found.append((first, codes[first:last], np.unique(own)))
         return found
 
+    @cached_property
+    def seen(self) -> np.ndarray:
+        """How often a passage has each word; zero between calls."""
+        return np.zeros(len(self.numbers) + 1, np.int64)
 
-def gram_hashes(codes: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of the n-gram at each place."""
+    def shared(self, codes: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Those of the items that have enough words in common with a passage."""
+        there, times = np.unique(codes, return_counts=True)
+        self.seen[there] = times
+        enough = [
+            np.minimum(self.seen[numbers], often).sum() >= needed_words(len(self.items[item]))
+            for item in items.tolist()
+            for numbers, often in (self.bags[item],)
+        ]
+        self.seen[there] = 0
+        return items[np.array(enough, bool)]
+
+    def found(self, codes: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Items in a passage: number, score and the words that are aligned (begin, end).
+        ``counts``: in how many passages each n-gram is."""
+        at, numbers = self.hits(codes)
+        sizes = self.bounds[numbers + 1] - self.bounds[numbers]
+        shift = np.repeat(self.bounds[numbers] - (np.cumsum(sizes) - sizes), sizes)
+        listed = shift + np.arange(len(shift))
+        owners, inner = self.owners[listed], self.places[listed]
+        outer, often = np.repeat(at, sizes), np.repeat(counts[numbers], sizes)
+        # By item, and there the rarest first.
+        order = np.lexsort((outer, often, owners))
+        owners, inner, outer = owners[order], inner[order], outer[order]
+        results = []
+        for item in self.shared(codes, np.unique(owners)).tolist():
+            begin, end = np.searchsorted(owners, [item, item + 1])
+            best = self._aligned(codes, self.items[item], inner[begin:end], outer[begin:end])
+            if best is not None:
+                results.append((item, *best))
+        return results
+
+    def _aligned(self, codes, item, inner, outer) -> tuple[int, int, int] | None:
+        """Score and span of the first seed at which the item scores enough."""
+        needed, tried = MATCH * needed_words(len(item)), []
+        first = np.maximum(outer - 3 * inner, 0)
+        last = np.minimum(outer + 3 * (len(item) - inner), len(codes))
+        for a, b in zip(first.tolist(), last.tolist()):
+            if any(x <= a and b <= y for x, y in tried):
+                continue
+            # Copies of one item close to each other are met in one window.
+            a, b = max(0, a - 2 * len(item)), min(len(codes), b + 2 * len(item))
+            tried.append((a, b))
+            score, begin, end = align(codes[a:b], item)
+            if score >= needed:
+                return score, a + begin, a + end
+        return None
+
+
+def gram_hashes(codes: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of the n-gram of ``size`` words at each place."""
     if at is None:
-        at = np.arange(max(0, len(codes) - SEED_WORDS + 1))
-    hashes = np.full(len(at), 0x9E3779B97F4A7C15, np.uint64)
-    for step in range(SEED_WORDS):
+        at = np.arange(max(0, len(codes) - size + 1) if size else 0)
+    hashes = np.full(len(at), 0x9E3779B97F4A7C15 ^ size, np.uint64)
+    for step in range(size):
         hashes = (hashes ^ codes[at + step].astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
         hashes ^= hashes >> np.uint64(29)
     return hashes.view(np.int64)
@@ -228,21 +278,15 @@ def _leaks_of_slice(docs: DataFrame, items: DataFrame) -> DataFrame:
         known, size = {}, 0
         for batch in batches:
             out = []
-            for row, (codes, grams) in enumerate(zip(batch.column("codes"), batch.column("grams"))):
+            for row, codes in enumerate(batch.column("codes")):
                 passage = codes.values.to_numpy(zero_copy_only=False)
                 key = passage.tobytes()
                 # Equal passages are scored once, as far as the memory for them reaches.
                 if key not in known:
                     if size > KNOWN_BYTES:
                         known, size = {}, 0
-                    at = grams.values.to_numpy(zero_copy_only=False)
-                    scores = []
-                    for item in vocabulary.meetings(passage, at, frequency):
-                        best, begin, end = align(passage, items_[item])
-                        if best >= MATCH * needed_words(len(items_[item])):
-                            scores.append((item, best, begin, end))
-                    known[key] = scores
-                    size += len(key) + 200 * (1 + len(scores))
+                    known[key] = vocabulary.found(passage, frequency)
+                    size += len(key) + 200 * (1 + len(known[key]))
                 out += [(row, *found) for found in known[key]]
             kept = pa.array([x[0] for x in out], pa.int64())
             first = batch.column("first").take(kept).to_numpy(zero_copy_only=False)
@@ -258,7 +302,7 @@ def _leaks_of_slice(docs: DataFrame, items: DataFrame) -> DataFrame:
                 }
             )
 
-    return passages.mapInArrow(
+    return passages.select("doc_id", "first", "codes").mapInArrow(
         score,
         f"doc_id {id_kind}, item_id {item_kind}, score int, item_words int,"
         " first_word bigint, last_word bigint",

@@ -340,6 +340,77 @@ def test_often_copied_passages_meet_their_item(spark, documents):
     assert sorted(row.doc_id for row in found) == [*range(1200), 5000]
 
 
+def contained(docs, items):
+    """Pairs that share a seed and align well enough, by comparing all pairs in full."""
+    found = {}
+    numbers = {}
+    code = lambda text: np.array([numbers.setdefault(w, len(numbers) + 1) for w in decontaminate.words(text or "")])
+    for item, text in items:
+        inner = code(text)
+        size = min(len(inner), decontaminate.SEED_WORDS)
+        seeds = {tuple(inner[i : i + size]) for i in range(len(inner) - size + 1)} if size else set()
+        for doc, words in docs:
+            outer = code(words)
+            grams = {tuple(outer[i : i + size]) for i in range(len(outer) - size + 1)} if size else set()
+            if seeds & grams:
+                score = slow_align(outer, inner)
+                if score >= 2 * decontaminate.needed_words(len(inner)):
+                    found[doc, item] = score
+    return found
+
+
+def test_leaks_are_those_of_all_pairs(spark, documents):
+    """Items of 1 to 3 words, every fourth word edited, insertions, several items and copies."""
+    draw = random.Random(21)
+    names = [f"w{i}" for i in range(70)]
+    some = lambda n: [draw.choice(names) for _ in range(n)]
+    items = [some(n) for n in (1, 2, 2, 3, 3, 4, 5, 8, 12, 20, 30, 30, 45)]
+    items[0] = ["single"]
+    rows = []
+    for at in range(160):
+        text = some(draw.randint(0, 40))
+        for _ in range(draw.randint(0, 2)):
+            item = list(draw.choice(items))
+            kind = draw.randrange(5)
+            if kind == 1:
+                item = [w if i % 4 != 3 else "edit" for i, w in enumerate(item)]
+            elif kind == 2:
+                item = [x for i, w in enumerate(item) for x in ([w, "more"] if i % 3 == 2 else [w])]
+            elif kind == 3:
+                item = [w for w in item if draw.random() < 0.8]
+            elif kind == 4:
+                item = item[len(item) // 3 :]
+            text += item + some(draw.randint(0, 30))
+        rows.append((at, " ".join(text)))
+    listed = [(i, " ".join(item)) for i, item in enumerate(items)]
+    want = contained(rows, listed)
+    assert {item for _, item in want} >= {0, 1, 3, 5, 8, 10, 12}
+    benchmark = spark.createDataFrame(listed, "item_id bigint, text string")
+    found = decontaminate.find_leaks(documents(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == set(want)
+    # The seed that decides is that of some copy: a good score, and the best one mostly.
+    assert all(2 * decontaminate.needed_words(r.item_words) <= r.score <= want[r.doc_id, r.item_id] for r in found)
+    assert sum(r.score == want[r.doc_id, r.item_id] for r in found) > 0.9 * len(found)
+
+
+def test_rarest_seed_decides_first(monkeypatch):
+    """The counts choose which seed is aligned first; what is found stays the same."""
+    item = [f"w{i}" for i in range(20)]
+    vocabulary = decontaminate.Vocabulary([" ".join(item)])
+    text = vocabulary.code(item[:3] + ["x"] * 300 + item + ["x"] * 300 + item[:3])
+    at, numbers = vocabulary.hits(text)
+    aligned = []
+    plain = decontaminate.align
+    monkeypatch.setattr(decontaminate, "align", lambda a, b: aligned.append(1) or plain(a, b))
+    rare_copy = np.full(len(vocabulary.grams), 1)
+    rare_copy[numbers[at == 0]] = 1000
+    assert vocabulary.found(text, rare_copy) == [(0, 40, 303, 323)] and len(aligned) == 1
+    aligned.clear()
+    rare_start = np.full(len(vocabulary.grams), 1000)
+    rare_start[numbers[at == 0]] = 1
+    assert vocabulary.found(text, rare_start) == [(0, 40, 303, 323)] and len(aligned) == 2
+
+
 def test_leaks_are_dropped(leaky):
     docs, benchmark, want = leaky
     kept = decontaminate.drop_leaks(docs, benchmark)
