@@ -222,9 +222,16 @@ def _fetch(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return views[0], views[1], label, table.column("draw").to_numpy().astype(np.int64)
 
 
+def _least(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows of different ``keys``, hashes of the row: equal rows are one, and should the draw
+    give more than ``most``, which is twice what is expected, the least hashes stay."""
+    return rows.dropDuplicates(keys).orderBy(*keys).limit(most)
+
+
 def co_train(features: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
     """Fit on a stored feature table; None without labels of both classes."""
-    text, meta, label, draw = _fetch(features.where(F.col("label").isNotNull()).limit(2 * LABELLED))
+    labelled = features.where(F.col("label").isNotNull())
+    text, meta, label, draw = _fetch(_least(labelled, ["draw", "label"], 2 * LABELLED))
     checks = draw % 4 == 0
     for part in (checks, ~checks):
         if len(np.unique(label[part])) < 2:
@@ -252,7 +259,8 @@ def co_train(features: DataFrame, rounds: int = ROUNDS) -> CoTrained | None:
             drawn.append(F.when(side & (spread < share), F.lit(f"{view}{good}")))
         picks = scored.withColumn("picks", F.array_compact(F.array(*drawn))).where(F.size("picks") > 0)
         picks = picks.withColumn("pick", F.explode("picks")).withColumn("label", F.col("pick").cast("int"))
-        new_text, new_meta, pick, _ = _fetch(picks.limit(8 * EXCHANGED))
+        picks = picks.withColumn("place", F.xxhash64("draw", F.lit(round_)))
+        new_text, new_meta, pick, _ = _fetch(_least(picks, ["place", "pick"], 8 * EXCHANGED))
         teacher, good = pick // 10, pick % 10
         # What one view is sure of trains the other.
         given[1].append((new_meta[teacher == 0], good[teacher == 0]))

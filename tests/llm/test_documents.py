@@ -140,6 +140,27 @@ def test_quality(judged):
     assert sorted(row.doc_id or 0 for row in kept.collect()) == want
 
 
+def test_repeated_rows_do_not_crowd_out_others(spark):
+    """A bounded draw holds every different row before any row twice, whatever the order."""
+    rows = spark.range(50).selectExpr("xxhash64(id) AS draw", "cast(id % 2 AS int) AS label")
+    hot = spark.range(5000).selectExpr("xxhash64(7L) AS draw", "1 AS label")
+    found = quality._least(rows.union(hot).repartition(7), ["draw", "label"], 60).collect()
+    assert len(found) == 50 and set(found) == set(rows.collect())
+    few = [row.draw for row in quality._least(rows.union(hot), ["draw", "label"], 10).collect()]
+    assert few == sorted(row.draw for row in rows.collect())[:10]
+
+
+def test_quality_with_a_hot_labelled_row(judged, monkeypatch):
+    docs, labels = judged
+    monkeypatch.setattr(quality, "LABELLED", 250)
+    monkeypatch.setattr(quality, "EXCHANGED", 40)
+    hot = docs.where("doc_id = 1003").selectExpr("*", "explode(sequence(1, 500)) AS copy").drop("copy")
+    found = quality.score_documents(docs.union(hot), labels).collect()
+    rows = [row for row in found if row.doc_id is not None and row.doc_id >= 1000 and row.doc_id != 1003]
+    right = sum(row.keep == ((row.doc_id - 1000) % 3 > 0) for row in rows)
+    assert right >= 0.95 * len(rows)
+
+
 def test_quality_without_labels(judged):
     docs, labels = judged
     for few in (labels.limit(0), labels.where("quality = 1")):
