@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +31,30 @@ def build_session(app: str = "roadpulse", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, which may run in another folder or on another
+    machine. Not needed, and not done, where it is on the workers' path already: in
+    ``PYTHONPATH`` or among the submitted files. Done once for each Spark application."""
+    package = Path(__file__).resolve().parent
+    context = spark.sparkContext
+    paths = [Path(path).resolve() for path in os.environ.get("PYTHONPATH", "").split(os.pathsep) if path]
+    submitted = context.getConf().get("spark.submit.pyFiles", "") or ""
+    if package.parent in paths or package.name in submitted or context.applicationId in _shipped:
+        return spark
+    archive = Path(tempfile.mkdtemp(prefix="roadpulse-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, source.relative_to(package.parent))
+    # The driver serves the archive to executors from here.
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+    return spark
+
+
+_shipped: set[str] = set()
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
