@@ -310,6 +310,12 @@ def _leaks_of_slice(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents in which no test item is found, with their columns; those without id stay."""
-    leaks = find_leaks(docs, benchmark).select("doc_id").distinct()
+    """Documents in which no test item is found, with their columns; those without id stay.
+
+    Rows that share an id go together. Null and empty texts hold nothing and stay, as does
+    everything if there are no items. Equal rows stay as often as they occur. The ids to drop
+    are stored, so that Spark knows their size: it sends them to the documents below its
+    limit for broadcasts, and shuffles both sides by id beyond it.
+    """
+    leaks = materialize(find_leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)

@@ -224,7 +224,12 @@ def identify(
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """Rows whose text has a language, with the columns of ``docs``: no shuffle of texts."""
+    """Rows whose text has a language, with the columns of ``docs``: no shuffle of texts.
+
+    Null, empty and letterless texts have none and go; if nothing could be learned, every
+    text goes. A score equal to ``least`` stays. Equal rows are judged alike; rows without an
+    id are judged like others. Other columns are carried along, whatever their names.
+    """
     model = learn(docs.where(~held_out(F.col("doc_id"))))
     found = predict(F.col("text"), model)
     return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))

@@ -326,7 +326,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> D
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """Rows that score ``least`` or more, with the columns of ``docs``: no shuffle of texts."""
+    """Rows that score ``least`` or more, with the columns of ``docs``: no shuffle of texts.
+
+    Null texts and metadata are judged by the features they have; a score equal to ``least``
+    stays. Equal rows are judged alike and all stay or go; rows without an id are judged too.
+    Without labels of both classes, and from an empty table, everything stays. Columns
+    beside the five of a document are carried along, whatever their names.
+    """
     model = co_train(materialize(with_features(docs, labels), "quality-features"))
     if model is None:
         return docs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import corpus_pipeline
 import public_tokenizers
@@ -24,7 +25,7 @@ from roadpulse.llm import (
     topk,
     url_filter,
 )
-from roadpulse.session import scratch_path
+from roadpulse.session import scratch_path, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,8 +107,18 @@ def op13_parallel_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, after this package has been sent to the workers where they lack it."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(ship_package(spark), sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    made = {
         "op1_co_training": op1_co_training,
         "op2_url_vocabulary": op2_url_vocabulary,
         "op3_sampled_splitters": op3_sampled_splitters,
@@ -123,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op13_parallel_viterbi": op13_parallel_viterbi,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in made.items()}
 
 
 def oracle_sql() -> dict[str, str]:

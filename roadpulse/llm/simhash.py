@@ -232,7 +232,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = near_duplicates(slim, id_col="_name")
     found = materialize(found.select("_name", "component_id"), "components-of-rows")
     stays = F.col("_name") == F.col("component_id")
-    dropped = found.where(~stays).select("_name").distinct()
+    # Stored, so that Spark knows their size when it plans the join.
+    dropped = materialize(found.where(~stays).select("_name").distinct(), "dropped-rows")
     repeated = found.where(stays).groupBy("_name").count().where("count > 1").select("_name")
     kept = docs.withColumn("_name", name).join(dropped, "_name", "left_anti")
     if repeated.limit(1).count():
