@@ -9,8 +9,10 @@ statistics are frozen, so costs are tables, and the code length of a whole text
 of one looked-up number for each byte and language. The shortest code wins.
 
 The fit takes an even draw by id hash of about ``SAMPLE_DOCS`` documents of each language
-(all, if it has no more), and the ``MOST_LANGUAGES`` most frequent values of ``lang``. Scoring covers whole texts of
-all documents. The order is reduced where the tables would outgrow ``TABLE_BYTES``.
+(all, if it has no more), or fewer of each where there are so many languages that this would
+be over ``SAMPLE_TOTAL`` in all. Every value of ``lang`` is learned. Scoring covers whole texts
+of all documents. Tables of all contexts, symbols and languages that would outgrow
+``TABLE_BYTES`` are kept sparse, with the same costs: only what was seen is stored.
 
 Null text and text without a letter are ``und`` with score 0, and so is every text if
 nothing could be learned. Equal code lengths go to the name that comes first. A null id
@@ -33,7 +35,9 @@ from roadpulse.llm.workers import kept
 
 ORDER = 3
 SAMPLE_DOCS = 2000
-MOST_LANGUAGES = 256
+SAMPLE_TOTAL = 500_000
+FEW_LANGUAGES = 1 << 16  # so many sizes may be broadcast
+CELLS = 1 << 21  # bytes of text times languages that are worked on at a time
 TABLE_BYTES = 256 << 20
 START = 256
 RADIX = 257
@@ -69,10 +73,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     )
     labelled = labelled.where(F.col("lang").isNotNull() & F.col(text_col).isNotNull())
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # At most MOST_LANGUAGES rows.
-    sizes = F.broadcast(sizes.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES))
+    languages = sizes.count()
+    sizes = F.broadcast(sizes) if languages <= FEW_LANGUAGES else sizes
     place = (F.col("draw").cast("double") + 2.0**63) / 2.0**64
-    sampled = labelled.join(sizes, "lang").where(place * F.col("n") <= SAMPLE_DOCS)
+    wanted = min(SAMPLE_DOCS, max(1, SAMPLE_TOTAL // max(1, languages)))
+    sampled = labelled.join(sizes, "lang").where(place * F.col("n") <= wanted)
     sampled = sampled.select("lang", F.col(text_col).alias("text")).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +103,67 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return docs.sparkSession.sparkContext.broadcast(model)
 
 
+class TooLarge(Exception):
+    """Dense tables would not fit."""
+
+
+class SparseCosts:
+    """The costs of ``CostTables``, found in sorted lists of what was seen."""
+
+    def __init__(self, langs, number, codes, counts):
+        self.langs = langs
+        self.orders = []
+        for order in range(ORDER + 1):
+            grams, n = self._sums(codes % RADIX ** (order + 1) * len(langs) + number, counts)
+            contexts = grams // len(langs) // RADIX * len(langs) + grams % len(langs)
+            known, place = np.unique(contexts, return_inverse=True)
+            kinds = np.bincount(place, minlength=len(known))
+            whole = np.bincount(place, n, len(known)) + kinds
+            direct, escape = np.log2(whole[place] / n), np.log2(whole / kinds)
+            self.orders.append((grams, direct, known, escape))
+
+    @staticmethod
+    def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found, place = np.unique(keys, return_inverse=True)
+        return found, np.bincount(place, counts, len(found))
+
+    def _costs(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of a byte after its context, for each code and language."""
+        count = len(self.langs)
+        every = np.arange(count)
+        costs = np.full((len(codes), count), 8.0)
+        for order, (grams, direct, known, escape) in enumerate(self.orders):
+            gram = codes % RADIX ** (order + 1)
+            met, at = _place(known, (gram // RADIX * count)[:, None] + every)
+            costs += np.where(met, escape[at], 0.0)
+            seen, at = _place(grams, (gram * count)[:, None] + every)
+            costs = np.where(seen, direct[at], costs)
+        return costs
+
+    def code_lengths(self, texts: pa.Array) -> np.ndarray:
+        """Bits of each text under each language."""
+        symbols, places, bounds = padded(texts)
+        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        bits = np.zeros((len(texts), len(self.langs)))
+        step = max(1, CELLS // max(1, len(self.langs)))
+        for begin in range(0, len(places), step):
+            at = places[begin : begin + step]
+            codes = np.zeros(len(at), np.int64)
+            for back in range(ORDER, -1, -1):
+                codes = codes * RADIX + symbols[at - back]
+            found, place = np.unique(codes, return_inverse=True)
+            mine = owner[begin : begin + step]
+            firsts = np.flatnonzero(np.diff(mine, prepend=-1))
+            bits[mine[firsts]] += np.add.reduceat(self._costs(found)[place], firsts, axis=0)
+        return bits
+
+
+def _place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether numbers are among sorted ``keys``, and where."""
+    at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+    return keys[at] == wanted, at
+
+
 class CostTables:
     """``costs[row of the longest known context, symbol]``: bits for each language."""
 
@@ -118,10 +184,9 @@ class CostTables:
                 context = context * self.size + symbols[back]
             found, place = np.unique(context, return_inverse=True)
             cells += len(found) * self.size * count
-            if order and cells * 4 > TABLE_BYTES:
-                break
+            if cells * 4 > TABLE_BYTES:
+                raise TooLarge
             orders.append((found, place))
-        self.order = len(orders) - 1
         # Rows of shorter contexts stay, for contexts that were never met.
         lengths = [len(found) for found, _ in orders]
         self.costs = np.empty((sum(lengths), self.size, count), np.float32)
@@ -156,7 +221,7 @@ class CostTables:
         symbols, places, bounds = padded(texts)
         symbols = self.symbol[symbols].astype(np.int32)
         context = np.zeros(len(places), np.int32)
-        for back in range(self.order, 0, -1):
+        for back in range(ORDER, 0, -1):
             context *= self.size
             context += symbols[places - back]
         cells = self.rows[context].astype(np.int64) * self.size + symbols[places]
@@ -167,10 +232,17 @@ class CostTables:
         return bits
 
 
-def tables(model) -> CostTables:
+def tables(model) -> CostTables | SparseCosts:
     """Built once in each worker process."""
     key, *counts = model.value
-    return kept(("language", key), lambda: CostTables(*counts))
+
+    def build():
+        try:
+            return CostTables(*counts)
+        except TooLarge:
+            return SparseCosts(*counts)
+
+    return kept(("language", key), build)
 
 
 def predict(text: Column, model) -> Column:

@@ -45,7 +45,7 @@ def code_length(text, counts, order=3):
     return total
 
 
-def test_tables_give_exact_code_lengths():
+def test_tables_give_exact_code_lengths(monkeypatch):
     corpus = {"a": ["abab cde", "abc!"], "b": ["xyz xyz", "abé xy"]}
     trees, rows = {}, []
     for number, (lang, texts) in enumerate(corpus.items()):
@@ -64,6 +64,26 @@ def test_tables_give_exact_code_lengths():
     texts = ["abab", "xyz", "", "q!é zzz", "abc xyz" * 50, "日本"]
     want = [[code_length(text, trees[lang]) for lang in corpus] for text in texts]
     assert np.allclose(model.code_lengths(pa.array(texts)), want, rtol=1e-5)
+    sparse = language_id.SparseCosts(tuple(corpus), number, codes, times.astype(float))
+    assert np.allclose(sparse.code_lengths(pa.array(texts)), want, rtol=1e-9)
+    monkeypatch.setattr(language_id, "CELLS", 5)
+    assert np.allclose(sparse.code_lengths(pa.array(texts)), want, rtol=1e-9)
+
+
+def test_many_languages_are_all_learned(documents, monkeypatch):
+    """More languages than dense tables hold, each with words of its own."""
+    monkeypatch.setattr(language_id, "SAMPLE_TOTAL", 2000)
+    draw = random.Random(5)
+    letters = "bcdfghjklmnpqrstvwxz"
+    alphabets = ["".join(draw.sample(letters, 5)) for _ in range(300)]
+    rows = [(10 * i + j, sentence(draw, a, 30), f"l{i}") for i, a in enumerate(alphabets) for j in range(8)]
+    learned = [row for row in rows if zlib.crc32(str(row[0]).encode()) % 3 != 1]
+    found = language_id.identify(documents(rows)).collect()
+    names = {f"l{i}": i for i in range(300)}
+    known = {row[2] for row in learned}
+    right = [row.lang_pred == f"l{row.doc_id // 10}" for row in found if f"l{row.doc_id // 10}" in known]
+    assert len({row.lang_pred for row in found}) > 256 and set(row.lang_pred for row in found) <= set(names)
+    assert sum(right) > 0.85 * len(right)
 
 
 def test_texts_are_padded_apart():
