@@ -2,8 +2,10 @@
 
 Terms of the vocabulary are found in the lower-cased URL by an Aho-Corasick automaton. A
 hit counts if no ASCII letter or digit stands directly before or after it. Strict terms
-weigh as much as the limit, soft terms one each; a URL is rejected when its distinct hits
-reach the limit: one strict term, or several different soft ones.
+weigh as much as the limit, soft terms less, each with a weight of its own (1 by default); a
+URL is rejected when its distinct hits reach the limit: one strict term, or several different
+soft ones. A vocabulary can be given as a table, see ``read_vocabulary``; with ``decode``
+terms are also found where ``%xx`` hides their letters.
 
 Host rules come before that: a rule (host, path) fits its host and all subdomains if the
 URL's path starts with the rule's. The longest rule wins, and its verdict stands.
@@ -15,8 +17,9 @@ null ids and other columns do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,14 +46,47 @@ RULES = (
 )
 
 
+MOST_TERMS = 1_000_000
+
+Weights = tuple[tuple[str, int], ...]
+
+
+def weighted(soft: Sequence[str] | Mapping[str, int], limit: int = SOFT_LIMIT) -> Weights:
+    """Soft terms with their weights, lower-cased; each has to be below the limit."""
+    pairs = soft.items() if isinstance(soft, Mapping) else ((term, 1) for term in soft)
+    made = {term.lower(): weight for term, weight in pairs}
+    wrong = [term for term, weight in made.items() if not 0 < weight < limit]
+    if wrong:
+        raise ValueError(f"weights of soft terms must be from 1 to {limit - 1}: {wrong[:5]}")
+    return tuple(made.items())
+
+
+def read_vocabulary(table: DataFrame, limit: int = SOFT_LIMIT) -> tuple[tuple[str, ...], dict[str, int]]:
+    """Strict terms, and soft terms with their weights, of a table with ``term`` and ``weight``.
+
+    A weight of the limit or more, or none, makes a term strict; a term with several weights
+    has the greatest. Null and empty terms and weights below 1 are left out. The terms go to
+    every task, so a table of over ``MOST_TERMS`` is an error.
+    """
+    term = F.lower(F.col("term"))
+    rows = table.where("term <> '' AND coalesce(weight, 1) >= 1").groupBy(term.alias("term"))
+    rows = rows.agg(F.max(F.coalesce(F.col("weight"), F.lit(limit))).cast("int").alias("weight"))
+    found = rows.limit(MOST_TERMS + 1).collect()
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"a vocabulary may have {MOST_TERMS} terms")
+    strict = sorted(row["term"] for row in found if row["weight"] >= limit)
+    return tuple(strict), {row["term"]: row["weight"] for row in found if row["weight"] < limit}
+
+
 @lru_cache(maxsize=4)
-def automaton(strict: tuple[str, ...], soft: tuple[str, ...]):
+def automaton(strict: tuple[str, ...], soft: Weights):
     import ahocorasick
 
     words = ahocorasick.Automaton()
-    for kind, terms in (("soft", soft), ("strict", strict)):
-        for term in terms:
-            words.add_word(term.lower(), (kind, term.lower()))
+    for term, weight in soft:
+        words.add_word(term, (weight, term))
+    for term in strict:
+        words.add_word(term.lower(), (0, term.lower()))
     if len(words):
         words.make_automaton()
     return words
@@ -60,16 +96,17 @@ def _inside_word(text: str, at: int) -> bool:
     return 0 <= at < len(text) and text[at].isascii() and text[at].isalnum()
 
 
-def hits(text: str, strict: tuple[str, ...], soft: tuple[str, ...]) -> tuple[int, int]:
-    """How many different strict and soft terms stand in ``text`` as words."""
+def hits(text: str, strict: tuple[str, ...], soft: Weights) -> tuple[int, int, int]:
+    """How many different strict and soft terms stand in ``text`` as words, and what the
+    soft ones weigh. A term that is both is strict."""
     words = automaton(strict, soft)
     found = set()
     if len(words):
-        for last, (kind, term) in words.iter(text):
+        for last, (weight, term) in words.iter(text):
             if not _inside_word(text, last + 1) and not _inside_word(text, last - len(term)):
-                found.add((kind, term))
-    strict_hits = sum(kind == "strict" for kind, _ in found)
-    return strict_hits, len(found) - strict_hits
+                found.add((weight, term))
+    strict_hits = sum(weight == 0 for weight, _ in found)
+    return strict_hits, len(found) - strict_hits, sum(weight for weight, _ in found)
 
 
 def lower_ascii(text: Column) -> Column:
@@ -105,33 +142,38 @@ def judge_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
     strict: Sequence[str] = STRICT_TERMS,
-    soft: Sequence[str] = SOFT_TERMS,
+    soft: Sequence[str] | Mapping[str, int] = SOFT_TERMS,
     soft_limit: int = SOFT_LIMIT,
     id_col: str = "page_id",
     url_col: str = "url",
+    decode: bool = False,
 ) -> DataFrame:
     """``id_col``, ``host``, ``path``, ``rule``, ``verdict``, ``strict_hits``, ``soft_hits``
     and ``weight`` of each row. One pass, no shuffle."""
     kind = pages.schema[id_col].dataType.simpleString()
-    strict, soft = tuple(strict), tuple(soft)
+    strict, soft = tuple(strict), weighted(soft, soft_limit)
     slim = with_host_path(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")))
     slim = slim.withColumn("text", lower_ascii(F.coalesce("url", F.lit(""))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [hits(text, strict, soft) for text in batch.column("text").to_pylist()]
+            urls = batch.column("text").to_pylist()
+            if decode:
+                urls = [unquote(url, errors="replace").lower() for url in urls]
+            found = [hits(url, strict, soft) for url in urls]
             yield pa.record_batch(
                 {
                     **{name: batch.column(name) for name in ("id", "host", "path")},
-                    "strict_hits": pa.array([a for a, _ in found], pa.int32()),
-                    "soft_hits": pa.array([b for _, b in found], pa.int32()),
+                    "strict_hits": pa.array([x[0] for x in found], pa.int32()),
+                    "soft_hits": pa.array([x[1] for x in found], pa.int32()),
+                    "soft_weight": pa.array([x[2] for x in found], pa.int32()),
                 }
             )
 
     read = slim.select("id", "host", "path", "text").mapInArrow(
-        run, f"id {kind}, host string, path string, strict_hits int, soft_hits int"
+        run, f"id {kind}, host string, path string, strict_hits int, soft_hits int, soft_weight int"
     )
-    weight = F.col("strict_hits") * soft_limit + F.col("soft_hits")
+    weight = F.col("strict_hits") * soft_limit + F.col("soft_weight")
     judged = read.withColumn("weight", weight).withColumn("_rule", best_rule(F.col("host"), F.col("path"), rules))
     by_words = F.when(F.col("weight") >= soft_limit, "block").otherwise("allow")
     return judged.select(

@@ -162,3 +162,26 @@ def test_terms_are_split_by_the_kth_best():
             assert len(seen) - all_terms < all_terms or (query != 0).sum() < 3
         assert postings.search(query, at, 5, want[0][0] + 1) == []
         seen.clear()
+
+
+def test_vocabulary_of_a_table(spark):
+    terms = [("Casino", 2), ("poker", 2), ("free", 1), ("free", 1), ("evil", None), ("worse", 9), ("", 5), (None, 5),
+             ("never", 0), ("bet", 1), ("bet", 3)]
+    table = spark.createDataFrame(terms, "term string, weight int")
+    strict, soft = url_filter.read_vocabulary(table, 4)
+    assert strict == ("evil", "worse") and soft == {"casino": 2, "poker": 2, "free": 1, "bet": 3}
+    urls = ["http://a.b/casino-poker", "http://a.b/casino/free", "http://a.b/casino/casino", "http://a.b/EVIL",
+            "http://a.b/bet-free", "http://a.b/bets-free", "http://a.b/p%6Fker/%43asino", "http://a.b/%E2%82/evil", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+
+    def verdicts(**more):
+        found = url_filter.judge_urls(pages, (), strict, soft, 4, **more).collect()
+        return {row.page_id: (row.verdict, row.weight) for row in found}
+
+    want = {0: ("block", 4), 1: ("allow", 3), 2: ("allow", 2), 3: ("block", 4), 4: ("block", 4), 5: ("allow", 1),
+            6: ("allow", 0), 7: ("block", 4), 8: ("allow", 0)}
+    assert verdicts() == want
+    assert verdicts(decode=True) == want | {6: ("block", 4)}
+    with pytest.raises(ValueError):
+        url_filter.judge_urls(pages, soft={"x": 4}, soft_limit=4)
+    assert url_filter.read_vocabulary(table.limit(0), 4) == ((), {})
