@@ -7,7 +7,9 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from test_conversations import plain
 from test_documents import roots, slow_fingerprint
+from test_language_model import check_base
 from tokenizers import Tokenizer
 
 from roadpulse.llm import registry
@@ -25,6 +27,12 @@ LAYOUTS = {
     " sequence_id bigint, offset bigint",
     "op9": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op10": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op11": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint,"
+    " base_score double, score double",
+    "op12": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint,"
+    " positive_score bigint, negative_score bigint",
+    "op13": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint,"
+    " illegal bigint, cost bigint, audit string, repaired_sha256 string",
 }
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -181,6 +189,19 @@ def test_counts(answers, texts):
     assert len(found) == len(texts)
 
 
+def test_model_scores(answers, texts):
+    _, found = answers("op11")
+    check_base(found, list(texts.items()))
+    held = [row for row in found if row.held_out]
+    assert held and sum(row.score for row in held) > sum(row.base_score for row in held)
+
+
+def test_repairs(answers, tables):
+    _, found = answers("op13")
+    rows = tables.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    assert sorted(map(tuple, found), key=str) == plain(rows)
+
+
 def test_pipeline(spark, texts):
     found = registry.queries()["pipeline"](spark, SF_DIR).collect()
     assert {row.doc_id for row in found} < set(texts) and all(row.length <= 2048 for row in found)
