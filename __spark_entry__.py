@@ -403,7 +403,9 @@ def stream_quality(spark: SparkSession, sf: str) -> DataFrame:
     ledger = QualityLedger(spark, ledger_path)
     spark.streams.addListener(ledger)
     try:
-        watched = clean.observe_quality(sources.stream_fcd(spark, source, -(-parts // 3)), "quality")
+        watched = clean.observe_quality(
+            sources.stream_fcd(spark, source, -(-parts // 3)), "quality", reasons=True
+        )
         state = scratch_path(spark, "quality-state")
         query = clean.store_split(watched, scratch_path(spark, "stream-split"), state, jobs.DRAIN)
         query.awaitTermination()

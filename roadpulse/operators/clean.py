@@ -63,16 +63,18 @@ def stored_good(path: str) -> str:
 REASONS = ("field count", *EVENT_COLUMNS, "array")
 
 
-def observe_quality(parsed: DataFrame, observation: Observation | str) -> DataFrame:
-    """Count good and rejected records, and the rejected ones by reason, as a side effect of
-    the pass that reads them."""
-    reasons = (F.count_if(F.col("reject") == reason).alias(reason) for reason in REASONS)
-    return parsed.observe(
-        observation,
+def observe_quality(
+    parsed: DataFrame, observation: Observation | str, reasons: bool = False
+) -> DataFrame:
+    """Count good and rejected records as a side effect of the pass that reads them; with
+    ``reasons`` also the rejected ones by reason."""
+    counts = [
         F.count_if(F.col("reject").isNull()).alias("good"),
         F.count_if(F.col("reject").isNotNull()).alias("rejected"),
-        *reasons,
-    )
+    ]
+    if reasons:
+        counts += [F.count_if(F.col("reject") == reason).alias(reason) for reason in REASONS]
+    return parsed.observe(observation, *counts)
 
 
 def reject_counts(parsed: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ LAYOUT = "run string, batch bigint, reject string, records bigint"
 
 
 class QualityLedger(StreamingQueryListener):
-    """Writes what ``observe_quality`` has counted under ``name`` in each micro-batch to a
-    table at ``path``: one row for the good records (``reject`` is NULL) and one for each reason
+    """Writes what ``observe_quality`` (with reasons) has counted under ``name`` in each
+    micro-batch to a table at ``path``: one row for the good records (``reject`` is NULL) and one for each reason
     that occurs. A batch that is run again after a failure replaces its rows.
 
     The counts come with the progress of a query, so they cost no further pass. Register it

@@ -303,7 +303,7 @@ def test_quality_of_each_batch(spark, tmp_path, drop_file):
     spark.streams.addListener(ledger)
     try:
         for _ in range(2):
-            watched = observe_quality(stream_fcd(spark, str(source), 1), "quality")
+            watched = observe_quality(stream_fcd(spark, str(source), 1), "quality", reasons=True)
             query = store_split(watched, str(tmp_path / "out"), str(tmp_path / "state"), jobs.DRAIN)
             query.awaitTermination()
             ledger.wait(query)
