@@ -15,7 +15,8 @@ vocabulary; all other words of a document are one unknown word.
    have reached. So no count keeps a passage from an item, and what is found does not depend on
    the counts; they save alignments.
 3. A pair is left out only where the words in common, each as often as both have it, are
-   too few for the score. An item of L words is found if its score is that of
+   too few for the score, and a seed only where the best run of such words around it is. An
+   item of L words is found if its score is that of
    ``needed_words(L)`` matches: 0.4 of the item, at least 7 words and at most 30, and all
    words of an item of up to 7.
 
@@ -120,6 +121,11 @@ class Vocabulary:
         """How often a passage has each word; zero between calls."""
         return np.zeros(len(self.numbers) + 1, np.int64)
 
+    @cached_property
+    def member(self) -> np.ndarray:
+        """Words of an item; false between calls."""
+        return np.zeros(len(self.numbers) + 1, bool)
+
     def shared(self, codes: np.ndarray, items: np.ndarray) -> np.ndarray:
         """Those of the items that have enough words in common with a passage."""
         there, times = np.unique(codes, return_counts=True)
@@ -155,6 +161,15 @@ class Vocabulary:
     def _aligned(self, codes, item, inner, outer) -> tuple[int, int, int] | None:
         """Score and span of the first seed at which the item scores enough."""
         needed, tried = MATCH * needed_words(len(item)), []
+        # A word of the passage adds 2 at most if the item has it, and costs 1 otherwise: the
+        # best run of words around a seed bounds every alignment through it.
+        self.member[item] = True
+        gains = np.where(self.member[codes], MATCH, OTHER)
+        self.member[item] = False
+        sums = np.concatenate([[0], np.cumsum(gains)])
+        most = np.maximum.accumulate(sums[::-1])[::-1]
+        bound = most[outer + 1] - np.minimum.accumulate(sums)[outer]
+        inner, outer = inner[bound >= needed], outer[bound >= needed]
         first = np.maximum(outer - 3 * inner, 0)
         last = np.minimum(outer + 3 * (len(item) - inner), len(codes))
         for a, b in zip(first.tolist(), last.tolist()):
