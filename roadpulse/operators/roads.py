@@ -7,8 +7,11 @@ exploded, grouped or sorted.
 
 Crowded cells are divided, again and again, and on the way a segment is dropped
 from a cell where another one is nearer to every point of it. That is exact: no number
-of candidates is cut off. Cells that stay crowded at the last level have the candidates
-beyond the slots searched in their array.
+of candidates is cut off. As roads cross, the parts of a dense network grow faster than
+the network, so a large index is divided only while it stays about as long as the table of
+roads by cells. A cell that stays crowded lists for each part of it the places of the
+candidates that can be nearest there, a few bytes each; an event compares those of its part,
+and those beyond the slots in an array.
 
 The index is stored when it is built. Matching is two joins at most, whatever the roads
 look like: one with the cells that were divided, which tells how deep an event has to
@@ -40,20 +43,25 @@ SLOTS = 16  # candidates compared in generated code; a cell with more is split
 SPLIT = 4  # a crowded cell becomes SPLIT x SPLIT cells; a power of 2
 DEEPEST = 4  # levels of splitting
 MOST_GROWTH = 16  # splitting stops before the index has so many times its first entries
+LARGE_GROWTH = 2  # the same where the index would have more entries than a small one
+SMALL_ENTRIES = 1 << 20
 BROADCAST_BYTES = 128 << 20
 MOST_HOT = 10_000  # hot cells that are told apart
 HOT_EVENTS = 100  # a cell with fewer events is never hot
 STREAM_SALTS = 32
+STREAM_COPIES_BYTES = 512 << 20  # of all copies that a micro-batch shuffles
 NOWHERE = -(1 << 30)  # cell numbers below it belong to no cell
 SLACK = 1e-6  # in cells; far above the rounding of the cell arithmetic
 
 # Size of a packed candidate next to its id: five doubles and the row's own overhead.
 CANDIDATE_BYTES = 96
 SPLIT_BYTES = 64
+PLACES_BYTES = 512  # the lists of a crowded cell, without their places
 
 WORLD = Box(west=-360.0, east=360.0, south=-90.0, north=90.0)
 CELL = ["level", "ix", "iy"]
-CELL_ENTRY = ["ix", "iy", "segment_id"]
+SHAPE = ["x1", "y1", "x2", "y2"]
+PART = ["ix", "iy", "segment_id"]
 WORD = 64
 
 
@@ -61,7 +69,7 @@ WORD = 64
 class RoadIndex:
     """Road segments ready for lookup."""
 
-    cells: DataFrame  # level, ix, iy, candidates
+    cells: DataFrame  # level, ix, iy, candidates, places
     # Divided cells of the first level, and bit fields of those divided again below them.
     tops: DataFrame | None = field(repr=False)
     depths: int  # levels of divided cells
@@ -86,17 +94,22 @@ def build_road_index(
 
     The spread table is stored once and measured; there is one more round for each level
     of splitting where the network is crowded. Splitting ends at ``deepest`` levels or
-    where it would make the index ``MOST_GROWTH`` times as long; cells are then kept with
-    all their candidates. The tables are in the shared scratch folder.
+    where it would make the index ``MOST_GROWTH`` times as long, ``LARGE_GROWTH`` times
+    beyond ``SMALL_ENTRIES``; cells are then kept with all their candidates. The parts are
+    counted before they are stored. The tables are in the shared scratch folder.
     """
     box = box or WORLD
     size = cell_size or max_dist
     # Cell numbers stay 32-bit integers at every level.
     deepest = max(0, min(deepest, int(math.log((1 << 31) * size / 720.0, SPLIT))))
 
-    level = _spread(_distinct_shapes(_near_box(segments, box, max_dist)), size, max_dist, box)
-    level = materialize(level, "road-cells", *CELL_ENTRY)
+    # Even shares of the segments, which are few beside their cells.
+    tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shapes = _distinct_shapes(_near_box(segments, box, max_dist))
+    shapes = shapes.repartition(tasks, F.xxhash64(*SHAPE))
+    level = materialize(_spread(shapes, size, max_dist, box), "road-cells")
     entries = level.count()
+    most = max(LARGE_GROWTH * entries, min(MOST_GROWTH * entries, SMALL_ENTRIES), 1)
     leaves, splits, split_cells, kept = [], [], 0, 0
     size_bytes, widest = 0, 0
     for depth in range(deepest + 1):
@@ -107,16 +120,20 @@ def build_road_index(
         )
         held = materialize(held, "road-cell-sizes")
         crowded = held.where(F.col("n") > slots)
-        parts, some = None, depth < deepest and crowded.limit(1).count() > 0
+        number = crowded.count() if depth < deepest else 0
+        parts, some, few = None, number > 0, number * SPLIT_BYTES <= BROADCAST_BYTES
         if some:
             # Only what can be nearest somewhere in its cell goes down.
-            best = crowded.select("ix", "iy", "best")
+            best = _build_side(crowded.select("ix", "iy", "best"), few)
             hot = level.join(best, ["ix", "iy"]).where(F.col("floor") <= F.col("best"))
             parts = _divide(hot, size / SPLIT ** (depth + 1), max_dist)
-            parts = materialize(parts, "road-cells", *CELL_ENTRY)
-            some = kept + parts.count() <= MOST_GROWTH * max(1, entries)
+            some = kept + parts.count() <= most
+        if some:
+            # Beside a broadcast the parts are spread as evenly as the level.
+            parts = materialize(parts, "road-cells", *(() if few else PART))
         fits = F.col("n") <= slots if some else F.lit(True)
-        packed = F.col("n") * CANDIDATE_BYTES + F.col("id_chars") * 4
+        lists = F.when(F.col("n") > slots, PLACES_BYTES + 8 * F.col("n")).otherwise(0)
+        packed = F.col("n") * CANDIDATE_BYTES + F.col("id_chars") * 4 + lists
         leaf_bytes, leaf_widest, leaf_entries, crowded_cells = held.agg(
             F.sum(F.when(fits, packed)),
             F.max(F.when(fits, F.col("n"))),
@@ -127,15 +144,20 @@ def build_road_index(
         widest = max(widest, leaf_widest or 0)
         kept += leaf_entries or 0
         if not some:
-            leaves.append(_leaf(level, depth))
+            marked = _mark_parts(level, size / SPLIT ** (depth + 1), max_dist, slots)
+            leaves.append(_leaf(marked, depth))
             break
-        leaves.append(_leaf(level.join(crowded, ["ix", "iy"], "left_anti"), depth))
+        rest = level.join(_build_side(crowded, few), ["ix", "iy"], "left_anti")
+        leaves.append(_leaf(rest, depth))
         splits.append(crowded.select("ix", "iy"))
         split_cells += crowded_cells
         level = parts
 
     return RoadIndex(
-        cells=materialize(_pack(reduce(DataFrame.unionByName, leaves)), "road-index"),
+        cells=materialize(
+            _with_places(_pack(reduce(DataFrame.unionByName, leaves)), slots),
+            "road-index",
+        ),
         tops=materialize(_tops(splits), "road-tops") if splits else None,
         depths=len(splits),
         cell_size=size,
@@ -202,7 +224,9 @@ def match_roads(
     are not shuffled. A larger one is joined by shuffle on the cell. There a batch first
     measures which cells are hot; only their rows of the index are copied and only their
     events divided over the copies. A stream, whose hot cells to come are not known, copies
-    all cells ``STREAM_SALTS`` times. With ``salts`` all cells are copied so many times.
+    all cells up to ``STREAM_SALTS`` times, as often as the copies stay within
+    ``STREAM_COPIES_BYTES``: each micro-batch shuffles them. With ``salts`` all cells are
+    copied so many times.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, got {how!r}")
@@ -220,7 +244,7 @@ def match_roads(
     if not small:
         hot = F.lit(True)
         if salts is None and events.isStreaming:
-            salts = STREAM_SALTS
+            salts = max(1, min(STREAM_SALTS, STREAM_COPIES_BYTES // max(1, index.size_bytes)))
         elif salts is None:
             heavy, salts = hot_cells(located, keys, index)
             hot = F.xxhash64(*keys).isin(heavy) if heavy else F.lit(False)
@@ -232,9 +256,12 @@ def match_roads(
             cells = cells.withColumn("_salt", F.explode(copies))
             keys = [*keys, "_salt"]
 
-    pack = "_candidates"
+    pack, given = "_candidates", []
     part = cells.select(*keys, F.col("candidates").alias(pack))
-    located = located.join(_build_side(part, small), keys, how).select(*names, pack)
+    if index.widest > index.slots:
+        part = cells.select(*part.columns[:-1], F.col("candidates").alias(pack), "places")
+        given = [F.get("places", F.col("_part")).alias("_places")]
+    located = located.join(_build_side(part, small), keys, how).select(*names, pack, *given)
     located, found = _nearest_of_slots(located, names, pack, index)
     # The result leaves through a generator: a filter on it would be pushed below the
     # search and run the search twice.
@@ -274,21 +301,32 @@ def _nearest_of_slots(
     """Nearest candidate, one column per slot so that it is all generated code.
 
     Candidates are packed in order of id, so the first of equals has the smallest id.
-    A cell that kept more candidates than slots has the others searched in its array.
+    A cell with more candidates than slots has those of the event's part listed; what the
+    list has beyond the slots is searched in an array.
     """
     lon, lat = F.col("lon"), F.col("lat")
+    lists = index.widest > index.slots
+
+    def candidate(number: Column) -> Column:
+        if not lists:
+            return F.get(pack, number)
+        listed = F.get("_places", number)
+        return F.get(pack, F.when(F.col("_places").isNull(), number).otherwise(listed))
+
     slots = [f"_slot{i}" for i in range(max(1, min(index.slots, index.widest)))]
     distances = {
-        slot: squared_distance(lon, lat, F.get(pack, F.lit(i))) for i, slot in enumerate(slots)
+        slot: squared_distance(lon, lat, candidate(F.lit(i))) for i, slot in enumerate(slots)
     }
     located = located.withColumns(distances)
     smallest = F.least(*slots) if len(slots) > 1 else F.col(slots[0])
-    located = located.select(*names, pack, *slots, smallest.alias("_d2"))
+    kept = [pack, "_places"] if lists else [pack]
+    located = located.select(*names, *kept, *slots, smallest.alias("_d2"))
     place = F.coalesce(*(F.when(F.col(s) == F.col("_d2"), F.lit(i)) for i, s in enumerate(slots)))
-    best = F.struct("_d2", F.get(pack, place)["segment_id"].alias("segment_id"))
-    if index.widest > index.slots:
-        others = F.slice(pack, index.slots + 1, index.widest)
-        more = F.when(F.size(pack) > index.slots, _nearest_of_all(others))
+    best = F.struct("_d2", candidate(place)["segment_id"].alias("segment_id"))
+    if lists:
+        others = F.slice("_places", index.slots + 1, index.widest)
+        others = F.transform(others, lambda number: F.get(pack, number))
+        more = F.when(F.size("_places") > index.slots, _nearest_of_all(others))
         return located, _in_reach_of(index, F.array_min(F.array(best, more)))
     near = F.col("_d2") <= index.max_dist * index.max_dist
     return located, F.when(near, F.array(best))
@@ -328,8 +366,15 @@ def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFr
         # A factor of a power of two is exact: cells of all levels nest.
         return F.when(ok, F.floor(steps * float(SPLIT**depth)).cast("int")).otherwise(nowhere)
 
+    def part(scale: Column) -> Column:
+        """Number of the part of its cell in which an event is, as ``_with_places`` counts."""
+        dx = F.floor(u * scale * SPLIT) - F.floor(u * scale) * SPLIT
+        dy = F.floor(v * scale * SPLIT) - F.floor(v * scale) * SPLIT
+        return F.when(ok, (dx * SPLIT + dy).cast("int"))
+
     if not index.depths:
-        return events.withColumns({"_ix": number(u, 0), "_iy": number(v, 0)})
+        parts = {"_part": part(F.lit(1.0))} if index.widest > index.slots else {}
+        return events.withColumns({"_ix": number(u, 0), "_iy": number(v, 0), **parts})
 
     fields = [f"bits{depth}" for depth in range(1, index.depths)]
     tops = index.tops.select(
@@ -345,8 +390,10 @@ def _locate(events: DataFrame, index: RoadIndex, broadcast_bytes: int) -> DataFr
         bit = F.call_function("shiftright", word, (code % WORD).cast("int")).bitwiseAND(F.lit(1))
         level = level + F.coalesce(bit, F.lit(0)).cast("int")
     scale = F.pow(F.lit(float(SPLIT)), F.col("_level"))
+    parts = {"_part": part(scale)} if index.widest > index.slots else {}
     return events.withColumn("_level", level).withColumns(
         {
+            **parts,
             "_ix": F.when(ok, F.floor(u * scale).cast("int")).otherwise(nowhere),
             "_iy": F.when(ok, F.floor(v * scale).cast("int")).otherwise(nowhere),
         }
@@ -459,11 +506,90 @@ def _divide(crowded: DataFrame, size: float, max_dist: float) -> DataFrame:
     return _in_reach(cells, size, max_dist, F.col("floor") <= F.col("best")).drop("best")
 
 
+def _mark_parts(level: DataFrame, size: float, max_dist: float, slots: int) -> DataFrame:
+    """Add ``parts`` to entries: a bit field of those parts, of ``size``, of their cell where
+    the segment can be nearest. Entries without one are dropped; cells with no more entries
+    than slots are left as they are. Bounds are as in ``_in_reach``."""
+    half = size * (math.sqrt(0.5) + SLACK)
+    cells = level.select("ix", "iy", "segment_id", "shape", *_part_steps(size))
+    far, cells = _part_distances(cells, ["ix", "iy", "segment_id", "shape"], size)
+    reach = [
+        F.pow(F.least(F.sqrt(F.min(name)) + 2 * half, F.lit(half + max_dist)), 2).alias(f"_most{name}")
+        for name in far
+    ]
+    most = cells.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("_n"), *reach)
+    most = materialize(most.where(F.col("_n") > slots).drop("_n"), "road-cell-parts")
+    few = most.count() * (SPLIT_BYTES + 8 * len(far)) <= BROADCAST_BYTES
+    crowded = _build_side(most, few)
+    joined = cells.join(crowded, ["ix", "iy"])
+    tests = [F.col(name) <= F.col(f"_most{name}") for name in far]
+    parts = reduce(Column.bitwiseOR, (F.when(t, 1 << k).otherwise(0) for k, t in enumerate(tests)))
+    marked = joined.select("ix", "iy", "segment_id", "shape", parts.alias("parts"))
+    marked = keep_if(marked, F.col("parts") != 0, marked.columns)
+    rest = level.join(crowded, ["ix", "iy"], "left_anti")
+    return marked.unionByName(rest.select("ix", "iy", "segment_id", "shape", F.lit(-1).alias("parts")))
+
+
+def _part_steps(size: float) -> list[Column]:
+    """What the distances of a segment from the middles of all parts of a cell share. The
+    columns are never null, which makes for short code: Java does not compile long methods."""
+    x1, y1, dx, dy, len2 = (F.col(f"shape.{name}") for name in ("x1", "y1", "dx", "dy", "len2"))
+    px = F.col("ix") * (SPLIT * size) - x1 * LON_SCALE
+    py = F.col("iy") * (SPLIT * size) - y1
+    columns = {"_px": px, "_py": py, "_dx": dx, "_dy": dy, "_ax": dx / len2, "_ay": dy / len2}
+    return [F.coalesce(value, F.lit(0.0)).alias(name) for name, value in columns.items()]
+
+
+def _part_distances(
+    cells: DataFrame, names: list[str], size: float
+) -> tuple[list[str], DataFrame]:
+    """Columns of the squared distances from the middles of the parts, in the order of their
+    numbers."""
+    steps = [(step + 0.5) * size for step in range(SPLIT)]
+    xs = {f"_x{i}": F.col("_px") + step for i, step in enumerate(steps)}
+    ys = {f"_y{i}": F.col("_py") + step for i, step in enumerate(steps)}
+    shared = {"_dx", "_dy", "_ax", "_ay"}
+    cells = cells.select(*names, *sorted(shared), *(c.alias(n) for n, c in (xs | ys).items()))
+    ax = {f"_a{x}": F.col(x) * F.col("_ax") for x in xs}
+    ay = {f"_a{y}": F.col(y) * F.col("_ay") for y in ys}
+    cells = cells.select("*", *(c.alias(n) for n, c in (ax | ay).items()))
+    along = {f"_t{x}{y}": F.col(f"_a{x}") + F.col(f"_a{y}") for x in xs for y in ys}
+    cells = cells.select("*", *(_within(c).alias(n) for n, c in along.items()))
+    far = {}
+    for x in xs:
+        for y in ys:
+            t = F.col(f"_t{x}{y}")
+            ex, ey = F.col(x) - t * F.col("_dx"), F.col(y) - t * F.col("_dy")
+            far[f"_far{x}{y}"] = ex * ex + ey * ey
+    return list(far), cells.select(*names, *(d2.alias(name) for name, d2 in far.items()))
+
+
+def _within(along: Column) -> Column:
+    return F.when(along < 0.0, 0.0).when(along > 1.0, 1.0).otherwise(along)
+
+
 def _leaf(entries: DataFrame, depth: int) -> DataFrame:
-    return entries.select(F.lit(depth).alias("level"), "ix", "iy", "segment_id", "shape")
+    parts = F.col("parts") if "parts" in entries.columns else F.lit(-1)
+    columns = ["ix", "iy", "segment_id", "shape", parts.alias("parts")]
+    return entries.select(F.lit(depth).alias("level"), *columns)
 
 
 def _pack(leaves: DataFrame) -> DataFrame:
-    candidate = F.struct("segment_id", "shape.*")
+    candidate = F.struct("segment_id", "shape.*", "parts")
     packed = F.sort_array(F.collect_list(candidate))
     return leaves.groupBy(*CELL).agg(packed.alias("candidates"))
+
+
+def _with_places(cells: DataFrame, slots: int) -> DataFrame:
+    """Add ``places`` to cells with more candidates than slots: for each of their parts the
+    places of the candidates that can be nearest there, in order. The shapes are kept once
+    for all parts."""
+
+    def listed(part: Column) -> Column:
+        bits = F.col("candidates.parts")
+        every = F.transform(bits, lambda b, i: F.when(b.bitwiseAND(part) != 0, i))
+        return F.array_compact(every)
+
+    masks = F.array(*(F.lit(1 << part) for part in range(SPLIT * SPLIT)))
+    crowded = F.size("candidates") > slots
+    return cells.select(*CELL, "candidates", F.when(crowded, F.transform(masks, listed)).alias("places"))
