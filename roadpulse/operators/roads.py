@@ -5,9 +5,9 @@ one cell and the match is a plain equi-join without state: one row in, at most o
 out, in batch and in streams. The side that grows with traffic (events) is never
 exploded, grouped or sorted.
 
-Crowded cells are divided, again and again, and on the way a segment is dropped
-from a cell where another one is nearer to every point of it. That is exact: no number
-of candidates is cut off. As roads cross, the parts of a dense network grow faster than
+Crowded cells are divided, again and again, and a segment goes down only into those parts of
+a cell where no other one is nearer to every point. That is exact: no number of candidates
+is cut off. As roads cross, the parts of a dense network grow faster than
 the network, so a large index is divided only while it stays about as long as the table of
 roads by cells. A cell that stays crowded lists for each part of it the places of the
 candidates that can be nearest there, a few bytes each; an event compares those of its part,
@@ -95,8 +95,9 @@ def build_road_index(
     The spread table is stored once and measured; there is one more round for each level
     of splitting where the network is crowded. Splitting ends at ``deepest`` levels or
     where it would make the index ``MOST_GROWTH`` times as long, ``LARGE_GROWTH`` times
-    beyond ``SMALL_ENTRIES``; cells are then kept with all their candidates. The parts are
-    counted before they are stored. The tables are in the shared scratch folder.
+    beyond ``SMALL_ENTRIES``; cells are then kept with all their candidates. Parts are stored
+    for a try only if they are no more than ``LARGE_GROWTH`` times the spread table or that
+    bound. The tables are in the shared scratch folder.
     """
     box = box or WORLD
     size = cell_size or max_dist
@@ -108,50 +109,55 @@ def build_road_index(
     shapes = _distinct_shapes(_near_box(segments, box, max_dist))
     shapes = shapes.repartition(tasks, F.xxhash64(*SHAPE))
     level = materialize(_spread(shapes, size, max_dist, box), "road-cells")
-    entries = level.count()
-    most = max(LARGE_GROWTH * entries, min(MOST_GROWTH * entries, SMALL_ENTRIES), 1)
-    leaves, splits, split_cells, kept = [], [], 0, 0
-    size_bytes, widest = 0, 0
+    spread = level.count()
+    leaves, splits, split_cells, kept, most = [], [], 0, 0, 0
+    size_bytes, widest, above = 0, 0, None
     for depth in range(deepest + 1):
         held = level.groupBy("ix", "iy").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("ceiling").alias("best"),
-            F.sum(F.length("segment_id")).alias("id_chars"),
+            F.count(F.lit(1)).alias("n"), F.sum(F.length("segment_id")).alias("id_chars")
         )
         held = materialize(held, "road-cell-sizes")
-        crowded = held.where(F.col("n") > slots)
-        number = crowded.count() if depth < deepest else 0
-        parts, some, few = None, number > 0, number * SPLIT_BYTES <= BROADCAST_BYTES
-        if some:
-            # Only what can be nearest somewhere in its cell goes down.
-            best = _build_side(crowded.select("ix", "iy", "best"), few)
-            hot = level.join(best, ["ix", "iy"]).where(F.col("floor") <= F.col("best"))
-            parts = _divide(hot, size / SPLIT ** (depth + 1), max_dist)
-            some = kept + parts.count() <= most
-        if some:
-            # Beside a broadcast the parts are spread as evenly as the level.
-            parts = materialize(parts, "road-cells", *(() if few else PART))
-        fits = F.col("n") <= slots if some else F.lit(True)
-        lists = F.when(F.col("n") > slots, PLACES_BYTES + 8 * F.col("n")).otherwise(0)
-        packed = F.col("n") * CANDIDATE_BYTES + F.col("id_chars") * 4 + lists
-        leaf_bytes, leaf_widest, leaf_entries, crowded_cells = held.agg(
-            F.sum(F.when(fits, packed)),
-            F.max(F.when(fits, F.col("n"))),
-            F.sum(F.when(fits, F.col("n"))),
-            F.count_if(~fits),
-        ).first()
-        size_bytes += leaf_bytes or 0
-        widest = max(widest, leaf_widest or 0)
-        kept += leaf_entries or 0
-        if not some:
-            marked = _mark_parts(level, size / SPLIT ** (depth + 1), max_dist, slots)
+        crowded = held.where(F.col("n") > slots).select("ix", "iy")
+        number = crowded.count()
+        few = number * SPLIT_BYTES <= BROADCAST_BYTES
+        marked, rest, sizes = None, level, [_cell_sizes(held.where(F.col("n") <= slots), slots)]
+        if number:
+            # Only what can be nearest somewhere in its cell is kept, and goes down only into
+            # the parts where it can.
+            marked = _mark_parts(level, crowded, few, size / SPLIT ** (depth + 1), max_dist)
+            marked = materialize(marked, "road-cell-parts")
+            rest = level.join(_build_side(crowded, few), ["ix", "iy"], "left_anti")
+            left = marked.groupBy("ix", "iy").agg(
+                F.count(F.lit(1)).alias("n"),
+                F.sum(F.length("segment_id")).alias("id_chars"),
+                F.sum(F.bit_count("parts")).alias("places"),
+            )
+            sizes.append(_cell_sizes(left, slots))
+        leaf = _totals(sizes[0])
+        hot = _totals(sizes[-1]) if number else (0, 0, 0, 0)
+        here = leaf[2] + hot[2]
+        if above is None:
+            most = max(LARGE_GROWTH * here, min(MOST_GROWTH * here, SMALL_ENTRIES), 1)
+        elif kept + here > most:
+            # The cells above stay as they are.
+            splits.pop()
+            split_cells, depth, marked, hot = above
             leaves.append(_leaf(marked, depth))
+            size_bytes, widest = size_bytes + hot[0], max(widest, hot[1])
             break
-        rest = level.join(_build_side(crowded, few), ["ix", "iy"], "left_anti")
+        size_bytes, widest, kept = size_bytes + leaf[0], max(widest, leaf[1]), kept + leaf[2]
         leaves.append(_leaf(rest, depth))
-        splits.append(crowded.select("ix", "iy"))
-        split_cells += crowded_cells
-        level = parts
+        if not number:
+            break
+        if depth == deepest or kept + hot[3] > max(most, LARGE_GROWTH * spread):
+            leaves.append(_leaf(marked, depth))
+            size_bytes, widest = size_bytes + hot[0], max(widest, hot[1])
+            break
+        above = split_cells, depth, marked, hot
+        splits.append(crowded)
+        split_cells += number
+        # The parts are spread as evenly as the level.
+        level = materialize(_divide(marked), "road-cells", *PART)
 
     return RoadIndex(
         cells=materialize(
@@ -170,6 +176,20 @@ def build_road_index(
     )
 
 
+def _cell_sizes(cells: DataFrame, slots: int) -> DataFrame:
+    """Entries, bytes when packed and places of cells."""
+    places = F.col("places") if "places" in cells.columns else F.lit(0)
+    lists = F.when(F.col("n") > slots, PLACES_BYTES + 4 * places).otherwise(0)
+    packed = F.col("n") * CANDIDATE_BYTES + F.col("id_chars") * 4 + lists
+    return cells.select("n", packed.alias("bytes"), places.cast("bigint").alias("places"))
+
+
+def _totals(cells: DataFrame) -> tuple[int, int, int, int]:
+    """Bytes, most entries of a cell, entries and places."""
+    totals = cells.agg(F.sum("bytes"), F.max("n"), F.sum("n"), F.sum("places")).first()
+    return tuple(value or 0 for value in totals)
+
+
 def _words(depth: int) -> int:
     """Words of the bit field of the cells at ``depth`` in one of the first level."""
     return max(1, SPLIT ** (2 * depth) // WORD)
@@ -471,63 +491,59 @@ def _unit(value: Column) -> Column:
     return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
 
 
-def _in_reach(
-    cells: DataFrame, size: float, max_dist: float, limit: Column | None = None
-) -> DataFrame:
-    """Bounds of the distance between a segment and the points of its cell.
-
-    ``floor`` is a lower bound and ``ceiling`` an upper one: the distance of the cell's
-    middle, less or more half a diagonal.
-    """
+def _in_reach(cells: DataFrame, size: float, max_dist: float) -> DataFrame:
+    """Cells of a segment that may hold points in its reach: the distance of the cell's middle,
+    less half a diagonal, is within it."""
     lon = (F.col("ix") + 0.5) * (size / LON_SCALE)
     lat = (F.col("iy") + 0.5) * size
     half = size * (math.sqrt(0.5) + SLACK)
-    limit = F.lit(True) if limit is None else limit
-    bounded = cells.withColumn("_mid", F.sqrt(squared_distance(lon, lat, F.col("shape"))))
-    bounded = bounded.withColumns({"floor": F.col("_mid") - half, "ceiling": F.col("_mid") + half})
-    kept = [name for name in bounded.columns if name != "_mid"]
-    return keep_if(bounded, (F.col("floor") <= max_dist) & limit, kept)
+    middle = F.sqrt(squared_distance(lon, lat, F.col("shape")))
+    return keep_if(cells.withColumn("_mid", middle), F.col("_mid") - half <= max_dist, cells.columns)
 
 
-def _divide(crowded: DataFrame, size: float, max_dist: float) -> DataFrame:
+def _divide(marked: DataFrame) -> DataFrame:
     """The parts of each crowded cell, each with the segments that can be nearest there."""
     steps = range(SPLIT)
     parts = F.array(
         *(
-            F.struct(
-                (F.col("ix") * SPLIT + dx).alias("_ix"), (F.col("iy") * SPLIT + dy).alias("_iy")
+            F.when(
+                F.col("parts").bitwiseAND(F.lit(1 << (dx * SPLIT + dy))) != 0,
+                F.struct(
+                    (F.col("ix") * SPLIT + dx).alias("_ix"), (F.col("iy") * SPLIT + dy).alias("_iy")
+                ),
             )
             for dx in steps
             for dy in steps
         )
     )
-    cells = crowded.select("segment_id", "shape", "best", F.inline(parts))
-    cells = cells.withColumnsRenamed({"_ix": "ix", "_iy": "iy"})
-    return _in_reach(cells, size, max_dist, F.col("floor") <= F.col("best")).drop("best")
+    cells = marked.select("segment_id", "shape", F.inline(F.array_compact(parts)))
+    return cells.withColumnsRenamed({"_ix": "ix", "_iy": "iy"})
 
 
-def _mark_parts(level: DataFrame, size: float, max_dist: float, slots: int) -> DataFrame:
-    """Add ``parts`` to entries: a bit field of those parts, of ``size``, of their cell where
-    the segment can be nearest. Entries without one are dropped; cells with no more entries
-    than slots are left as they are. Bounds are as in ``_in_reach``."""
+def _mark_parts(
+    level: DataFrame, crowded: DataFrame, few: bool, size: float, max_dist: float
+) -> DataFrame:
+    """The entries of the ``crowded`` cells with ``parts``: a bit field of those parts, of
+    ``size``, of their cell where the segment can be nearest. Entries without one are dropped.
+
+    A segment can be nearest in a part if its distance from the middle is at most that of the
+    nearest one and a diagonal, and the reach and half a diagonal.
+    """
     half = size * (math.sqrt(0.5) + SLACK)
-    cells = level.select("ix", "iy", "segment_id", "shape", *_part_steps(size))
+    cells = level.join(_build_side(crowded, few), ["ix", "iy"])
+    cells = cells.select("ix", "iy", "segment_id", "shape", *_part_steps(size))
     far, cells = _part_distances(cells, ["ix", "iy", "segment_id", "shape"], size)
     reach = [
         F.pow(F.least(F.sqrt(F.min(name)) + 2 * half, F.lit(half + max_dist)), 2).alias(f"_most{name}")
         for name in far
     ]
-    most = cells.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("_n"), *reach)
-    most = materialize(most.where(F.col("_n") > slots).drop("_n"), "road-cell-parts")
+    most = materialize(cells.groupBy("ix", "iy").agg(*reach), "road-cell-reach")
     few = most.count() * (SPLIT_BYTES + 8 * len(far)) <= BROADCAST_BYTES
-    crowded = _build_side(most, few)
-    joined = cells.join(crowded, ["ix", "iy"])
+    joined = cells.join(_build_side(most, few), ["ix", "iy"])
     tests = [F.col(name) <= F.col(f"_most{name}") for name in far]
     parts = reduce(Column.bitwiseOR, (F.when(t, 1 << k).otherwise(0) for k, t in enumerate(tests)))
     marked = joined.select("ix", "iy", "segment_id", "shape", parts.alias("parts"))
-    marked = keep_if(marked, F.col("parts") != 0, marked.columns)
-    rest = level.join(crowded, ["ix", "iy"], "left_anti")
-    return marked.unionByName(rest.select("ix", "iy", "segment_id", "shape", F.lit(-1).alias("parts")))
+    return keep_if(marked, F.col("parts") != 0, marked.columns)
 
 
 def _part_steps(size: float) -> list[Column]:

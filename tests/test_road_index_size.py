@@ -26,6 +26,18 @@ def test_a_large_dense_index_stays_in_proportion_to_its_cells(spark, monkeypatch
     assert found(match_roads(points_df(spark, points), index)) == expected
 
 
+def test_parts_hold_only_what_can_be_nearest_in_them(spark, monkeypatch):
+    """A reach far beyond the distances in a dense network: the bound on the index leaves room for
+    the parts, as most segments are far from most of them."""
+    monkeypatch.setattr(roads, "SMALL_ENTRIES", 40_000)
+    segments = random_roads(1500, 5, 0.002, **TOWN)
+    index = build_road_index(spark.createDataFrame(segments, SCHEMA), 0.01, deepest=1)
+    assert index.depths == 1 and index.widest < 500
+    points = random_points(400, 9, **TOWN)
+    expected = nearest(points, segments, 0.01)
+    assert found(match_roads(points_df(spark, points), index)) == expected
+
+
 def test_a_stream_does_not_copy_a_large_index(spark, tmp_path):
     index = build_road_index(spark.createDataFrame(random_roads(20), SCHEMA), 0.001)
     stream = spark.readStream.schema("i int, lon double, lat double").parquet(str(tmp_path))
