@@ -7,6 +7,7 @@ from test_roads import SCHEMA, found, nearest, points_df, random_points, random_
 
 from roadpulse.operators import roads
 from roadpulse.operators.roads import build_road_index, match_roads
+from roadpulse.session import materialize
 
 TOWN = dict(west=22.90, east=22.91, south=40.60, north=40.61)
 
@@ -26,6 +27,22 @@ def test_a_large_dense_index_stays_in_proportion_to_its_cells(spark, monkeypatch
     assert found(match_roads(points_df(spark, points), index)) == expected
 
 
+def test_building_a_large_dense_index_stores_few_rows_beside_it(spark, monkeypatch):
+    """What all road matches store and shuffle on the way to the index, level by level."""
+    monkeypatch.setattr(roads, "SMALL_ENTRIES", 0, raising=False)
+    stored = []
+
+    def counted(rows, purpose, *spread_by):
+        table = materialize(rows, purpose, *spread_by)
+        stored.append((purpose, table.count()))
+        return table
+
+    monkeypatch.setattr(roads, "materialize", counted)
+    build_road_index(spark.createDataFrame(random_roads(1500, 5, 0.002, **TOWN), SCHEMA), 0.001)
+    assert stored[0][0] == "road-cells"
+    assert sum(rows for _, rows in stored) <= 8 * stored[0][1]
+
+
 def test_parts_hold_only_what_can_be_nearest_in_them(spark, monkeypatch):
     """A reach far beyond the distances in a dense network: the bound on the index leaves room for
     the parts, as most segments are far from most of them."""
