@@ -134,8 +134,9 @@ def search(queries: DataFrame, documents: DataFrame, k: int = 5, block: int = BL
         dealt = rows.join(F.broadcast(sizes), keys).withColumn("_b", F.pmod(F.xxhash64("q"), F.col("_n")))
         grouped = dealt.groupBy(*keys, "_b").agg(F.collect_list(query).alias("queries"))
         sent = grouped.select("queries", targets.alias("d"))
-        # The queries travel; a block of documents moves once.
-        return blocks.repartition(min(4 * count, 4096), "d").join(sent, "d")
+        # The queries travel; a block of documents moves once. Spark estimates what is sent from the
+        # queries before they are copied and would broadcast the copies through the driver.
+        return blocks.repartition(min(4 * count, 4096), "d").join(sent.hint("merge"), "d")
 
     def run_of(first: bool):
         def run(batches):

@@ -121,6 +121,28 @@ def test_fewer_neighbours_than_asked(spark):
     assert found == [(0, 1, 2, 131072), (0, 2, 1, 65536)]
 
 
+def test_copies_of_queries_are_not_broadcast(spark):
+    """Queries are copied to every block of documents; so many rows must not pass through the driver."""
+    draw = random.Random(5)
+    vectors = [(i, [draw.randint(-256, 256) / 256 for _ in range(32)]) for i in range(400)]
+    table = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>")
+    # More than the queries, less than the documents.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        found = topk.top_neighbours(table, block=16, every=100)
+        assert sorted(map(tuple, found.collect())) == brute(vectors, 5, 100)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Generate explode" in plan
+    above = []
+    for line in plan.split("== Initial Plan ==")[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [(d, node) for d, node in above if d < depth] + [(depth, line)]
+        if "Generate explode" in line:
+            assert not any("BroadcastExchange" in node for _, node in above)
+
+
 @pytest.mark.parametrize("scale", [1.0, 3e5, 1e9, 1e13])
 def test_components_of_any_size_are_exact(spark, scale):
     draw = np.random.default_rng(4)
